@@ -3,15 +3,10 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The forms an RFC 822 date takes once its weekday is gone. Spark cannot
-# parse weekday names.
-MAIL_FORMATS = (
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss z",
-    "d MMM yyyy HH:mm Z",
-    "d MMM yyyy HH:mm z",
-)
-ISO_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS]XXX", "yyyy-MM-dd'T'HH:mmXXX")
+# The forms of RFC 822 dates, less the weekday, which Spark cannot parse, and of
+# ISO 8601 dates.
+MAIL_FORMAT = "d MMM yyyy HH:mm[:ss][ Z][ z]"
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS][.SSS][XXX][XX]"
 
 
 def feed_timestamp(text: Column) -> Column:
@@ -20,19 +15,19 @@ def feed_timestamp(text: Column) -> Column:
     Text without a zone counts as UTC, whatever the zone of the session.
     """
     trimmed = F.trim(text)
-    mail = F.regexp_replace(trimmed, "^[A-Za-z]+, *", "")
-    mail = F.when(mail.rlike("[0-9]$"), mail).otherwise(F.regexp_replace(mail, "(?i) UTC?$", " GMT"))
-    mail = F.when(mail.rlike(":[0-9]{2}$"), F.concat(mail, F.lit(" +0000"))).otherwise(mail)
-    iso = F.regexp_replace(trimmed, "^([0-9]{4}-[0-9]{2}-[0-9]{2}) ", "$1T")
-    iso = (
-        F.when(iso.rlike("^[0-9-]{10}$"), F.concat(iso, F.lit("T00:00:00Z")))
-        .when(iso.rlike("(?:Z|[+-][0-9]{2}:[0-9]{2})$"), iso)
-        .when(iso.rlike("[+-][0-9]{4}$"), F.regexp_replace(iso, "([0-9]{2})$", ":$1"))
-        .otherwise(F.concat(iso, F.lit("Z")))
-    )
-    return F.coalesce(
-        *[F.try_to_timestamp(mail, F.lit(form)) for form in MAIL_FORMATS],
-        *[F.try_to_timestamp(iso, F.lit(form)) for form in ISO_FORMATS],
+    mail = F.regexp_replace(trimmed, r"^[A-Za-z]+, *|(?<=:[0-9]{2}) UTC?$", "")
+    iso = F.regexp_replace(trimmed, "^([0-9]{4}-[0-9]{2}-[0-9]{2})(?: |$)", "$1T")
+    iso = F.regexp_replace(iso, "T$", "T00:00")
+    zoneless = r":[0-9]{2}(?:[.][0-9]+)?$"
+    return F.when(
+        trimmed.rlike("^[0-9]{4}-"),
+        F.try_to_timestamp(
+            F.concat(iso, F.when(iso.rlike(r"T[0-9:.]+$"), F.lit("Z")).otherwise(F.lit(""))), F.lit(ISO_FORMAT)
+        ),
+    ).otherwise(
+        F.try_to_timestamp(
+            F.concat(mail, F.when(mail.rlike(zoneless), F.lit(" +0000")).otherwise(F.lit(""))), F.lit(MAIL_FORMAT)
+        )
     )
 
 

@@ -127,15 +127,17 @@ def nests(html: Column, hit: Column, block: Column, marked: Column) -> Column:
 
 def visible_text(marked: Column) -> Column:
     """The strings between marks, stripped, empty ones dropped, one per line."""
-    strings = F.transform(F.split(unescape(marked), MARK), strip)
+    resolved = F.when(marked.contains("&"), unescape(marked)).otherwise(marked)
+    strings = F.transform(F.split(resolved, MARK), strip)
     return F.array_join(F.filter(strings, lambda string: string != ""), "\n")
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of one tag; NULL where the tag lacks it."""
-    found = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-    values = [F.regexp_extract(tag, found, group) for group in (1, 2, 3)]
-    return F.when(tag.rlike(found), unescape(F.concat(*values)))
+    written = F.nullif(
+        F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1), F.lit("")
+    )
+    return unescape(F.regexp_replace(written, """^["']|["']$""", ""))
 
 
 def og_image(clean: Column) -> Column:
@@ -148,35 +150,42 @@ def og_image(clean: Column) -> Column:
     return F.nullif(attribute(meta, "content"), F.lit(""))
 
 
-def _side(tag: Column, name: str) -> Column:
+def pictures(clean: Column) -> Column:
+    """The picture tags of a page in order, with their address and declared sides."""
+    tags = F.regexp_extract_all(clean, F.lit(r"(?is)<img(?=[\s/])[^>]*>"), F.lit(0))
+    return F.transform(tags, lambda tag: F.struct(
+        attribute(tag, "src").alias("source"),
+        attribute(tag, "width").alias("width"),
+        attribute(tag, "height").alias("height"),
+    ))
+
+
+def _side(declared: Column) -> Column:
     """A declared side; 0 where none is declared, NULL where it is no whole number."""
-    declared = attribute(tag, name)
     whole = F.regexp_extract(declared, r"\A\s*([+-]?[0-9]+)\s*\z", 1).try_cast("bigint")
     return F.when(declared.isNull(), F.lit(0)).otherwise(whole)
 
 
-def _shows_content(tag: Column) -> Column:
-    source = attribute(tag, "src")
-    width, height = _side(tag, "width"), _side(tag, "height")
-    small = width.between(1, LEAST_SIDE - 1) | height.between(1, LEAST_SIDE - 1)
-    readable = width.isNotNull() & height.isNotNull()
-    return F.coalesce(
-        (source != "")
+def _shows_content(picture: Column) -> Column:
+    source = picture["source"]
+    width, height = _side(picture["width"]), _side(picture["height"])
+    # One unreadable side makes the page's other declaration count for nothing.
+    small = width.isNotNull() & height.isNotNull() & (
+        width.between(1, LEAST_SIDE - 1) | height.between(1, LEAST_SIDE - 1)
+    )
+    return (
+        F.lower(source).rlike(PICTURE_ENDINGS)
         & ~source.startswith("data:image")
         & ~F.lower(source).rlike(NO_CONTENT_PICTURE)
-        & ~F.coalesce(readable & small, F.lit(False))
-        & F.lower(source).rlike(PICTURE_ENDINGS),
-        F.lit(False),
+        & ~F.coalesce(small, F.lit(False))
     )
 
 
-def first_image(clean: Column, url: Column) -> Column:
-    """First picture of the article itself, resolved against the page address; NULL if none.
+def first_content_picture(found: Column) -> Column:
+    """Address of the first picture that belongs to the article; NULL if there is none."""
+    return F.try_element_at(F.filter(found, _shows_content), F.lit(1))["source"]
 
-    The search stays inside the row: no picture leaves its page.
-    """
-    tags = F.regexp_extract_all(clean, F.lit(r"(?is)<img(?=[\s/])[^>]*>"), F.lit(0))
-    chosen = F.try_element_at(F.filter(tags, _shows_content), F.lit(1))
-    source = attribute(chosen, "src")
-    absolute = source.startswith("http://") | source.startswith("https://")
-    return F.when(absolute, source).otherwise(resolve(url, source))
+
+def absolute(url: Column, source: Column) -> Column:
+    """A picture's address as seen from its page."""
+    return F.when(source.rlike("^https?://"), source).otherwise(resolve(url, source))

@@ -57,10 +57,9 @@ def cjk_spacing(text: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Resolve the entities listed in ENTITIES; others stay as they are."""
-    resolved = text
     for entity, character in ENTITIES:
-        resolved = F.replace(resolved, F.lit(entity), F.lit(character))
-    return F.when(text.contains("&"), resolved).otherwise(text)
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return text
 
 
 def blank(text: Column) -> Column:

@@ -38,8 +38,9 @@ def ask(client, request: str, max_tries: int, retry_delay: float):
 
 def asker(client_factory, max_tries, retry_delay):
     def run(batches):
-        client = client_factory()
+        client = None
         for batch in batches:
+            client = client or client_factory()
             replies = [ask(client, request, max_tries, retry_delay) for request in batch.pop("request")]
             batch[["reply", "error", "attempts"]] = pd.DataFrame(
                 replies, columns=["reply", "error", "attempts"], index=batch.index, dtype=object

@@ -17,11 +17,15 @@ def page_scan(pages: DataFrame, columns: tuple[str, ...] = ("url", "html")) -> D
     return pages.select(*columns).withColumn("url", normalize_url(F.col("url")))
 
 
-def entry_page(entries: DataFrame, pages: DataFrame, spread: str = "id") -> DataFrame:
-    """Each entry with the page fetched for its link; without one, `html` is NULL."""
+def entry_page(entries: DataFrame, pages: DataFrame, how: str = "left", spread: str = "id") -> DataFrame:
+    """Each entry with the page fetched for its link; without one, `html` is NULL.
+
+    `how="inner"` leaves out entries without a page, and lets Spark broadcast few entries
+    instead of shuffling all pages.
+    """
     keyed = entries.withColumn("page_url", normalize_url(F.col("link")))
     found = page_scan(pages).withColumnRenamed("url", "page_url")
-    return skew_safe_join(keyed, found, "page_url", "left", spread)
+    return skew_safe_join(keyed, found, "page_url", how, spread)
 
 
 def selector_hit(pages: DataFrame) -> DataFrame:
@@ -56,12 +60,18 @@ def og_image(pages: DataFrame) -> DataFrame:
     return pages.withColumn("image_url", H.og_image(H.without_noise(F.col("html"))))
 
 
-def first_image(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("image_url", H.first_image(H.without_noise(F.col("html")), F.col("url")))
+def first_image(pages: DataFrame, url: str = "url") -> DataFrame:
+    """The first picture of the article itself. The search stays in the row of the page."""
+    return (
+        pages.withColumn("_found", H.pictures(H.without_noise(F.col("html"))))
+        .withColumn("_source", H.first_content_picture(F.col("_found")))
+        .withColumn("image_url", H.absolute(F.col(url), F.col("_source")))
+        .drop("_found", "_source")
+    )
 
 
 def reachable(candidates: DataFrame, url_status: DataFrame, url: str = "image_url",
-              spread: str = "url") -> DataFrame:
+              spread: str = "id") -> DataFrame:
     """Candidates whose address answered with success in the crawl log."""
     answered = (
         url_status.where(F.col("status_code") == REACHABLE)
@@ -70,22 +80,23 @@ def reachable(candidates: DataFrame, url_status: DataFrame, url: str = "image_ur
     return skew_safe_join(candidates, answered, url, "left_semi", spread)
 
 
-def thumbnail_candidates(pages: DataFrame) -> DataFrame:
-    """Up to three picture addresses per page: video preview, named picture, first picture."""
-    found = pages.withColumn("_clean", H.without_noise(F.col("html"))).select(
-        "url",
-        F.array(
-            video_thumbnail(F.col("url")),
-            H.og_image(F.col("_clean")),
-            H.first_image(F.col("_clean"), F.col("url")),
-        ).alias("_urls"),
+def thumbnail_candidates(articles: DataFrame, pages: DataFrame) -> DataFrame:
+    """Up to three picture addresses per article, by priority: the preview of a video (0), the
+    picture its page names (1), the first picture on its page (2)."""
+    wanted = articles.select("id", F.col("url").alias("link"))
+    previews = wanted.select(
+        "id", F.lit(0).alias("priority"), video_thumbnail(F.col("link")).alias("image_url")
     )
-    return found.select("url", F.posexplode("_urls").alias("priority", "image_url")).where(
-        ~blank(F.col("image_url"))
+    found = entry_page(wanted, pages, how="inner")
+    pictures = (
+        first_image(found.withColumn("_named", H.og_image(H.without_noise(F.col("html")))), "page_url")
+        .select("id", F.posexplode(F.array("_named", "image_url")).alias("position", "image_url"))
+        .select("id", (F.col("position") + 1).alias("priority"), "image_url")
     )
+    return previews.unionByName(pictures).where(~blank(F.col("image_url")))
 
 
-def thumbnail_pick(pages: DataFrame, url_status: DataFrame) -> DataFrame:
-    """The first reachable candidate of each page; pages without one are left out."""
-    usable = reachable(thumbnail_candidates(pages), url_status)
-    return usable.groupBy("url").agg(F.min_by("image_url", "priority").alias("thumbnail_url"))
+def thumbnail_pick(articles: DataFrame, pages: DataFrame, url_status: DataFrame) -> DataFrame:
+    """The first reachable candidate of each article; articles without one are left out."""
+    usable = reachable(thumbnail_candidates(articles, pages), url_status)
+    return usable.groupBy("id").agg(F.min_by("image_url", "priority").alias("thumbnail_url"))

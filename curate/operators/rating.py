@@ -36,16 +36,19 @@ def criteria_by_category(criteria: DataFrame) -> DataFrame:
 def article_criteria(articles: DataFrame, criteria: DataFrame) -> DataFrame:
     """Add the `criteria` that hold for each article: its category's over the default ones.
 
-    The default set is a scalar subquery, so it reaches every row without a join.
+    Merging happens once per category. The default set is a scalar subquery, so it reaches
+    categories without an entry without a join.
     """
     maps = criteria_by_category(criteria)
-    nothing = F.create_map().cast("map<string,int>")
     default = F.coalesce(
-        maps.where(F.col("category") == DEFAULT_CATEGORY).select("criteria").scalar(), nothing
+        maps.where(F.col("category") == DEFAULT_CATEGORY).select("criteria").scalar(),
+        F.create_map().cast("map<string,int>"),
     )
-    own = maps.withColumnRenamed("criteria", "_own")
-    merged = merge_criteria(default, F.coalesce(F.col("_own"), nothing))
-    return articles.join(own, "category", "left").withColumn("criteria", merged).drop("_own")
+    merged = maps.withColumn("_default", default).select(
+        "category", merge_criteria(F.col("_default"), F.col("criteria")).alias("_merged")
+    )
+    found = F.coalesce(F.col("_merged"), default)
+    return articles.join(merged, "category", "left").withColumn("criteria", found).drop("_merged")
 
 
 def criteria_text(criteria: Column) -> Column:
