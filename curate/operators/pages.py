@@ -1,6 +1,6 @@
 """Text and pictures of fetched pages."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curate.functions import html as H
@@ -8,24 +8,45 @@ from curate.functions.html_tree import reader
 from curate.functions.text import blank
 from curate.functions.urls import normalize_url, video_thumbnail
 from curate.operators.skew import skew_safe_join
+from curate.session import shared_dir
 
 REACHABLE = 200
 
 
+def settled(column: Column) -> Column:
+    """A costly column as a generator's output: Spark would copy the expressions behind it into
+    every later filter on it, and does not look inside a generator."""
+    return F.explode(F.array(column))
+
+
 def page_scan(pages: DataFrame, columns: tuple[str, ...] = ("url", "html")) -> DataFrame:
     """Landed pages under the address they were fetched from."""
     return pages.select(*columns).withColumn("url", normalize_url(F.col("url")))
 
 
-def entry_page(entries: DataFrame, pages: DataFrame, how: str = "left", spread: str = "id") -> DataFrame:
+def _by_page_url(entries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (
+        entries.withColumn("page_url", normalize_url(F.col("link"))),
+        page_scan(pages).withColumnRenamed("url", "page_url"),
+    )
+
+
+def entry_page(entries: DataFrame, pages: DataFrame, spread: str = "id") -> DataFrame:
     """Each entry with the page fetched for its link; without one, `html` is NULL.
 
-    `how="inner"` leaves out entries without a page, and lets Spark broadcast few entries
-    instead of shuffling all pages.
+    Any number of entries may name the same page.
     """
-    keyed = entries.withColumn("page_url", normalize_url(F.col("link")))
-    found = page_scan(pages).withColumnRenamed("url", "page_url")
-    return skew_safe_join(keyed, found, "page_url", how, spread)
+    keyed, found = _by_page_url(entries, pages)
+    return skew_safe_join(keyed, found, "page_url", "left", spread)
+
+
+def page_of_article(articles: DataFrame, pages: DataFrame) -> DataFrame:
+    """Articles, whose links are unique, with their pages; those without a page are left out.
+
+    An inner join lets Spark broadcast the articles of a day instead of shuffling all pages.
+    """
+    keyed, found = _by_page_url(articles, pages)
+    return keyed.join(found, "page_url")
 
 
 def selector_hit(pages: DataFrame) -> DataFrame:
@@ -52,12 +73,12 @@ def main_content(pages: DataFrame) -> DataFrame:
             F.when(F.col("_nested"), F.col("html")).alias("_nested"),
             F.when(~F.col("_nested"), H.visible_text(F.col("_marked"))).alias("_flat"),
         )
-        .select(*kept, F.coalesce("_flat", read("_nested")).alias("content"))
+        .select(*kept, settled(F.coalesce("_flat", read("_nested"))).alias("content"))
     )
 
 
 def og_image(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("image_url", H.og_image(H.without_noise(F.col("html"))))
+    return pages.withColumn("image_url", settled(H.og_image(H.without_noise(F.col("html")))))
 
 
 def first_image(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -65,8 +86,7 @@ def first_image(pages: DataFrame, url: str = "url") -> DataFrame:
     return (
         pages.withColumn("_found", H.pictures(H.without_noise(F.col("html"))))
         .withColumn("_source", H.first_content_picture(F.col("_found")))
-        .withColumn("image_url", H.absolute(F.col(url), F.col("_source")))
-        .drop("_found", "_source")
+        .select(*pages.columns, settled(H.absolute(F.col(url), F.col("_source"))).alias("image_url"))
     )
 
 
@@ -87,7 +107,7 @@ def thumbnail_candidates(articles: DataFrame, pages: DataFrame) -> DataFrame:
     previews = wanted.select(
         "id", F.lit(0).alias("priority"), video_thumbnail(F.col("link")).alias("image_url")
     )
-    found = entry_page(wanted, pages, how="inner")
+    found = page_of_article(wanted, pages)
     pictures = (
         first_image(found.withColumn("_named", H.og_image(H.without_noise(F.col("html")))), "page_url")
         .select("id", F.posexplode(F.array("_named", "image_url")).alias("position", "image_url"))
@@ -97,6 +117,11 @@ def thumbnail_candidates(articles: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def thumbnail_pick(articles: DataFrame, pages: DataFrame, url_status: DataFrame) -> DataFrame:
-    """The first reachable candidate of each article; articles without one are left out."""
-    usable = reachable(thumbnail_candidates(articles, pages), url_status)
+    """The first reachable candidate of each article; articles without one are left out.
+
+    The candidates, a few short rows per article, are checkpointed: looking for hot addresses
+    would read the pages again otherwise.
+    """
+    shared_dir(articles.sparkSession)
+    usable = reachable(thumbnail_candidates(articles, pages).checkpoint(), url_status)
     return usable.groupBy("id").agg(F.min_by("image_url", "priority").alias("thumbnail_url"))

@@ -18,7 +18,7 @@ from curate.operators import entries as E
 from curate.operators import lifecycle as L
 from curate.operators.digest import published
 from curate.operators.enrich import enrich, merge_summaries, summary_requests
-from curate.operators.pages import entry_page, main_content, thumbnail_pick
+from curate.operators.pages import main_content, page_of_article, thumbnail_pick
 from curate.operators.rating import (
     MINIMUM_SCORE, RATING_MODEL, TOP_ARTICLES, parse_rating, rating_requests,
 )
@@ -103,7 +103,7 @@ def fetch(store: ArticleStore, inputs: Inputs, settings: Settings) -> None:
         inputs.transcripts.select("video_id", F.col("text").alias("content")), "video_id"
     )
     linked = fresh.where(blank(F.col("video_id"))).withColumn("link", F.col("url"))
-    read = main_content(entry_page(linked, inputs.pages, how="inner"))
+    read = main_content(page_of_article(linked, inputs.pages))
     articles = videos.unionByName(read.drop("link", "page_url"))
     store.append(E.keyword_filter(E.has_content(articles), settings.keywords))
 
