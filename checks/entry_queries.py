@@ -92,7 +92,7 @@ def has_content(t):
     SELECT e.id, e.feed_url, f.category, f.use_browser FROM {raw_entries} e JOIN {feeds} f ON e.feed_url = f.feed_url
 """)
 def entries_with_feed(t):
-    entries = t("raw_entries").select("id", "feed_url")
+    entries = t("raw_entries").select("id", "link", "feed_url")
     return E.entries_with_feed(entries, t("feeds")).select("id", "feed_url", "category", "use_browser")
 
 

@@ -30,7 +30,7 @@ CRITERIA_TEXT = f"""
 @query(MERGED)
 def criteria_merge(t):
     categories = t("articles").select("category").distinct()
-    merged = G.article_criteria(categories, t("criteria"))
+    merged = G.article_criteria(categories, t("criteria"), "category")
     listed = merged.select("category", F.posexplode(F.map_entries("criteria")).alias("position", "pair"))
     return listed.select("category", "position", F.col("pair.key").alias("criterion"), F.col("pair.value").alias("points"))
 

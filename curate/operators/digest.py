@@ -3,15 +3,13 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curate.operators.skew import number_within
+from curate.operators.skew import lookup_join, number_within
 from curate.schema import DIGEST_COLUMNS, PUBLISHED_STATES
 
 # How many articles one nested list holds at most; longer lists go on in the next page.
 PAGE_SIZE = 1000
 ALL = "all"
 
-NEWEST_FIRST = (F.desc("fetch_date"), F.desc_nulls_last("score"), F.asc("id"))
-
 
 def articles_by_status(store: DataFrame, status: str, category: str, date: str) -> DataFrame:
     return store.where(
@@ -45,7 +43,9 @@ def digest_rows(articles: DataFrame) -> DataFrame:
 
 
 def digest_order(store: DataFrame, date: str | None = None, category: str | None = None) -> DataFrame:
-    return digest_rows(digest_filter(store, date, category)).orderBy(*NEWEST_FIRST)
+    """Newest day first, best article first."""
+    rows = digest_rows(digest_filter(store, date, category))
+    return rows.orderBy(F.desc("fetch_date"), F.desc_nulls_last("score"), "id")
 
 
 def category_digest(store: DataFrame, category: str, date: str) -> DataFrame:
@@ -78,7 +78,7 @@ def date_pages(store: DataFrame) -> DataFrame:
     """
     days = published(store).select("fetch_date").distinct()
     ranked = days.withColumn("page", F.dense_rank().over(Window.orderBy(F.desc("fetch_date"))))
-    return digest_rows(published(store)).join(ranked, "fetch_date")
+    return lookup_join(digest_rows(published(store)), ranked, "fetch_date", "inner", "id")
 
 
 def date_page(store: DataFrame, page: int) -> DataFrame:

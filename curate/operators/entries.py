@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from curate.functions.dates import entry_date
 from curate.functions.text import blank
 from curate.functions.urls import source_host
+from curate.operators.skew import lookup_join
 
 
 def with_entry_date(entries: DataFrame) -> DataFrame:
@@ -52,12 +53,8 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
 
 
 def entries_with_feed(entries: DataFrame, feeds: DataFrame) -> DataFrame:
-    """Each entry with the category its feed is registered under.
-
-    No hint: Spark broadcasts the registry while its size allows, and splits hot feeds of a
-    sort-merge join at run time beyond that.
-    """
-    return entries.join(feeds, "feed_url")
+    """Each entry with the category its feed is registered under."""
+    return lookup_join(entries, feeds, "feed_url", "inner", "link")
 
 
 def with_source(entries: DataFrame, link: str = "link") -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from curate.functions.urls import source_host
 from curate.operators.rating import MINIMUM_SCORE, TOP_ARTICLES, top_k_per_category
+from curate.operators.skew import fits
 from curate.schema import (
     COMPLETE, FAILED, FETCHED, INTERMEDIATE_STATES, RATED, SELECTED, STUCK_STATES, SUMMARIZED,
     as_articles,
@@ -22,11 +23,14 @@ def insert_or_ignore(batch: DataFrame, store: DataFrame, order: tuple[str, ...]
     """The rows of `batch` to add to `store`: new URLs only, in state `fetched`.
 
     Of the store only the URL column is read. It is cut down to the URLs of the batch first:
-    a small batch is broadcast and the store is not shuffled at all; a large one meets the
-    store in one shuffle of URLs, and the rest follows that partitioning.
+    if these fit, they are broadcast and the store is not shuffled at all; if not, both meet in
+    one shuffle of URLs, and the rest follows that partitioning.
     """
-    known = store.select("url").join(batch.select("url").distinct(), "url", "left_semi")
-    fresh = first_by_url(batch, order).join(known, "url", "left_anti")
+    urls = batch.select("url").distinct()
+    send = F.broadcast if fits(urls) else lambda df: df
+    known = store.select("url").join(send(urls), "url", "left_semi")
+    # What is known is no more than the batch, so it fits as well.
+    fresh = first_by_url(batch, order).join(send(known), "url", "left_anti")
     if "id" not in batch.columns:
         fresh = fresh.withColumn("id", F.xxhash64("url"))
     return as_articles(

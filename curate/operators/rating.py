@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curate.functions.text import strip
+from curate.operators.skew import lookup_join
 from curate.schema import RATED
 
 # Settings of a run.
@@ -33,7 +34,7 @@ def criteria_by_category(criteria: DataFrame) -> DataFrame:
     return criteria.groupBy("category").agg(F.map_from_entries(pairs).alias("criteria"))
 
 
-def article_criteria(articles: DataFrame, criteria: DataFrame) -> DataFrame:
+def article_criteria(articles: DataFrame, criteria: DataFrame, spread: str = "id") -> DataFrame:
     """Add the `criteria` that hold for each article: its category's over the default ones.
 
     Merging happens once per category. The default set is a scalar subquery, so it reaches
@@ -48,7 +49,8 @@ def article_criteria(articles: DataFrame, criteria: DataFrame) -> DataFrame:
         "category", merge_criteria(F.col("_default"), F.col("criteria")).alias("_merged")
     )
     found = F.coalesce(F.col("_merged"), default)
-    return articles.join(merged, "category", "left").withColumn("criteria", found).drop("_merged")
+    joined = lookup_join(articles, merged, "category", "left", spread)
+    return joined.withColumn("criteria", found).drop("_merged")
 
 
 def criteria_text(criteria: Column) -> Column:
@@ -110,9 +112,8 @@ def parse_rating(replies: DataFrame, column: str = "raw_rating") -> DataFrame:
 def with_min_score(articles: DataFrame, min_scores: DataFrame, default: float = MINIMUM_SCORE) -> DataFrame:
     """Add the `min_score` of each article's category."""
     own = min_scores.select("category", F.col("min_score").alias("_own"))
-    return articles.join(own, "category", "left").withColumn(
-        "min_score", F.coalesce("_own", F.lit(default))
-    ).drop("_own")
+    joined = lookup_join(articles, own, "category", "left", "id")
+    return joined.withColumn("min_score", F.coalesce("_own", F.lit(default))).drop("_own")
 
 
 def min_score_filter(articles: DataFrame, min_scores: DataFrame, default: float = MINIMUM_SCORE) -> DataFrame:

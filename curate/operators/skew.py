@@ -1,6 +1,8 @@
 """Joins and numbering that keep hot keys and hot groups apart."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,29 +12,50 @@ from curate.session import shared_dir
 # A key is hot from one part in HOT_SHARE of all rows on, so there are at most HOT_SHARE hot keys.
 HOT_SHARE = 1000
 SALTS = 64
+# How large a table may be that is sent to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def skew_safe_join(left: DataFrame, right: DataFrame, on: str, how: str, spread: str) -> DataFrame:
+def fits(df: DataFrame) -> bool:
+    """Whether `df` is small enough to broadcast, by its measured size."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return (df.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str, spread: str) -> DataFrame:
+    """Join `left` with a table that is small as a rule: broadcast while it is, dealt out beyond.
+
+    Left to itself Spark often cannot tell that such a table is small, shuffles `left` by a key
+    like the category, and brings a hot one into a single task.
+    """
+    if fits(right):
+        return left.join(F.broadcast(right), on, how)
+    return skew_safe_join(left, right, on, how, spread)
+
+
+def skew_safe_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str, spread: str) -> DataFrame:
     """Join `left` with the lookup table `right`, which holds few rows per key.
 
     Rows of a hot key of `left` are dealt out over SALTS parts by their `spread` column, and the
     few rows of that key in `right` are copied to each part. The list of hot keys has at most
     HOT_SHARE rows whatever the data, which is why it may be broadcast.
     """
-    counts = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_rows"))
+    keys = [on] if isinstance(on, str) else list(on)
+    missing = reduce(or_, [F.col(key).isNull() for key in keys])
+    counts = left.where(~missing).groupBy(*keys).agg(F.count("*").alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
     hot = F.broadcast(
-        counts.where(F.col("_rows") * HOT_SHARE >= total).select(on, F.lit(True).alias("_hot"))
+        counts.where(F.col("_rows") * HOT_SHARE >= total).select(*keys, F.lit(True).alias("_hot"))
     )
     part = F.pmod(F.xxhash64(F.col(spread)), F.lit(SALTS)).cast("int")
-    dealt = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(on).isNull(), part).otherwise(F.lit(0))
+    dealt = left.join(hot, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | missing, part).otherwise(F.lit(0))
     ).drop("_hot")
-    copied = right.join(hot, on, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))),
+    every, first = F.sequence(F.lit(0), F.lit(SALTS - 1)), F.array(F.lit(0))
+    copied = right.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(first))
     ).drop("_hot")
-    return dealt.join(copied, [on, "_salt"], how).drop("_salt")
+    return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 
 def number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],

@@ -17,12 +17,12 @@ from curate.functions.urls import video_id
 from curate.operators import entries as E
 from curate.operators import lifecycle as L
 from curate.operators.digest import published
-from curate.operators.enrich import enrich, merge_summaries, summary_requests
+from curate.operators.enrich import SUMMARY_MODEL, enrich, merge_summaries, summary_requests
 from curate.operators.pages import main_content, page_of_article, thumbnail_pick
 from curate.operators.rating import (
     MINIMUM_SCORE, RATING_MODEL, TOP_ARTICLES, parse_rating, rating_requests,
 )
-from curate.operators.enrich import SUMMARY_MODEL
+from curate.operators.skew import lookup_join
 from curate.schema import FETCHED, PARTITIONS, SELECTED, SUMMARIZED
 from curate.session import new_path
 from curate.sources.store import ArticleStore
@@ -62,12 +62,12 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    return rows.select(*PARTITIONS).distinct()
+    """The days and categories that occur, no more than the store has partitions."""
+    return _written(rows.select(*PARTITIONS).distinct(), "groups")
 
 
 def _within(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of the days and categories listed; there are as many as store partitions."""
-    return rows.join(groups, list(PARTITIONS), "left_semi")
+    return lookup_join(rows, groups, list(PARTITIONS), "left_semi", "id")
 
 
 def _replies(requests: DataFrame, client_factory: Callable, settings: Settings, path: str) -> DataFrame:

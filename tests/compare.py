@@ -32,4 +32,4 @@ def rows(names, values):
 def kind(name):
     name = str(name).lower()
     return {"bigint": "long", "integer": "int", "varchar": "string", "boolean": "bool"}.get(
-        name, {"bigint": "long", "int": "int"}.get(name, name))
+        name, name)
