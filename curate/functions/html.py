@@ -102,23 +102,42 @@ def pieces(block: Column) -> Column:
     return F.regexp_replace(block, TAG, MARK)
 
 
-def nests(html: Column, hit: Column, block: Column, marked: Column) -> Column:
-    """True where expressions cannot tell the end of the container or read its strings."""
+def _occurrences(text: Column, part: Column) -> Column:
+    without = F.replace(text, part, F.lit(""))
+    return (F.octet_length(text) - F.octet_length(without)) / F.octet_length(part)
+
+
+def nests(html: Column, hit: Column, block: Column, marked: Column, lower: Column) -> Column:
+    """True where expressions cannot tell the end of the container or read its strings.
+
+    It may be true too often, at the price of the slower reading, but never too seldom. `lower`
+    is the block in lower case: plain searches in it cost far less than patterns.
+    """
     known = "|".join(entity[1:-1] for entity, _ in ENTITIES)
+    entity = (
+        rf"&(?!(?:{known});)"
+        r"(?:#|[A-Za-z][A-Za-z0-9]*;|(?:lt|gt|amp|quot|nbsp|copy|reg)(?![A-Za-z0-9;]))"
+    )
+    inside_itself = (
+        F.when(hit == BODY, F.lit(False))
+        .when(hit.rlike("^[a-z]"), _occurrences(lower, F.concat(F.lit("<"), hit)) > 1)
+        .otherwise(block.rlike(r"(?is)^<([a-z][^\s/>]*)(?=[\s/>]).+?<\1(?=[\s/>])"))
+    )
+    ends_too_much = F.lit(False)
+    for tag in ("div", "section", "main"):
+        ends_too_much = ends_too_much | (
+            _occurrences(lower, F.lit(f"</{tag}")) > _occurrences(lower, F.lit(f"<{tag}"))
+        )
     return (
         (block == "")
         | html.contains(MARK)
+        | inside_itself
+        | lower.contains("<template") | lower.contains("<rt") | lower.contains("<rp")
+        | ends_too_much
         | marked.rlike("<[A-Za-z/!?]")
-        | (marked.contains("&") & (
-            marked.rlike(rf"&(?!(?:{known});)(?:#|[A-Za-z][A-Za-z0-9]*;)")
-            | marked.rlike(r"&(?:lt|gt|amp|quot|nbsp|copy|reg)(?![A-Za-z0-9;])")
-        ))
-        | block.rlike(r"(?is)^<([a-z][^\s/>]*)(?=[\s/>]).+?<\1(?=[\s/>])")
-        | block.rlike(r"(?i)<(?:template|rt|rp)(?=[\s/>])")
-        | (F.regexp_count(block, F.lit(r"(?i)</(?:div|section|main)\s*>"))
-           > F.regexp_count(block, F.lit(r"(?i)<(?:div|section|main)(?=[\s/>])")))
+        | (marked.contains("&") & marked.rlike(entity))
         | ((hit == BODY) & (
-            block.rlike(rf"(?i)</?(?:{BOILERPLATE})(?=[\s/>])")
+            lower.rlike(rf"</?(?:{BOILERPLATE})(?=[\s/>])")
             | block.rlike(_opening(".sidebar"))
             | block.rlike(_opening("#sidebar"))
         ))

@@ -34,8 +34,10 @@ def keyword_filter(articles: DataFrame, keywords: list[str], column: str = "cont
     """Articles that mention any keyword, whatever its case; no keywords keep every article."""
     if not keywords:
         return articles
-    text = F.lower(F.col(column))
-    return articles.where(reduce(or_, [text.contains(word.lower()) for word in keywords]))
+    words = [word.lower() for word in keywords]
+    # The one-element array has the text put in lower case once, not once per keyword.
+    lowered = F.array(F.lower(F.col(column)))
+    return articles.where(F.exists(lowered, lambda text: reduce(or_, [text.contains(word) for word in words])))
 
 
 def split_keywords(setting: str) -> list[str]:

@@ -67,7 +67,8 @@ def main_content(pages: DataFrame) -> DataFrame:
         .withColumn("_hit", H.selector_hit(F.col("_clean")))
         .withColumn("_block", H.container(F.col("_clean"), F.col("_hit")))
         .withColumn("_marked", H.pieces(F.col("_block")))
-        .withColumn("_nested", H.nests(*map(F.col, ("html", "_hit", "_block", "_marked"))))
+        .withColumn("_lower", F.lower("_block"))
+        .withColumn("_nested", H.nests(*map(F.col, ("html", "_hit", "_block", "_marked", "_lower"))))
         .select(
             *kept,
             F.when(F.col("_nested"), F.col("html")).alias("_nested"),
