@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.fragments import host, normalized, spaced
+from checks.fragments import SPACE, host, normalized, spaced
 from checks.register import query
 from curate.functions import text as T
 from curate.functions import urls as U
@@ -50,7 +50,7 @@ def video_thumbnail(t):
 
 @query(
     "SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(text, '[?<>:*|\"\\\\/]', '', 'g'),"
-    f" '[{T.SPACE}]+', '_', 'g'), '[^\\pL\\pN_.-]', '', 'g'), 1, 255) AS slug FROM {{documents}}"
+    f" '[{SPACE}]+', '_', 'g'), '[^\\pL\\pN_.-]', '', 'g'), 1, 255) AS slug FROM {{documents}}"
 )
 def title_slug(t):
     return t("documents").select("doc_id", T.title_slug(F.col("text")).alias("slug"))

@@ -2,6 +2,10 @@
 
 from curate.functions import text as T
 
+# White space for use inside [].
+SPACE = (
+    r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 SPACES = "concat(" + ", ".join(f"chr({ord(character)})" for character in T.SPACES) + ")"
 CLEAN = (
     r"regexp_replace({html}, '(?is)<!--.*?-->|<script(?:[\s/][^>]*)?>.*?</script\s*>"
@@ -20,10 +24,19 @@ def unescaped(text: str) -> str:
     return text
 
 
+def unescaped_text(text: str) -> str:
+    """As HTML has it in text: old names count without their semicolon, too."""
+    for entity, character in T.ENTITIES:
+        character = "chr(39)" if character == "'" else f"'{character}'"
+        optional = "" if entity in ("&apos;", "&#39;") else "?"
+        text = f"regexp_replace({text}, '{entity}{optional}', {character}, 'g')"
+    return text
+
+
 def lines(block: str) -> str:
     """Text between tags, one string to a line."""
     marked = rf"regexp_replace({block}, '<[A-Za-z/!?][^>]*>', chr(1), 'g')"
-    strings = f"list_transform(string_split({unescaped(marked)}, chr(1)), lambda x: trim(x, {SPACES}))"
+    strings = f"list_transform(string_split({unescaped_text(marked)}, chr(1)), lambda x: trim(x, {SPACES}))"
     return f"array_to_string(list_filter({strings}, lambda x: x <> ''), chr(10))"
 
 

@@ -3,14 +3,11 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python counts as white space, plain and for use inside [].
+# The characters Python counts as white space.
 SPACES = "".join(filter(str.isspace, map(chr, range(0x3001))))
-SPACE = (
-    r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
 
 # Characters a file name may not hold.
-FILE_NAME_FORBIDDEN = r'[?<>:*|"\\/]'
+FILE_NAME_FORBIDDEN = '?<>:*|"\\/'
 FILE_NAME_LENGTH = 255
 
 # Unicode blocks of Chinese, Japanese and bopomofo writing, and the half-width
@@ -20,6 +17,8 @@ CJK = (
     r"\x{3100}-\x{312f}\x{3200}-\x{32ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}"
 )
 HALF_WIDTH = r"A-Za-z0-9\x{370}-\x{3ff}\x{a1}-\x{ff}"
+# One range around all of CJK, checked first: most characters of other writing fail it at once.
+MAYBE_CJK = r"(?=[\x{2e80}-\x{faff}])"
 
 # The entities replaced by expressions. The ampersand comes last, so that an
 # escaped entity is not resolved twice.
@@ -43,16 +42,17 @@ def strip(text: Column) -> Column:
 
 def title_slug(title: Column) -> Column:
     """A title as a file name: no separators, blanks as underscores, at most 255 characters."""
-    allowed = F.regexp_replace(title, FILE_NAME_FORBIDDEN, "")
-    joined = F.regexp_replace(allowed, rf"[{SPACE}]+", "_")
+    # Every kind of white space becomes a blank; what has no counterpart is dropped.
+    allowed = F.translate(title, SPACES + FILE_NAME_FORBIDDEN, " " * len(SPACES))
+    joined = F.regexp_replace(allowed, " +", "_")
     words = F.regexp_replace(joined, r"[^\p{L}\p{N}_.-]", "")
     return F.substring(words, 1, FILE_NAME_LENGTH)
 
 
 def cjk_spacing(text: Column) -> Column:
     """A blank wherever CJK writing touches Latin letters or digits."""
-    after = F.regexp_replace(text, f"([{CJK}])([{HALF_WIDTH}])", "$1 $2")
-    return F.regexp_replace(after, f"([{HALF_WIDTH}])([{CJK}])", "$1 $2")
+    after = F.regexp_replace(text, f"{MAYBE_CJK}([{CJK}])([{HALF_WIDTH}])", "$1 $2")
+    return F.regexp_replace(after, f"([{HALF_WIDTH}]){MAYBE_CJK}([{CJK}])", "$1 $2")
 
 
 def unescape(text: Column) -> Column:

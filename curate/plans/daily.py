@@ -23,6 +23,8 @@ from curate.operators.rating import (
     MINIMUM_SCORE, RATING_MODEL, TOP_ARTICLES, parse_rating, rating_requests,
 )
 from curate.operators.skew import lookup_join
+from curate.operators.stats import outcome_counts
+from curate.plans.metrics import RunMetrics
 from curate.schema import FETCHED, PARTITIONS, SELECTED, SUMMARIZED
 from curate.session import new_path
 from curate.sources.store import ArticleStore
@@ -88,7 +90,7 @@ def _replies(requests: DataFrame, client_factory: Callable, settings: Settings,
     return spark.read.schema(replies.schema).parquet(path)
 
 
-def fetch(store: ArticleStore, inputs: Inputs, settings: Settings) -> None:
+def fetch(store: ArticleStore, inputs: Inputs, settings: Settings, metrics: RunMetrics | None = None) -> None:
     """Add the articles of the days that are new and have text with a keyword in it."""
     dated = E.required(E.on_dates(E.with_entry_date(inputs.entries), *settings.dates))
     given = [name for name in ("id",) if name in dated.columns]
@@ -105,11 +107,12 @@ def fetch(store: ArticleStore, inputs: Inputs, settings: Settings) -> None:
     linked = fresh.where(blank(F.col("video_id"))).withColumn("link", F.col("url"))
     read = main_content(page_of_article(linked, inputs.pages))
     articles = videos.unionByName(read.drop("link", "page_url"))
-    store.append(E.keyword_filter(E.has_content(articles), settings.keywords))
+    kept = E.keyword_filter(E.has_content(articles), settings.keywords)
+    store.append(metrics.counted(kept, "articles_saved") if metrics else kept)
 
 
 def analyze(store: ArticleStore, inputs: Inputs, client_factory: Callable, settings: Settings,
-            replies_path: str | None = None) -> None:
+            replies_path: str | None = None, metrics: RunMetrics | None = None) -> None:
     """Rate the fetched articles, then select the best of every day and category that had any."""
     today = store.on_dates(*settings.dates)
     waiting = today.where(F.col("status") == FETCHED)
@@ -117,38 +120,52 @@ def analyze(store: ArticleStore, inputs: Inputs, client_factory: Callable, setti
     requests = rating_requests(E.has_content(waiting), inputs.criteria, settings.rating_model)
     replies = _replies(requests, client_factory, settings, path)
     ratings = parse_rating(replies.where(F.col("reply").isNotNull()), "reply")
+    if metrics:
+        for row in outcome_counts(ratings).collect():
+            metrics.increment(f"articles_rated_{row['outcome']}", row["count"])
     rated = L.apply_ratings(_within(today, _groups(waiting)), ratings)
     store.replace(L.mark_selected(rated, inputs.min_scores, settings.top_articles, settings.minimum_score))
 
 
 def summarize(store: ArticleStore, client_factory: Callable, settings: Settings,
-              replies_path: str | None = None) -> None:
+              replies_path: str | None = None, metrics: RunMetrics | None = None) -> None:
     """Add the three texts to the selected articles."""
     today = store.on_dates(*settings.dates)
     chosen = today.where(F.col("status") == SELECTED)
     path = replies_path or new_path(store.spark, "summaries")
     replies = _replies(summary_requests(chosen, settings.summary_model), client_factory, settings, path)
-    texts = merge_summaries(replies.where(F.col("reply").isNotNull()))
+    texts = _written(merge_summaries(replies.where(F.col("reply").isNotNull())), "texts")
+    if metrics:
+        metrics.increment("articles_summarized", texts.count())
     store.replace(L.apply_summaries(_within(today, _groups(chosen)), texts))
 
 
-def find_thumbnails(store: ArticleStore, inputs: Inputs, settings: Settings) -> None:
+def find_thumbnails(store: ArticleStore, inputs: Inputs, settings: Settings,
+                    metrics: RunMetrics | None = None) -> None:
     """Complete the summarized articles of days and categories that have a digest."""
     today = store.on_dates(*settings.dates)
     waiting = _within(
         today.where(F.col("status") == SUMMARIZED).select("id", "url", *PARTITIONS),
         _groups(published(today)),
     )
-    picked = thumbnail_pick(waiting, inputs.pages, inputs.url_status)
+    picked = _written(thumbnail_pick(waiting, inputs.pages, inputs.url_status), "thumbnails")
+    if metrics:
+        metrics.increment("thumbnails_found", picked.count())
     store.replace(L.apply_thumbnails(_within(today, _groups(waiting)), picked))
 
 
-def daily_run(store: ArticleStore, inputs: Inputs, client_factory: Callable, settings: Settings) -> DataFrame:
+def daily_run(store: ArticleStore, inputs: Inputs, client_factory: Callable, settings: Settings,
+              metrics: RunMetrics | None = None) -> DataFrame:
     """All stages in turn; the store afterwards."""
-    fetch(store, inputs, settings)
-    analyze(store, inputs, client_factory, settings)
-    summarize(store, client_factory, settings)
-    find_thumbnails(store, inputs, settings)
+    metrics = metrics or RunMetrics()
+    with metrics.time_block("fetch"):
+        fetch(store, inputs, settings, metrics)
+    with metrics.time_block("analyze"):
+        analyze(store, inputs, client_factory, settings, metrics=metrics)
+    with metrics.time_block("summarize"):
+        summarize(store, client_factory, settings, metrics=metrics)
+    with metrics.time_block("find_thumbnails"):
+        find_thumbnails(store, inputs, settings, metrics)
     return store.read()
 
 

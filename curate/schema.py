@@ -43,7 +43,6 @@ DIGEST_COLUMNS = (
     "source",
 )
 
-ENTRY_SCHEMA = "title string, link string, published string, updated string, feed_document string"
 FEED_SCHEMA = "category string, feed_url string, use_browser boolean, rating_criteria string"
 
 

@@ -31,5 +31,4 @@ def rows(names, values):
 
 def kind(name):
     name = str(name).lower()
-    return {"bigint": "long", "integer": "int", "varchar": "string", "boolean": "bool"}.get(
-        name, name)
+    return {"integer": "int", "varchar": "string"}.get(name, name)

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from checks.clients import OfflineClient
 from curate.operators import digest as D
+from curate.operators import stats
 from curate.plans import daily
+from curate.plans.metrics import RunMetrics
 from curate.session import new_path
 from curate.sources.store import ArticleStore
 
@@ -58,7 +60,14 @@ def everything(spark):
 
 
 def test_whole_day(spark, store):
-    daily.daily_run(store, everything(spark), OfflineClient, settings())
+    metrics = RunMetrics("run")
+    daily.daily_run(store, everything(spark), OfflineClient, settings(), metrics)
+    counted = {row.name: row["count"] for row in stats.run_counters(metrics.counters(spark)).collect()}
+    assert counted == {"articles_saved": 7, "articles_rated_success": 5, "articles_rated_irrelevant": 1,
+                       "articles_summarized": 3, "thumbnails_found": 2}
+    timed = stats.run_timings(metrics.timings(spark)).collect()
+    assert [row.name for row in timed] == ["analyze", "fetch", "find_thumbnails", "summarize"]
+    assert all(row.calls == 1 and row.total_time > 0 for row in timed)
     rows = found(store)
     states = {url: row.status for url, row in rows.items()}
     assert states == {
