@@ -7,8 +7,11 @@ from checks.clients import OfflineClient
 from checks.register import query
 from curate.functions import text as T
 from curate.operators import enrich as R
+from curate.operators import entries as E
+from curate.operators import lifecycle as L
 from curate.operators import rating as G
 from curate.operators import stats
+from curate.schema import RATED
 
 MERGED = """
     SELECT category, criterion, points, CAST(row_number() OVER (PARTITION BY category ORDER BY part, position) - 1 AS INT) AS position
@@ -103,6 +106,25 @@ def top_k_per_category(t):
     return G.top_k_per_category(narrow, t("min_scores"), 5).select("fetch_date", "category", "id", "score", "rank")
 
 
+@query(f"""
+    SELECT * FROM (
+      SELECT e.fetch_date, e.category, e.id, e.title, {S.host('e.url')} AS source, p.score, p.rating_reason,
+        CAST(row_number() OVER (PARTITION BY e.fetch_date, e.category ORDER BY p.score DESC, e.id) AS INT) AS rank
+      FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY id) AS rn FROM {{entries}} WHERE title <> '') e
+      JOIN ({PARSED}) p ON p.id = e.id LEFT JOIN {{min_scores}} m ON m.category = e.category
+      WHERE rn = 1 AND p.score >= coalesce(m.min_score, 6.5)
+    ) t WHERE rank <= 5
+""")
+def daily_best(t):
+    """From raw entries to the best of each day: dates, required fields, one row per URL, replies, top k."""
+    replies = t("raw_entries").select("id", "raw_rating")
+    new = L.first_by_url(E.required(t("entries")).select("id", "url", "title", "fetch_date", "category"))
+    rated = G.parse_rating(E.with_source(new, "url").join(replies, "id"))
+    scored = rated.withColumn("status", F.when(F.col("outcome") == G.SUCCESS, F.lit(RATED)))
+    best = G.top_k_per_category(scored, t("min_scores"), 5)
+    return best.select("fetch_date", "category", "id", "title", "source", "score", "rating_reason", "rank")
+
+
 @query("""
     SELECT id, title, score FROM {articles} WHERE status = 'rated' AND category = 'Crypto' AND fetch_date = date '2024-01-05'
       AND score >= 4.0 ORDER BY score DESC, id LIMIT 10
