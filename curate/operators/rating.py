@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curate.functions.text import strip
-from curate.operators.skew import lookup_join
+from curate.operators.skew import SALTS, lookup_join
 from curate.schema import RATED
 
 # Settings of a run.
@@ -12,6 +12,8 @@ TOP_ARTICLES = 10
 MINIMUM_SCORE = 6.5
 RATING_MODEL = "gpt-3.5-turbo"
 DEFAULT_CATEGORY = "default"
+# Up to this rank Spark cuts each group per task before the shuffle.
+RANKED_PER_TASK = 1000
 
 # The form a reply must have, and the outcomes of reading it.
 IRRELEVANT_REPLY = "not relevant"
@@ -125,11 +127,18 @@ def top_k_per_category(articles: DataFrame, min_scores: DataFrame, k: int = TOP_
     """The k best rated articles per day and category, with their `rank`; ties go by id.
 
     Give narrow rows only. Every task first keeps its own k best of each group, so what is
-    shuffled does not grow with a hot category.
+    shuffled does not grow with a hot category. Spark does that by itself for a small k; for a
+    larger one each group is first ranked in SALTS parts.
     """
-    rated = min_score_filter(articles.where(F.col("status") == RATED), min_scores, default)
-    best_first = Window.partitionBy("fetch_date", "category").orderBy(F.desc("score"), "id")
-    return rated.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+    best = min_score_filter(articles.where(F.col("status") == RATED), min_scores, default)
+    group, order = ("fetch_date", "category"), (F.desc("score"), F.asc("id"))
+    if k > RANKED_PER_TASK:
+        part = F.pmod(F.xxhash64("id"), F.lit(SALTS))
+        within = Window.partitionBy(*group, part).orderBy(*order)
+        best = best.withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= k)
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(
+        F.col("rank") <= k
+    )
 
 
 def top_k_one(articles: DataFrame, category: str, date: str, min_score: float = MINIMUM_SCORE,

@@ -58,6 +58,14 @@ def test_top_k_ties_go_by_id(spark):
     assert [(row.id, row["rank"]) for row in best.orderBy("rank").collect()] == [(1, 1), (4, 2), (0, 3)]
 
 
+def test_a_large_k_gives_the_same(spark, monkeypatch):
+    articles = ranked(spark, [float(i % 7) + 4 for i in range(300)])
+    small = G.top_k_per_category(articles, minimum(spark), 50).orderBy("rank").collect()
+    monkeypatch.setattr(G, "RANKED_PER_TASK", 10)
+    assert G.top_k_per_category(articles, minimum(spark), 50).orderBy("rank").collect() == small
+    assert len(small) == 50
+
+
 def test_top_k_respects_threshold_and_state(spark):
     low = minimum(spark, ("A", 8.0))
     assert G.top_k_per_category(ranked(spark, [7.0, None, 6.0]), low).count() == 0

@@ -21,11 +21,11 @@ def test_shared_folder_comes_from_the_session(spark):
 
 
 def test_feed_registry(spark, tmp_path):
-    (tmp_path / "feeds.json").write_text(json.dumps({
+    (tmp_path / "registry.json").write_text(json.dumps({
         "A": {"rating_criteria": "r", "feeds": ["f1", "f2"], "use_playwright": True},
         "B & C": {"feeds": []}, "D": {}, "E": {"feeds": ["f1"], "rating_criteria": None},
     }, indent=2))
-    rows = registry.feed_registry(spark, str(tmp_path / "feeds.json")).collect()
+    rows = registry.feed_registry(spark, str(tmp_path / "registry.json")).collect()
     assert sorted(tuple(row) for row in rows) == [
         ("A", "f1", True, "r"), ("A", "f2", True, "r"), ("E", "f1", False, None)]
 
@@ -85,6 +85,16 @@ def test_feed_entries(spark, tmp_path):
     assert sorted(row.title for row in kept.collect()) == ["A1", "A2", "One & two", "Two <b>"]
 
 
+def test_a_broken_document_does_not_stop_the_others(spark, tmp_path):
+    path = landed(tmp_path / "landing")
+    for name, text in (("cut", RSS[:RSS.index("</link><pubDate>")]), ("none", "not found"), ("empty", "")):
+        folder = tmp_path / "landing" / f"feed_url={name}"
+        folder.mkdir()
+        (folder / "document.xml").write_text(text)
+    kept = E.required(E.with_entry_date(feeds.feed_entries(spark, path)))
+    assert sorted(row.title for row in kept.collect()) == ["A1", "A2", "One & two", "Two <b>"]
+
+
 def test_keywords(spark):
     df = spark.createDataFrame([(1, "The ÉTÉ came"), (2, "none"), (3, None)], "id int, content string")
     def ids(words):
