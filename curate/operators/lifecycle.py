@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from curate.functions.urls import source_host
 from curate.operators.rating import MINIMUM_SCORE, TOP_ARTICLES, top_k_per_category
-from curate.operators.skew import fits
+from curate.operators.skew import fits, sendable
 from curate.schema import (
     COMPLETE, FAILED, FETCHED, INTERMEDIATE_STATES, RATED, SELECTED, STUCK_STATES, SUMMARIZED,
     as_articles,
@@ -27,10 +27,10 @@ def insert_or_ignore(batch: DataFrame, store: DataFrame, order: tuple[str, ...]
     one shuffle of URLs, and the rest follows that partitioning.
     """
     urls = batch.select("url").distinct()
-    send = F.broadcast if fits(urls) else lambda df: df
-    known = store.select("url").join(send(urls), "url", "left_semi")
-    # What is known is no more than the batch, so it fits as well.
-    fresh = first_by_url(batch, order).join(send(known), "url", "left_anti")
+    small = fits(urls)
+    known = store.select("url").join(F.broadcast(urls) if small else urls, "url", "left_semi").distinct()
+    # What is known of the batch is no more than the batch, so it fits as well.
+    fresh = first_by_url(batch, order).join(F.broadcast(known) if small else known, "url", "left_anti")
     if "id" not in batch.columns:
         fresh = fresh.withColumn("id", F.xxhash64("url"))
     return as_articles(
@@ -48,10 +48,13 @@ def processed_count(given: DataFrame, saved: DataFrame) -> DataFrame:
 def apply_updates(store: DataFrame, updates: DataFrame, values: dict[str, Column]) -> DataFrame:
     """Set columns of the articles that `updates` names by id; others stay as they are.
 
-    `values` maps a column to its new value, written over the columns of `updates`.
+    `values` maps a column to its new value, written over the columns of `updates`. These are
+    broadcast if they fit, which spares shuffling the texts of all articles.
     """
-    fresh = [value.alias(f"_{name}") for name, value in values.items()]
-    matched = store.join(updates.select("id", F.lit(True).alias("_hit"), *fresh), "id", "left")
+    fresh = updates.select(
+        "id", F.lit(True).alias("_hit"), *[value.alias(f"_{name}") for name, value in values.items()]
+    )
+    matched = store.join(sendable(fresh), "id", "left")
     return matched.select(*[
         F.when(F.col("_hit"), F.col(f"_{name}")).otherwise(F.col(name)).alias(name)
         if name in values else F.col(name)

@@ -7,7 +7,7 @@ from curate.functions import html as H
 from curate.functions.html_tree import reader
 from curate.functions.text import blank
 from curate.functions.urls import normalize_url, video_thumbnail
-from curate.operators.skew import skew_safe_join
+from curate.operators.skew import sendable, skew_safe_join
 from curate.session import shared_dir
 
 REACHABLE = 200
@@ -43,10 +43,10 @@ def entry_page(entries: DataFrame, pages: DataFrame, spread: str = "id") -> Data
 def page_of_article(articles: DataFrame, pages: DataFrame) -> DataFrame:
     """Articles, whose links are unique, with their pages; those without a page are left out.
 
-    An inner join lets Spark broadcast the articles of a day instead of shuffling all pages.
+    An inner join allows broadcasting the articles of a day instead of shuffling all pages.
     """
     keyed, found = _by_page_url(articles, pages)
-    return keyed.join(found, "page_url")
+    return found.join(sendable(keyed), "page_url")
 
 
 def selector_hit(pages: DataFrame) -> DataFrame:

@@ -22,6 +22,11 @@ def fits(df: DataFrame) -> bool:
     return (df.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES
 
 
+def sendable(df: DataFrame) -> DataFrame:
+    """`df`, marked for broadcast if it fits. For joins whose keys are unique on both sides."""
+    return F.broadcast(df) if fits(df) else df
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str, spread: str) -> DataFrame:
     """Join `left` with a table that is small as a rule: broadcast while it is, dealt out beyond.
 

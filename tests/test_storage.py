@@ -181,6 +181,16 @@ def test_updates_leave_other_rows(spark):
     assert found == {1: ("rated", 7.0, "t"), 2: ("selected_for_summary", None, "t"), 3: ("summarized", None, "t")}
 
 
+def test_a_few_updates_do_not_shuffle_the_store(spark, store, monkeypatch):
+    store.append(articles(spark, *[(i, 1, "A", "fetched") for i in range(50)]))
+    scores = spark.range(0, 50, 2).select("id", F.lit(7.0).alias("score"), F.lit("r").alias("rating_reason"))
+    few = L.apply_ratings(store.read(), scores)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr("curate.operators.skew.BROADCAST_BYTES", 0)
+    many = L.apply_ratings(store.read(), scores)
+    assert few.exceptAll(many).count() == 0 and few.where("status = 'rated'").count() == 25
+
+
 def test_finalizing_spares_the_day_itself_and_selected_ones(spark):
     rows = articles(spark, (1, 1, "A", "fetched"), (2, 2, "A", "rated"), (3, 3, "A", "rated"), (4, 1, "B", "rated"),
                     (5, 1, "A", "selected_for_summary"), (6, 1, "A", "complete"))
