@@ -1,9 +1,9 @@
 """The shared folder that staged tables and checkpoints live in."""
 
-import tempfile
+import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -11,7 +11,8 @@ SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session may go without the setting; it then gets a folder of its own.
+    Only a session within one process may go without the setting; it then gets a folder beside its
+    warehouse.
     """
     folder = spark.conf.get(SETTING, None)
     context = spark.sparkContext
@@ -22,9 +23,9 @@ def shared_dir(spark: SparkSession) -> str:
     chosen = context.getCheckpointDir()
     if chosen:
         return chosen
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError(f"{SETTING} must name a folder shared by the whole cluster")
-    folder = tempfile.mkdtemp(prefix="curate-")
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/curate-shared"
     context.setCheckpointDir(folder)
     return folder
 
@@ -32,3 +33,20 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_dir(spark).rstrip('/')}/curate/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, read back from a table in the shared folder."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that `new_path` has named, on whatever store they are."""
+    top = f"{shared_dir(spark).rstrip('/')}/curate/"
+    for path in paths:
+        if not path.startswith(top):
+            raise ValueError(f"not a path of the shared folder: {path}")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from checks.register import ORACLES, QUERIES
 from tests.compare import connect, kind, rows
 
 SF_DIR = os.environ.get("CURATE_SF_DIR", "/root/testdata/sf0.001")
@@ -18,17 +19,17 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(name, spark, duck):
-    found = entry.queries()[name](spark, SF_DIR)
-    wanted = duck.execute(entry.oracle_sql()[name])
+    found = QUERIES[name](spark, SF_DIR)
+    wanted = duck.execute(ORACLES[name])
     names = [column[0] for column in wanted.description]
     types = {column[0]: kind(column[1]) for column in wanted.description}
     assert {column: kind(type_) for column, type_ in found.dtypes} == types
