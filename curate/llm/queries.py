@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curate.llm.packing import pack_documents
 from curate.llm.pair_bpe import round_trip
+from curate.llm.personal_data import find_personal_data
+from curate.llm.quality import judge_documents
+from curate.llm.simhash import near_duplicates
+from curate.llm.stream_dedup import exact_duplicates
+from curate.llm.token_counts import count_tokens
 from curate.llm.token_files import token_files
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,16 +25,51 @@ def op1_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), VOCABULARY)
 
 
+def op3_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op4_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), distance=2, shingle=3, seed=42)
+
+
 def op5_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir), VOCABULARY, end_id=2)
 
 
+def op7_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir), VOCABULARY, limit=512)
+
+
 def op8_island_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), VOCABULARY, capacity=1024, end_id=2)
 
 
+def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(documents(spark, sf_dir))
+
+
+def op10_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sf_dir}/documents.parquet"
+    return exact_duplicates(spark, path, spark.read.parquet(path).schema).drop("place")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
-    for function in (op1_pair_bpe, op5_id_planes, op8_island_packing)
+    for function in (
+        op1_pair_bpe, op3_isolation_rules, op4_pigeonring, op5_id_planes, op7_pretoken_counts, op8_island_packing,
+        op9_weak_supervision, op10_stream_dedup,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op10_stream_dedup": r"""
+        WITH texts AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
+        ), named AS (
+            SELECT doc_id, sha256(text) AS text_sha256, min(doc_id) OVER (PARTITION BY text) AS keep_id,
+                count(*) OVER (PARTITION BY text) AS group_size
+            FROM texts
+        )
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM named
+    """.replace("\\", "\"),
 }
-ORACLES: dict[str, str] = {}
