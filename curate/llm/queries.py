@@ -71,5 +71,5 @@ ORACLES: dict[str, str] = {
             FROM texts
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM named
-    """.replace("\\", "\"),
+    """,
 }
