@@ -13,6 +13,7 @@ from curate.llm.simhash import near_duplicates
 from curate.llm.stream_dedup import exact_duplicates
 from curate.llm.token_counts import count_tokens
 from curate.llm.token_files import token_files
+from curate.llm.toxicity import score_documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -37,6 +38,10 @@ def op5_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir), VOCABULARY, end_id=2)
 
 
+def op6_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), VOCABULARY, limit=512)
 
@@ -51,14 +56,14 @@ def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/documents.parquet"
-    return exact_duplicates(spark, path, spark.read.parquet(path).schema).drop("place")
+    return exact_duplicates(spark, path, spark.read.parquet(path).schema).drop("given")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
-        op1_pair_bpe, op3_isolation_rules, op4_pigeonring, op5_id_planes, op7_pretoken_counts, op8_island_packing,
-        op9_weak_supervision, op10_stream_dedup,
+        op1_pair_bpe, op3_isolation_rules, op4_pigeonring, op5_id_planes, op6_nnpu_toxicity, op7_pretoken_counts,
+        op8_island_packing, op9_weak_supervision, op10_stream_dedup,
     )
 }
 ORACLES: dict[str, str] = {

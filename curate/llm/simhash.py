@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curate.llm.components import connected
+from curate.operators.skew import sendable
 from curate.session import written
 
 BITS = 64
@@ -56,13 +57,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """`doc_id` and the fingerprint `fp` of every row."""
+    """`doc_id`, `row` and the fingerprint `fp` of every row; `row` is as given."""
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint(text.as_py(), shingle, seed) for text in batch["text"]]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(values, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["row"], pa.array(values, pa.int64())], names=["doc_id", "row", "fp"]
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(prints, "doc_id long, fp long")
+    return docs.select("doc_id", "row", "text").mapInArrow(prints, "doc_id long, row long, fp long")
 
 
 class Ring:
@@ -142,23 +145,56 @@ def link_fingerprints(prints: DataFrame, distance: int = DISTANCE, bucket: int =
     return pairs.union(stars).distinct()
 
 
+def _rooted(prints: DataFrame, distance: int, bucket: int) -> DataFrame:
+    """`fp` and the `root` of its component for every fingerprint that occurs."""
+    distinct = written(prints.select("fp").distinct(), "distinct-fingerprints")
+    roots = connected(link_fingerprints(distinct, distance, bucket))
+    return written(
+        distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+            "fp", F.coalesce("root", "fp").alias("root")
+        ),
+        "rooted-fingerprints",
+    )
+
+
+def _first_rows(prints: DataFrame, rooted: DataFrame) -> DataFrame:
+    """`fp` and the `first` row of its component: the smallest `doc_id`, NULL last, then the row number. The rows
+    of a fingerprint are cut down to one before they meet those of its component."""
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
+    of_print = prints.groupBy("fp").agg(F.min(order).alias("first"))
+    joined = written(rooted.join(of_print, "fp"), "first-rows")
+    names = joined.groupBy("root").agg(F.min("first").alias("first"))
+    return written(joined.drop("first").join(names, "root").select("fp", "first"), "components")
+
+
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, seed: int = SEED,
                     bucket: int = BUCKET) -> DataFrame:
     """`doc_id`, `fingerprint` and `component_id` for every row.
 
     A NULL text is empty; texts without a word have fingerprint zero and are linked like any other. A
     component is named by its smallest `doc_id`; a NULL `doc_id` names none, and where all are NULL the
-    name is NULL. Repeated rows each have their row. Other columns are not looked at.
+    name is NULL. Repeated rows each have their row. An empty table has no rows. Other columns are not
+    looked at.
     """
-    prints = written(fingerprints(docs, shingle, seed), "fingerprints")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = connected(link_fingerprints(distinct.select("fp"), distance, bucket))
-    of_print = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least"
+    rows = docs.select("doc_id", "text", F.lit(0).cast("long").alias("row"))
+    prints = written(fingerprints(rows, shingle, seed), "fingerprints")
+    first = _first_rows(prints, _rooted(prints, distance, bucket))
+    return prints.join(first, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"),
     )
-    named = written(of_print, "rooted-fingerprints")
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(named.join(names, "root").select("fp", "component_id"), "components")
-    return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+
+
+def one_of_each(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, seed: int = SEED,
+                bucket: int = BUCKET) -> DataFrame:
+    """The rows of `docs`, all columns, that are the first of their component: the one with the smallest `doc_id`,
+    NULL last, and exactly one of repeated rows. The rows are staged under numbers of their own, and those
+    that go are sent to the others if they are few."""
+    given = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("given")
+    staged = written(docs.select(given, F.monotonically_increasing_id().alias("row")), "numbered")
+    prints = written(fingerprints(staged.select("given.doc_id", "given.text", "row"), shingle, seed), "fingerprints")
+    first = _first_rows(prints, _rooted(prints, distance, bucket))
+    gone = written(
+        prints.join(first, "fp").where(F.col("row") != F.col("first.row")).select("row"), "near-duplicates"
     )
+    return staged.join(sendable(gone), "row", "left_anti").select("given.*")

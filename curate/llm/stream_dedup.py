@@ -35,12 +35,12 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def _located(docs: DataFrame, digest_chars: int) -> DataFrame:
-    """Rows of a file source with digest, text and the order in which rows stay: the smallest
-    `doc_id`, NULL last, then the place of the row."""
+def _located(docs: DataFrame, digest_chars: int, columns: list[str]) -> DataFrame:
+    """Rows of a file source as `given`, a struct of some columns, with digest and the order in which rows stay:
+    the smallest `doc_id`, NULL last, then the place of the row."""
     text = normalised(F.col("text"))
     return docs.select(
-        "doc_id", text.alias("text"), sha256(text).alias("text_sha256"),
+        F.struct(*[F.col(f"`{name}`") for name in columns]).alias("given"), sha256(text).alias("text_sha256"),
         sha256(text).substr(1, digest_chars).alias("digest"),
         F.struct(
             F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"),
@@ -62,7 +62,7 @@ def digest_stream(spark: SparkSession, path: str, schema: StructType, checkpoint
     try:
         stream = spark.readStream.schema(schema).options(**{"maxBytesPerTrigger": str(BATCH_BYTES)} | (options or {}))
         met = (
-            _located(stream.parquet(_source(spark, path)), digest_chars).groupBy("digest")
+            _located(stream.parquet(_source(spark, path)), digest_chars, ["doc_id"]).groupBy("digest")
             .agg(F.min("place").alias("place"), F.count("*").alias("size"))
         )
 
@@ -83,8 +83,9 @@ def digest_stream(spark: SparkSession, path: str, schema: StructType, checkpoint
 
 
 def exact_duplicates(spark: SparkSession, path: str, schema: StructType, digest_chars: int = 64,
-                     options: dict | None = None) -> DataFrame:
-    """`doc_id`, `keep_id`, `group_size`, `kept`, `text_sha256`, and the `place` of each row under `path`.
+                     options: dict | None = None, columns: list[str] | None = None) -> DataFrame:
+    """`doc_id`, `keep_id`, `group_size`, `kept` and `text_sha256` of each row under `path`, and `given`, a struct
+    of `columns` (by default `doc_id` alone).
 
     Of equal texts the row with the smallest `doc_id` stays, a NULL one last, and of repeated `doc_id`s
     the one whose file and row come first, so each group keeps exactly one row. NULL texts are empty. An
@@ -94,20 +95,22 @@ def exact_duplicates(spark: SparkSession, path: str, schema: StructType, digest_
     checkpoint, updates = new_path(spark, "digest-stream"), new_path(spark, "digest-updates")
     digest_stream(spark, path, schema, checkpoint, updates, digest_chars, options)
     place = "struct<unknown: boolean, doc_id: bigint, file: string, row: bigint>"
-    columns = f"digest string, place {place}, size bigint"
+    state = f"digest string, place {place}, size bigint"
     if _exists(spark, updates):
-        found = spark.read.schema(f"{columns}, batch int").parquet(updates)
+        found = spark.read.schema(f"{state}, batch int").parquet(updates)
     else:
-        found = spark.createDataFrame([], columns)
+        found = spark.createDataFrame([], state)
     groups = written(
         found.groupBy("digest").agg(F.min("place").alias("first"), F.max("size").alias("size")), "digests"
     )
     remove(spark, checkpoint, updates)
-    rows = _located(spark.read.schema(schema).parquet(path), digest_chars)
-    # The text goes along only where the digest was met again.
+    carried = list(dict.fromkeys([*(columns or ["doc_id"]), "text"]))
+    rows = _located(spark.read.schema(schema).parquet(path), digest_chars, carried)
+    # The text to compare goes along only where the digest was met again.
+    given = F.col("given") if "text" in (columns or []) else F.col("given").dropFields("text")
     located = rows.join(groups, "digest").select(
-        "digest", "doc_id", "place", "first", "size", "text_sha256",
-        F.when(F.col("size") > 1, F.col("text")).alias("text"),
+        "digest", given.alias("given"), "place", "first", "size", "text_sha256",
+        F.when(F.col("size") > 1, normalised(F.col("given.text"))).alias("text"),
     )
     located = written(located, "located")
     again = located.where("size > 1")
@@ -117,8 +120,9 @@ def exact_duplicates(spark: SparkSession, path: str, schema: StructType, digest_
         hits.join(first, "digest").where("text <> kept_text").select("digest").distinct(), "clashes"
     )
     result = [
-        F.col("doc_id"), F.col("first.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
-        (F.col("place") == F.col("first")).alias("kept"), F.col("text_sha256"), F.col("place"),
+        F.col("place.doc_id").alias("doc_id"), F.col("first.doc_id").alias("keep_id"),
+        F.col("size").alias("group_size"), (F.col("place") == F.col("first")).alias("kept"), F.col("text_sha256"),
+        F.col("given"),
     ]
     if clash.isEmpty():
         return located.select(*result)
@@ -130,6 +134,16 @@ def exact_duplicates(spark: SparkSession, path: str, schema: StructType, digest_
     )
 
 
+def kept_rows(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, that stay. The stream needs files, so the rows are staged first."""
+    spark = docs.sparkSession
+    path = new_path(spark, "to-deduplicate")
+    docs.write.parquet(path)
+    found = exact_duplicates(spark, path, docs.schema, columns=docs.columns)
+    remove(spark, path)
+    return found.where("kept").select("given.*")
+
+
 def _status(spark: SparkSession, path: str):
     """The status of a file or folder on any store, or None."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
