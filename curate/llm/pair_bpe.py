@@ -30,11 +30,11 @@ class PairIndex:
 
     def __init__(self, vocab: dict[str, int], merges: list):
         pairs = [tuple(merge.split(" ")) if isinstance(merge, str) else tuple(merge) for merge in merges]
-        made = {}
+        made: dict[str, int] = {}
         for rank, (left, right) in enumerate(pairs):
-            if made.get(left, -1) >= rank or made.get(right, -1) >= rank:
-                raise ValueError("a merge uses a symbol that a later merge makes")
             made.setdefault(left + right, rank)
+        if any(made.get(symbol, -1) >= rank for rank, pair in enumerate(pairs) for symbol in pair):
+            raise ValueError("a merge uses a symbol that a later merge makes")
         self.left = np.array([vocab[left] for left, _ in pairs], np.int64)
         self.right = np.array([vocab[right] for _, right in pairs], np.int64)
         self.result = np.array([vocab[left + right] for left, right in pairs], np.int64)

@@ -1,0 +1,162 @@
+"""Encoding, token files and counts against the library."""
+
+import hashlib
+import io
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from curate.llm.pair_bpe import PairEncoder, PairIndex, decode_documents, encode_documents, round_trip
+from curate.llm.token_counts import count_tokens
+from curate.llm.token_files import BITS, BYTES, PlaneReader, PlaneWriter, from_planes, to_planes, token_files
+from curate.llm.tokens import ID, Encoder
+from tests.llm.conftest import HARD
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+@pytest.fixture(scope="module", params=[Encoder, PairEncoder])
+def encoder(request):
+    return request.param(VOCABULARY)
+
+
+def ids_of(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+def numbers(raw):
+    return np.frombuffer(raw, ID).tolist()
+
+
+def odd_texts():
+    picked = random.Random(3)
+    parts = ["a", "b", " ", "\n", "é", "日", "1", "'s", "<|endoftext|>", "\t", "  ", "😀", "the", ".", " ", "\x85", "\x1c"]
+    for _ in range(1500):
+        yield "".join(picked.choice(parts) for _ in range(picked.randrange(1, 30)))
+    for point in [*range(1, 0x3100), *picked.sample(range(0xE000, 0x110000), 1500)]:
+        c = chr(point)
+        yield f"a {c} b{c}\n{c}c{c} {c}d 1{c}"
+
+
+def test_same_ids_as_the_library(encoder, library):
+    for text in [text for _, text in HARD] + list(odd_texts()):
+        assert numbers(encoder.encode(text)) == ids_of(library, text), repr(text)[:80]
+
+
+def test_pair_index_over_a_block(library):
+    encoder = PairEncoder(VOCABULARY)
+    texts = [text or "" for _, text in HARD] + list(odd_texts())[:1500]
+    encoder.prepare(texts)
+    for text in texts:
+        assert numbers(encoder.encode(text)) == ids_of(library, text)
+        assert encoder.decode(encoder.encode(text)) == text
+
+
+def test_decoding_of_broken_bytes(library):
+    encoder = PairEncoder(VOCABULARY)
+    for seed in range(200):
+        ids = random.Random(seed).choices(range(50257), k=12)
+        assert encoder.decode(np.array(ids, ID).tobytes()) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_merges_out_of_order_are_refused():
+    from curate.llm.tokens import byte_letters
+
+    vocab = {letter: number for number, letter in enumerate([*byte_letters(), "ab", "abc"])}
+    with pytest.raises(ValueError):
+        PairIndex(vocab, [["ab", "c"], ["a", "b"]])
+
+
+def test_equal_neighbours_merge_from_the_left():
+    from curate.llm.tokens import byte_letters
+
+    vocab = {letter: number for number, letter in enumerate([*byte_letters(), "aa", "aaaa"])}
+    index = PairIndex(vocab, [["a", "a"], ["aa", "aa"]])
+    a, two, four = vocab["a"], vocab["aa"], vocab["aaaa"]
+    found = index.encode([b"a" * n for n in range(8)])
+    assert [part.tolist() for part in found] == [
+        [], [a], [two], [two, a], [four], [four, a], [four, two], [four, two, a]
+    ]
+
+
+def test_round_trip(hard, nothing, documents, library):
+    for docs in (hard.select("*"), documents):
+        expected = Counter()
+        for doc_id, text in docs.select("doc_id", "text").collect():
+            ids = ids_of(library, text)
+            expected[doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                     hashlib.sha256((text or "").encode()).hexdigest()] += 1
+        assert Counter(map(tuple, round_trip(docs, VOCABULARY).collect())) == expected
+    assert round_trip(nothing, VOCABULARY).count() == 0
+
+
+def test_encoded_and_decoded_documents(hard):
+    back = decode_documents(encode_documents(hard, VOCABULARY), VOCABULARY)
+    assert Counter(map(tuple, back.collect())) == Counter((doc_id, text or "") for doc_id, text in HARD)
+
+
+@pytest.mark.parametrize("planes", [BYTES, BITS])
+def test_planes(planes):
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 7, 8, 1000):
+        ids = rng.integers(0, 2**32, n, dtype=np.uint32)
+        assert from_planes(to_planes(ids, planes), planes, n).tolist() == ids.tolist()
+
+
+@pytest.mark.parametrize("planes", [BYTES, BITS])
+def test_a_file_and_its_chunk_index(planes):
+    rng = np.random.default_rng(6)
+    docs = [(number if number % 5 else None, rng.integers(0, 50257, size, dtype=np.uint32))
+            for number, size in enumerate([0, 3, 250, 1, 0, 99, 100, 101, 1000])]
+    sink = io.BytesIO()
+    writer = PlaneWriter(sink, planes, block_ids=100)
+    for doc_id, ids in docs:
+        writer.add(doc_id, ids.tobytes())
+    writer.close()
+    every = np.concatenate([ids for _, ids in docs])
+    reader = PlaneReader(sink)
+    read = [(doc_id, start, [*parts]) for doc_id, start, parts in reader.documents()]
+    assert [(doc_id, np.concatenate([np.empty(0, ID), *parts]).tolist()) for doc_id, _, parts in read] == [
+        (doc_id, ids.tolist()) for doc_id, ids in docs
+    ]
+    for start, n in ((0, 5), (95, 10), (250, 700), (1549, 5)):
+        assert np.concatenate([*reader.ids(start, n)]).tolist() == every[start:start + n].tolist()
+    assert [start for _, start, _ in reader.documents()] == np.cumsum([0, *(len(ids) for _, ids in docs)])[:-1].tolist()
+
+
+@pytest.mark.parametrize("planes", [BYTES, BITS])
+def test_token_files(hard, nothing, documents, library, planes):
+    for docs in (hard, documents):
+        found = token_files(docs, VOCABULARY, end_id=2, planes=planes).collect()
+        texts: dict = {}
+        for doc_id, text in docs.select("doc_id", "text").collect():
+            texts.setdefault(doc_id, []).append(np.array([*ids_of(library, text), 2], ID).tobytes())
+        sizes = Counter((doc_id, len(ids) // 4, zlib.crc32(ids)) for doc_id, all_ids in texts.items() for ids in all_ids)
+        assert Counter((row["doc_id"], row["n_tokens"], row["ids_crc32"]) for row in found) == sizes
+        at = 0
+        for row in sorted(found, key=lambda row: row["start"]):
+            assert row["start"] == at
+            at += row["n_tokens"]
+        order = [row["doc_id"] for row in sorted(found, key=lambda row: row["start"])]
+        assert order == sorted(order, key=lambda doc_id: (doc_id is not None, doc_id))
+    assert token_files(nothing, VOCABULARY, planes=planes).count() == 0
+
+
+def test_token_counts(hard, nothing, documents, library):
+    for docs in (hard, documents):
+        expected = Counter()
+        for doc_id, text in docs.select("doc_id", "text").collect():
+            n = len(ids_of(library, text))
+            expected[doc_id, len((text or "").encode()), n, n > 512] += 1
+        assert Counter(map(tuple, count_tokens(docs, VOCABULARY, limit=512).collect())) == expected
+    assert count_tokens(nothing, VOCABULARY).count() == 0
