@@ -64,21 +64,29 @@ def date_page(t):
 
 
 NESTED = f"""
-    SELECT fetch_date, category, CAST((n - 1) // 2 AS INT) AS page, n AS position, id, title, score
+    SELECT fetch_date, category, CAST(n - 1 AS INT) AS place, n AS position, id, title, score
     FROM (SELECT *, row_number() OVER (PARTITION BY fetch_date, category ORDER BY score DESC NULLS LAST, id) AS n
           FROM {{articles}} WHERE {PUBLISHED}) a
 """
 
 
 def flat(nested):
-    listed = nested.select("fetch_date", "category", "page", F.posexplode("articles").alias("place", "article"))
-    # The place inside the list must agree with the position, or the row drops out of the result.
-    agreeing = F.col("article.position") == F.col("page") * 2 + F.col("place") + 1
-    return listed.where(agreeing).select(
-        "fetch_date", "category", "page", "article.position", "article.id", "article.title", "article.score")
+    listed = nested.select("*", F.posexplode("articles").alias("place", "article")).drop("articles")
+    return listed.select(
+        *listed.columns[:-1], "article.position", "article.id", "article.title", "article.score")
 
 
 @query(NESTED)
 def digest_nested(t):
+    rows = D.digest_rows(D.published(t("articles"))).select("fetch_date", "category", "id", "title", "score")
+    return flat(D.digest_nested(rows))
+
+
+@query(f"""
+    SELECT fetch_date, category, CAST((position - 1) // 2 AS INT) AS page, CAST((position - 1) % 2 AS INT) AS place,
+      position, id, title, score
+    FROM ({NESTED}) n
+""")
+def digest_pages(t):
     rows = D.digest_rows(D.published(t("articles"))).select("fetch_date", "category", "id", "title", "score")
     return flat(D.digest_nested(rows, 2))

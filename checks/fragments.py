@@ -1,12 +1,19 @@
 """SQL for what several statements share. Plain SQL only; Spark never sees it."""
 
-from curate.functions import text as T
-
 # White space for use inside [].
 SPACE = (
     r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-SPACES = "concat(" + ", ".join(f"chr({ord(character)})" for character in T.SPACES) + ")"
+BLANKS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+SPACES = "concat(" + ", ".join(f"chr({code})" for code in BLANKS) + ")"
+# The entities that the pages of the tables and views hold.
+ENTITIES = (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&lt;", "<"), ("&gt;", ">"), ("&apos;", "'"), ("&#39;", "'"),
+            ("&nbsp;", "\xa0"), ("&#038;", "&"), ("&eacute;", "é"), ("&amp;", "&"))
+# Chinese, Japanese and bopomofo writing, and what is set apart behind and before it.
+CJK = (r"\x{2e80}-\x{2eff}\x{2f00}-\x{2fdf}\x{3040}-\x{309f}\x{30a0}-\x{30fa}\x{30fc}-\x{30ff}\x{3100}-\x{312f}"
+       r"\x{3200}-\x{32ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}")
+BEHIND = r"A-Za-z0-9@$%^&*+=|/\\\-\x{370}-\x{3ff}\x{a1}-\x{ff}\x{2150}-\x{218f}\x{2700}-\x{27bf}"
+BEFORE = r"A-Za-z0-9~$%^&*+=|/!;:,.?\\\-\x{370}-\x{3ff}\x{a1}-\x{ff}\x{2150}-\x{218f}\x{2700}-\x{27bf}"
 CLEAN = (
     r"regexp_replace({html}, '(?is)<!--.*?-->|<script(?:[\s/][^>]*)?>.*?</script\s*>"
     r"|<style(?:[\s/][^>]*)?>.*?</style\s*>', chr(1), 'g')"
@@ -18,7 +25,7 @@ def clean(html: str) -> str:
 
 
 def unescaped(text: str) -> str:
-    for entity, character in T.ENTITIES:
+    for entity, character in ENTITIES:
         character = "chr(39)" if character == "'" else f"'{character}'"
         text = f"replace({text}, '{entity}', {character})"
     return text
@@ -26,7 +33,7 @@ def unescaped(text: str) -> str:
 
 def unescaped_text(text: str) -> str:
     """As HTML has it in text: old names count without their semicolon, too."""
-    for entity, character in T.ENTITIES:
+    for entity, character in ENTITIES:
         character = "chr(39)" if character == "'" else f"'{character}'"
         optional = "" if entity in ("&apos;", "&#39;") else "?"
         text = f"regexp_replace({text}, '{entity}{optional}', {character}, 'g')"
@@ -66,6 +73,7 @@ def og_image(html: str) -> str:
     return f"nullif({attribute(meta, 'content')}, '')"
 
 
+# Fixed values in it: endings of pictures, and parts of addresses that mark no picture of an article.
 def first_image(html: str, url: str) -> str:
     """The first fitting picture; resolved for the forms the view of pages uses."""
     source = attribute("x", "src")
@@ -93,9 +101,9 @@ def literal(text: str) -> str:
 
 
 def spaced(text: str) -> str:
-    """A blank between CJK writing and Latin letters or digits."""
-    after = f"regexp_replace({text}, '([{T.CJK}])([{T.HALF_WIDTH}])', '\\1 \\2', 'g')"
-    return f"regexp_replace({after}, '([{T.HALF_WIDTH}])([{T.CJK}])', '\\1 \\2', 'g')"
+    """A blank between CJK writing and Latin letters, digits or symbols."""
+    after = f"regexp_replace({text}, '([{CJK}])([{BEHIND}])', '\\1 \\2', 'g')"
+    return f"regexp_replace({after}, '([{BEFORE}])([{CJK}])', '\\1 \\2', 'g')"
 
 
 PUBLISHED = "status IN ('complete', 'summarized') AND chinese_summary IS NOT NULL AND chinese_summary <> ''"

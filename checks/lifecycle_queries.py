@@ -39,11 +39,15 @@ def apply_updates(t):
 
 @query("""
     SELECT a.id, coalesce(r.score, a.score) AS score, r.rating_reason, CASE WHEN r.id IS NULL THEN a.status ELSE 'rated' END AS status
-    FROM {articles} a LEFT JOIN (SELECT * FROM {ratings} WHERE score IS NOT NULL) r ON r.id = a.id
+    FROM {articles} a LEFT JOIN (SELECT * FROM {ratings} WHERE score IS NOT NULL) r ON r.id = a.id AND a.status = 'fetched'
 """)
 def apply_ratings(t):
     articles = t("articles").select("id", "score", F.lit(None).cast("string").alias("rating_reason"), "status")
-    return L.apply_ratings(articles, t("ratings"))
+    # Ratings of articles in other states, and the same again, change nothing.
+    ratings = t("ratings").select("id", "score", "rating_reason")
+    others = t("articles").where("status <> 'fetched'").select(
+        "id", F.lit(1.0).alias("score"), F.lit("late").alias("rating_reason"))
+    return L.apply_ratings(articles, ratings.union(others).union(ratings))
 
 
 @query("""
@@ -66,7 +70,9 @@ def mark_selected(t):
 def apply_summaries(t):
     articles = t("articles").select(
         "id", F.lit("").alias("chinese_title"), "english_summary", "chinese_summary", "status")
-    return L.apply_summaries(articles, t("summaries"))
+    others = t("articles").where("status <> 'selected_for_summary'").select(
+        "id", *[F.lit("late").alias(name) for name in ("chinese_title", "english_summary", "chinese_summary")])
+    return L.apply_summaries(articles, t("summaries").unionByName(others))
 
 
 @query("""
@@ -75,7 +81,8 @@ def apply_summaries(t):
 """)
 def apply_thumbnails(t):
     articles = t("articles").select("id", F.lit(None).cast("string").alias("thumbnail_url"), "status")
-    return L.apply_thumbnails(articles, t("thumbnails"))
+    others = t("articles").where("status <> 'summarized'").select("id", F.lit("late").alias("thumbnail_url"))
+    return L.apply_thumbnails(articles, t("thumbnails").unionByName(others))
 
 
 STUCK = f"category = '{CATEGORY}' AND fetch_date < date '{DAY}' AND status IN ('fetched', 'rated')"
@@ -134,9 +141,14 @@ def run_timings(t):
         "name", "calls", F.round("total_time", 4).alias("total_time"), F.round("avg_time", 6).alias("avg_time"))
 
 
+@query("SELECT video_id, string_agg(text, ' ' ORDER BY seq, text) AS text FROM {transcript} GROUP BY video_id")
+def transcript_text(t):
+    return digest.transcript_text(t("transcript"))
+
+
 @query("""
     SELECT video_id, CAST((n - 1) // 3 AS INT) AS part, string_agg(text, ' ' ORDER BY n) AS text
     FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY seq, text) AS n FROM {transcript}) s GROUP BY video_id, (n - 1) // 3
 """)
-def transcript_text(t):
+def transcript_parts(t):
     return digest.transcript_text(t("transcript"), 3)

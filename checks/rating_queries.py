@@ -168,7 +168,7 @@ def summary_prompts(t):
 """)
 def enrich(t):
     requests = G.rating_requests(t("articles").select("id", "category", "content"), t("criteria"))
-    return R.enrich(requests, OfflineClient, retry_delay=0.0)
+    return R.enrich(requests, OfflineClient, retry_delay=0.0).drop("seconds")
 
 
 def reply_of(kind):

@@ -9,12 +9,12 @@ from checks.register import query
 from curate.operators import digest as D
 from curate.operators import lifecycle as L
 from curate.operators.entries import with_entry_date
-from curate.plans.daily import Inputs, Settings, daily_run as run_all
+from curate.plans.daily import Inputs, Settings, daily_run as run_all, fetch
 from curate.session import new_path
 from curate.sources import feeds as feed_files
 from curate.sources import registry, sinks
 from curate.sources.store import ArticleStore
-from curate.streaming.incremental import ingest_new_documents
+from curate.streaming.incremental import ingest_new_documents, pending_entries
 
 CATEGORY, DAY = "Crypto", "2024-01-05"
 
@@ -128,32 +128,41 @@ def entries_to_csv(t):
 @query(NESTED)
 def digest_to_json(t):
     rows = D.digest_rows(D.published(t("articles"))).select("fetch_date", "category", "id", "title", "score")
-    nested = D.digest_nested(rows, 2)
+    nested = D.digest_nested(rows)
     path = new_path(rows.sparkSession, "digest")
     sinks.digest_to_json(nested, path)
     return flat(rows.sparkSession.read.schema(nested.schema).json(path))
 
 
+DAYS = tuple(f"2024-01-{day:02d}" for day in range(1, 32)) + ("2023-12-31",)
+PAGE_TEXT = S.lines(S.element(S.clean("p.html"), "article"))
 FIRST = "SELECT *, row_number() OVER (PARTITION BY link ORDER BY {0} utc_date, category, title) AS rn"
 
 
 @query(f"""
-    SELECT link AS url, title, utc_date AS publication_date, category, {S.host('link')} AS source FROM (
-      {FIRST.format("wave,")} FROM (
-        SELECT d.*, f.category, CASE WHEN d.lang = 'en' THEN 0 ELSE 1 END AS wave
-        FROM {{dated_texts}} d JOIN {{feeds}} f ON f.feed_url = d.feed_url WHERE utc_date IS NOT NULL) e
-    ) n WHERE rn = 1
+    SELECT link AS url, title, utc_date AS publication_date, category, {S.host('link')} AS source,
+      {PAGE_TEXT} AS content, 'fetched' AS status FROM (
+      {FIRST.format("")} FROM (
+        SELECT d.*, f.category FROM {{run_entries}} d JOIN {{feeds}} f ON f.feed_url = d.feed_url WHERE utc_date IS NOT NULL) e
+    ) n JOIN {{pages}} p ON p.url = n.link WHERE rn = 1 AND {PAGE_TEXT} <> ''
 """)
 def incremental_ingest(t):
-    """Two landings: the feeds in English, then all feeds, so that the second repeats the first."""
-    entries = t("dated_texts")
+    """Two landings: the feeds in English, then all feeds, so that the second repeats the first. What the stream has
+    landed, a run fetches."""
+    entries = t("run_entries")
     spark = entries.sparkSession
-    landing, checkpoint = new_path(spark, "landing"), new_path(spark, "stream")
+    landing, checkpoint, pending = (new_path(spark, name) for name in ("landing", "stream", "pending"))
     store = ArticleStore(spark, new_path(spark, "store"))
     for wave in (entries.where(F.col("lang") == "en"), entries):
         land(wave, landing)
-        ingest_new_documents(spark, landing, t("feeds"), store, checkpoint).awaitTermination()
-    return store.read().select("url", "title", "publication_date", "category", "source")
+        ingest_new_documents(spark, landing, pending, checkpoint).awaitTermination()
+    inputs = Inputs(
+        entries=pending_entries(spark, pending), feeds=t("feeds"), pages=t("pages"),
+        transcripts=t("transcript").select(F.lit("none").alias("video_id"), "text").limit(0), criteria=t("criteria"),
+        min_scores=t("min_scores"), url_status=t("url_status"),
+    )
+    fetch(store, inputs, Settings(dates=DAYS))
+    return store.read().select("url", "title", "publication_date", "category", "source", "content", "status")
 
 
 def run_sql():
@@ -211,16 +220,17 @@ def run_sql():
 def daily_run(t):
     entries = t("run_entries")
     spark = entries.sparkSession
-    whole = D.transcript_text(t("transcript")).groupBy("video_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "text"))), lambda row: row["text"]), " ").alias("text")
-    ).withColumn("video_id", F.col("video_id").cast("string"))
+    whole = D.transcript_text(t("transcript")).withColumn("video_id", F.col("video_id").cast("string"))
+    # A second, shorter transcript of every video, and an older fetch of every page.
+    whole = whole.unionByName(whole.withColumn("text", F.substring("text", 1, 5)))
+    pages = t("pages_img").withColumn("fetched_at", F.lit("2024-01-02"))
+    older = pages.withColumns({"fetched_at": F.lit("2024-01-01"), "html": F.lit("<article>old</article>")})
     inputs = Inputs(
         entries=entries.select("id", "title", "link", "published", "updated", "feed_url"), feeds=t("feeds"),
-        pages=t("pages_img"), transcripts=whole, criteria=t("criteria"), min_scores=t("min_scores"),
+        pages=pages.unionByName(older), transcripts=whole, criteria=t("criteria"), min_scores=t("min_scores"),
         url_status=t("url_status"),
     )
-    days = tuple(f"2024-01-{day:02d}" for day in range(1, 32)) + ("2023-12-31",)
-    settings = Settings(dates=days, keywords=["The", "É"], top_articles=2, minimum_score=5.0, retry_delay=0.0)
+    settings = Settings(dates=DAYS, keywords=["The", "É"], top_articles=2, minimum_score=5.0, retry_delay=0.0)
     store = ArticleStore(spark, new_path(spark, "store"))
     result = run_all(store, inputs, OfflineClient, settings)
     return result.select(

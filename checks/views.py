@@ -199,7 +199,7 @@ VIEWS = {
     """,
     # A run's entries: links to landed pages, several to one page, and links to videos.
     "run_entries": """
-        SELECT t.id, t.title, t.feed_url, t.published, t.updated, t.utc_date,
+        SELECT t.id, t.lang, t.title, t.feed_url, t.published, t.updated, t.utc_date,
           CASE WHEN t.id % 10 = 9 THEN concat('https://www.youtube.com/watch?v=', CAST(t.id % 97 AS STRING)) ELSE p.url END AS link
         FROM {dated_texts} t JOIN {pages} p ON p.page_id = t.id % (SELECT count(*) FROM {pages})
     """,

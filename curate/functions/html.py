@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from curate.functions.text import ENTITIES, strip, unescape
+from curate.functions.text import ENTITIES, resolve_entities, strip, unescape
 from curate.functions.urls import resolve
 
 # Where the main text of a page is looked for, in this order.
@@ -128,9 +128,12 @@ def nests(html: Column, hit: Column, block: Column, marked: Column, lower: Colum
         ends_too_much = ends_too_much | (
             _occurrences(lower, F.lit(f"</{tag}")) > _occurrences(lower, F.lit(f"<{tag}"))
         )
+    # The patterns that find containers do not tell an attribute from a value that looks like one.
+    quoted = r"""(?is)<[a-z][^<>]*=\s*(?:"[^"<>]*\s(?:class|id|role)\s*=|'[^'<>]*\s(?:class|id|role)\s*=)"""
     return (
         (block == "")
         | html.contains(MARK)
+        | html.rlike(quoted)
         | inside_itself
         | lower.contains("<template") | lower.contains("<rt") | lower.contains("<rp")
         | ends_too_much
@@ -156,22 +159,26 @@ def attribute(tag: Column, name: str) -> Column:
     written = F.nullif(
         F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1), F.lit("")
     )
-    return unescape(F.regexp_replace(written, """^["']|["']$""", ""))
+    return resolve_entities(F.regexp_replace(written, """^["']|["']$""", ""))
+
+
+def _tag(name: str) -> str:
+    """A tag with its attributes, whose values may hold what else would end it."""
+    return rf"""(?is)<{name}(?=[\s/])[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
 
 
 def og_image(clean: Column) -> Column:
     """Preview picture a page names for itself; NULL where it names none."""
-    meta = F.regexp_extract(
-        clean,
-        r"""(?is)<meta\s(?:[^>]*?\s)?property\s*=\s*(?:"og:image"|'og:image'|og:image(?=[\s/>]))[^>]*>""",
-        0,
+    named = F.filter(
+        F.regexp_extract_all(clean, F.lit(_tag("meta")), F.lit(0)),
+        lambda tag: F.coalesce(attribute(tag, "property") == "og:image", F.lit(False)),
     )
-    return F.nullif(attribute(meta, "content"), F.lit(""))
+    return F.nullif(attribute(F.try_element_at(named, F.lit(1)), "content"), F.lit(""))
 
 
 def pictures(clean: Column) -> Column:
     """The picture tags of a page in order, with their address and declared sides."""
-    tags = F.regexp_extract_all(clean, F.lit(r"(?is)<img(?=[\s/])[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(clean, F.lit(_tag("img")), F.lit(0))
     return F.transform(tags, lambda tag: F.struct(
         attribute(tag, "src").alias("source"),
         attribute(tag, "width").alias("width"),

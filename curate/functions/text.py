@@ -1,5 +1,7 @@
 """Text columns: stripping, file-name slugs, CJK spacing, entities."""
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,7 +18,9 @@ CJK = (
     r"\x{2e80}-\x{2eff}\x{2f00}-\x{2fdf}\x{3040}-\x{309f}\x{30a0}-\x{30fa}\x{30fc}-\x{30ff}"
     r"\x{3100}-\x{312f}\x{3200}-\x{32ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}"
 )
-HALF_WIDTH = r"A-Za-z0-9\x{370}-\x{3ff}\x{a1}-\x{ff}"
+HALF_WIDTH = r"A-Za-z0-9$%^&*+=|/\\\-\x{370}-\x{3ff}\x{a1}-\x{ff}\x{2150}-\x{218f}\x{2700}-\x{27bf}"
+# Marks that are set apart only behind, or only before, CJK writing.
+ONLY_BEHIND, ONLY_BEFORE = "@", "~!;:,.?"
 # One range around all of CJK, checked first: most characters of other writing fail it at once.
 MAYBE_CJK = r"(?=[\x{2e80}-\x{faff}])"
 
@@ -50,9 +54,9 @@ def title_slug(title: Column) -> Column:
 
 
 def cjk_spacing(text: Column) -> Column:
-    """A blank wherever CJK writing touches Latin letters or digits."""
-    after = F.regexp_replace(text, f"{MAYBE_CJK}([{CJK}])([{HALF_WIDTH}])", "$1 $2")
-    return F.regexp_replace(after, f"([{HALF_WIDTH}]){MAYBE_CJK}([{CJK}])", "$1 $2")
+    """A blank wherever CJK writing touches Latin letters, digits or symbols."""
+    after = F.regexp_replace(text, f"{MAYBE_CJK}([{CJK}])([{ONLY_BEHIND}{HALF_WIDTH}])", "$1 $2")
+    return F.regexp_replace(after, f"([{ONLY_BEFORE}{HALF_WIDTH}]){MAYBE_CJK}([{CJK}])", "$1 $2")
 
 
 def unescape(text: Column) -> Column:
@@ -62,6 +66,36 @@ def unescape(text: Column) -> Column:
     return text
 
 
+# A numeric or named character reference.
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def resolve_entities(text: Column, pattern: str = ENTITY, unknown: str = "&") -> Column:
+    """Resolve what `pattern` finds, numeric references and all named ones of HTML, in one pass.
+
+    A name that HTML does not know stays as it is, with `unknown` for its ampersand.
+    """
+    names = F.create_map(*[
+        F.lit(part) for name, character in sorted(html5.items()) if name.endswith(";")
+        for part in (name[:-1], character)
+    ])
+
+    def character(entity: Column) -> Column:
+        name = F.substring(entity, 2, F.length(entity) - 2)
+        hexadecimal = F.regexp_extract(name, "^#[xX](.+)$", 1)
+        decimal = F.hex(F.regexp_extract(name, "^#([0-9]+)$", 1).try_cast("int"))
+        code = F.lpad(F.when(hexadecimal != "", hexadecimal).otherwise(decimal), 8, "0")
+        valid = code.rlike("^000(?:0[0-9A-Fa-f]|10)[0-9A-Fa-f]{4}$") & ~code.rlike("^0000(?:0000|[dD][89A-Fa-f])")
+        numeric = F.when(valid, F.decode(F.unhex(code), "UTF-32"))
+        named = F.try_element_at(names, name)
+        other = F.concat(F.lit(unknown), name, F.lit(";"))
+        return F.coalesce(F.when(name.startswith("#"), numeric).otherwise(named), other)
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), character)
+    parts = F.zip_with(F.split(text, pattern, -1), found, lambda part, value: F.concat(part, F.coalesce(value, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(parts, "")).otherwise(text)
+
+
 def blank(text: Column) -> Column:
     """True where a text is missing or empty."""
     return F.coalesce(text == "", F.lit(True))

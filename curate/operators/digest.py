@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 from curate.operators.skew import lookup_join, number_within
 from curate.schema import DIGEST_COLUMNS, PUBLISHED_STATES
 
-# How many articles one nested list holds at most; longer lists go on in the next page.
-PAGE_SIZE = 1000
 ALL = "all"
 
 
@@ -86,13 +84,22 @@ def date_page(store: DataFrame, page: int) -> DataFrame:
     return date_pages(store).where(F.col("page") == page)
 
 
-def digest_nested(articles: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Articles nested by day and category, best first, at most `page_size` to a list.
+def digest_nested(articles: DataFrame, page_size: int | None = None) -> DataFrame:
+    """Articles nested by day and category, best first, numbered from 1.
 
-    Every article is in one list. A group beyond `page_size` goes on in the lists of pages 1,
-    2 and so on, so that no task ever holds a whole group.
+    A day and category has one list: a run publishes at most its top articles. For collections without such
+    a bound, `page_size` deals longer lists out over pages 0, 1, 2 and so on, so that no task ever
+    holds a whole group; every article is in one of them.
     """
     inner = [name for name in articles.columns if name not in ("fetch_date", "category")]
+    if page_size is None:
+        best_first = F.struct(F.col("score").isNull().alias("last"), (-F.col("score")).alias("order"), "id")
+        listed = F.sort_array(F.collect_list(F.struct(best_first.alias("rank"), F.struct(*inner).alias("article"))))
+        numbered = F.transform(listed, lambda row, place: F.struct(
+            (place + 1).cast("bigint").alias("position"),
+            *[row["article"][name].alias(name) for name in inner],
+        ))
+        return articles.groupBy("fetch_date", "category").agg(numbered.alias("articles"))
     numbered = number_within(
         articles, ("fetch_date", "category"), (F.desc_nulls_last("score"), F.asc("id"))
     )
@@ -102,16 +109,20 @@ def digest_nested(articles: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
 
 
 def digest_json(nested: DataFrame) -> DataFrame:
-    """One JSON document per day, category and page."""
-    document = F.to_json(F.struct("fetch_date", "category", "page", "articles"))
+    """One JSON document per day and category, and page if there are pages."""
+    document = F.to_json(F.struct(*nested.columns))
     return nested.select(document.alias("value"))
 
 
-def transcript_text(segments: DataFrame, part_size: int = 10_000) -> DataFrame:
-    """Segments of each video joined by blanks in their order, `part_size` to a part.
+def transcript_text(segments: DataFrame, part_size: int | None = None) -> DataFrame:
+    """Segments of each video joined by blanks in their order: one text per video, as it ends in one row.
 
-    Part 0 is the whole transcript unless a video has more segments than that.
+    With `part_size` the text comes in parts of so many segments, numbered from 0.
     """
+    if part_size is None:
+        listed = F.sort_array(F.collect_list(F.struct("seq", "text")))
+        joined = F.array_join(F.transform(listed, lambda row: row["text"]), " ")
+        return segments.groupBy("video_id").agg(joined.alias("text"))
     numbered = number_within(segments.select("video_id", "seq", "text"), ("video_id",),
                              (F.asc("seq"), F.asc("text")))
     part = F.floor((F.col("position") - 1) / part_size).cast("int")

@@ -24,16 +24,17 @@ ZH_TITLE, ZH_SUMMARY, EN_SUMMARY = "zh_title", "zh_summary", "en_summary"
 
 
 def ask(client, request: str, max_tries: int, retry_delay: float):
-    """One reply with its error and the number of tries it took."""
+    """One reply with its error, the number of tries it took, and the seconds."""
+    start = time.monotonic()
     for attempt in range(1, max_tries + 1):
         try:
             answer = client.request(json.loads(request))
-            return answer["choices"][0]["message"]["content"], None, attempt
+            return answer["choices"][0]["message"]["content"], None, attempt, time.monotonic() - start
         except Exception as problem:
             error = f"{type(problem).__name__}: {problem}"
             if attempt < max_tries:
                 time.sleep(retry_delay)
-    return None, error, max_tries
+    return None, error, max_tries, time.monotonic() - start
 
 
 def asker(client_factory, max_tries, retry_delay):
@@ -42,9 +43,8 @@ def asker(client_factory, max_tries, retry_delay):
         for batch in batches:
             client = client or client_factory()
             replies = [ask(client, request, max_tries, retry_delay) for request in batch.pop("request")]
-            batch[["reply", "error", "attempts"]] = pd.DataFrame(
-                replies, columns=["reply", "error", "attempts"], index=batch.index, dtype=object
-            )
+            names = ["reply", "error", "attempts", "seconds"]
+            batch[names] = pd.DataFrame(replies, columns=names, index=batch.index, dtype=object)
             yield batch
 
     return run
@@ -52,7 +52,7 @@ def asker(client_factory, max_tries, retry_delay):
 
 def enrich(requests: DataFrame, client_factory: Callable, *, max_tries: int = MAX_TRIES,
            retry_delay: float = RETRY_DELAY, parallel: int | None = None) -> DataFrame:
-    """Replace the `request` of each row by `reply`, `error` and `attempts`.
+    """Replace the `request` of each row by `reply`, `error`, `attempts` and `seconds`.
 
     One client per task. `parallel` sets the number of tasks, that is how many requests are
     under way at once; rows are then dealt out by their keys. A request that keeps failing
@@ -63,7 +63,7 @@ def enrich(requests: DataFrame, client_factory: Callable, *, max_tries: int = MA
     rows = requests.repartition(parallel, *names) if parallel else requests
     schema = ", ".join([
         *[f"{field.name} {field.dataType.simpleString()}" for field in keys],
-        "reply string", "error string", "attempts int",
+        "reply string", "error string", "attempts int", "seconds double",
     ])
     return rows.select(*names, F.to_json("request").alias("request")).mapInPandas(
         asker(client_factory, max_tries, retry_delay), schema

@@ -10,6 +10,7 @@ from curate.schema import (
     COMPLETE, FAILED, FETCHED, INTERMEDIATE_STATES, RATED, SELECTED, STUCK_STATES, SUMMARIZED,
     as_articles,
 )
+from curate.session import written
 
 
 def first_by_url(batch: DataFrame, order: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -24,8 +25,9 @@ def insert_or_ignore(batch: DataFrame, store: DataFrame, order: tuple[str, ...]
 
     Of the store only the URL column is read. It is cut down to the URLs of the batch first:
     if these fit, they are broadcast and the store is not shuffled at all; if not, both meet in
-    one shuffle of URLs, and the rest follows that partitioning.
+    one shuffle of URLs, and the rest follows that partitioning. The batch is computed once and staged.
     """
+    batch = written(batch, "batch")
     urls = batch.select("url").distinct()
     small = fits(urls)
     known = store.select("url").join(F.broadcast(urls) if small else urls, "url", "left_semi").distinct()
@@ -45,29 +47,33 @@ def processed_count(given: DataFrame, saved: DataFrame) -> DataFrame:
     )
 
 
-def apply_updates(store: DataFrame, updates: DataFrame, values: dict[str, Column]) -> DataFrame:
+def apply_updates(store: DataFrame, updates: DataFrame, values: dict[str, Column],
+                  only: str | None = None) -> DataFrame:
     """Set columns of the articles that `updates` names by id; others stay as they are.
 
     `values` maps a column to its new value, written over the columns of `updates`. These are
-    broadcast if they fit, which spares shuffling the texts of all articles.
+    broadcast if they fit, which spares shuffling the texts of all articles. Of several updates of an
+    article the least counts, by its values in order. With `only`, articles in any other state stay as
+    they are.
     """
-    fresh = updates.select(
-        "id", F.lit(True).alias("_hit"), *[value.alias(f"_{name}") for name, value in values.items()]
-    )
+    fresh = updates.groupBy("id").agg(
+        F.min(F.struct(*[value.alias(f"_{name}") for name, value in values.items()])).alias("_new")
+    ).select("id", F.lit(True).alias("_hit"), "_new.*")
     matched = store.join(sendable(fresh), "id", "left")
+    hit = F.col("_hit") if only is None else F.col("_hit") & (F.col("status") == only)
     return matched.select(*[
-        F.when(F.col("_hit"), F.col(f"_{name}")).otherwise(F.col(name)).alias(name)
+        F.when(hit, F.col(f"_{name}")).otherwise(F.col(name)).alias(name)
         if name in values else F.col(name)
         for name in store.columns
     ])
 
 
 def apply_ratings(store: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Store scores and reasons; replies without a score leave their article as it is."""
+    """Store scores and reasons of fetched articles; replies without a score leave theirs as it is."""
     scored = ratings.where(F.col("score").isNotNull())
     return apply_updates(store, scored, {
         "score": F.col("score"), "rating_reason": F.col("rating_reason"), "status": F.lit(RATED),
-    })
+    }, FETCHED)
 
 
 def mark_selected(store: DataFrame, min_scores: DataFrame, k: int = TOP_ARTICLES,
@@ -78,23 +84,26 @@ def mark_selected(store: DataFrame, min_scores: DataFrame, k: int = TOP_ARTICLES
     """
     narrow = store.select("id", "fetch_date", "category", "status", "score")
     return apply_updates(
-        store, top_k_per_category(narrow, min_scores, k, default), {"status": F.lit(SELECTED)}
+        store, written(top_k_per_category(narrow, min_scores, k, default).select("id"), "selected"),
+        {"status": F.lit(SELECTED)},
     )
 
 
 def apply_summaries(store: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Store the texts of articles selected for a summary."""
     return apply_updates(store, summaries, {
         "chinese_title": F.col("chinese_title"),
         "english_summary": F.col("english_summary"),
         "chinese_summary": F.col("chinese_summary"),
         "status": F.lit(SUMMARIZED),
-    })
+    }, SELECTED)
 
 
 def apply_thumbnails(store: DataFrame, thumbnails: DataFrame) -> DataFrame:
+    """Store the pictures of summarized articles, which are complete with them."""
     return apply_updates(store, thumbnails, {
         "thumbnail_url": F.col("thumbnail_url"), "status": F.lit(COMPLETE),
-    })
+    }, SUMMARIZED)
 
 
 def is_stuck(category: str, date: str) -> Column:

@@ -1,6 +1,6 @@
 """Text and pictures of fetched pages."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curate.functions import html as H
@@ -24,10 +24,25 @@ def page_scan(pages: DataFrame, columns: tuple[str, ...] = ("url", "html")) -> D
     return pages.select(*columns).withColumn("url", normalize_url(F.col("url")))
 
 
+def _latest_first(pages: DataFrame) -> list[Column]:
+    """Which of several pages of one address counts: the latest fetch, where `fetched_at` says when that was, then
+    the highest `page_id`, then the greatest text."""
+    known = [F.desc_nulls_last(name) for name in ("fetched_at", "page_id") if name in pages.columns]
+    return [*known, F.desc_nulls_last("html")]
+
+
+def one_per_address(pages: DataFrame) -> DataFrame:
+    """Scanned pages, one per `page_url`. Every task keeps one before the shuffle."""
+    ranked = F.row_number().over(Window.partitionBy("page_url").orderBy(*_latest_first(pages)))
+    return pages.withColumn("_rank", ranked).where(F.col("_rank") == 1).drop("_rank")
+
+
 def _by_page_url(entries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (
         entries.withColumn("page_url", normalize_url(F.col("link"))),
-        page_scan(pages).withColumnRenamed("url", "page_url"),
+        page_scan(
+            pages, ("url", "html", *[name for name in ("fetched_at", "page_id") if name in pages.columns])
+        ).withColumnRenamed("url", "page_url"),
     )
 
 
@@ -37,16 +52,22 @@ def entry_page(entries: DataFrame, pages: DataFrame, spread: str = "id") -> Data
     Any number of entries may name the same page.
     """
     keyed, found = _by_page_url(entries, pages)
-    return skew_safe_join(keyed, found, "page_url", "left", spread)
+    one = one_per_address(found).select("page_url", "html")
+    return skew_safe_join(keyed, one, "page_url", "left", spread)
 
 
 def page_of_article(articles: DataFrame, pages: DataFrame) -> DataFrame:
     """Articles, whose links are unique, with their pages; those without a page are left out.
 
-    An inner join allows broadcasting the articles of a day instead of shuffling all pages.
+    An inner join allows broadcasting the articles of a day instead of shuffling all pages. Of an address
+    that was fetched more than once, only pages that articles need are compared.
     """
     keyed, found = _by_page_url(articles, pages)
-    return found.join(sendable(keyed), "page_url")
+    order = _latest_first(found)
+    joined = found.join(sendable(keyed), "page_url").withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("link").orderBy(*order))
+    )
+    return joined.where(F.col("_rank") == 1).select("page_url", "html", *[name for name in keyed.columns if name != "page_url"])
 
 
 def selector_hit(pages: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curate.functions.text import strip
+from curate.functions.text import SPACES, strip
 from curate.operators.skew import SALTS, lookup_join
 from curate.schema import RATED
 
@@ -17,7 +17,7 @@ RANKED_PER_TASK = 1000
 
 # The form a reply must have, and the outcomes of reading it.
 IRRELEVANT_REPLY = "not relevant"
-SCORE_FORM = r"(?i)Rating:\s*([0-9]+(?:\.[0-9]+)?)/10"
+SCORE_FORM = rf"(?i)Rating:[{SPACES}]*([0-9]+(?:\.[0-9]+)?)/10"
 REASON_FORM = r"(?is)\A(.*?)Rating:"
 SUCCESS, IRRELEVANT, BAD_FORMAT = "success", "irrelevant", "bad_format"
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curate.functions.text import blank
@@ -22,11 +22,11 @@ from curate.operators.pages import main_content, page_of_article, thumbnail_pick
 from curate.operators.rating import (
     MINIMUM_SCORE, RATING_MODEL, TOP_ARTICLES, parse_rating, rating_requests,
 )
-from curate.operators.skew import lookup_join
+from curate.operators.skew import lookup_join, sendable
 from curate.operators.stats import outcome_counts
 from curate.plans.metrics import RunMetrics
 from curate.schema import FETCHED, PARTITIONS, SELECTED, SUMMARIZED
-from curate.session import new_path
+from curate.session import new_path, written
 from curate.sources.store import ArticleStore
 
 
@@ -54,72 +54,115 @@ class Settings:
     max_tries: int = 3
     retry_delay: float = 2.0
     parallel: int | None = None
+    categories: tuple[str, ...] = ()  # none stands for all
+    force: bool = False  # clear the days and categories first
+    replies_path: str | None = None  # where replies are kept from run to run
+    portions: int = 4  # each becomes durable on its own
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, read back from a table in the shared folder."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _asked_for(rows: DataFrame, settings: Settings) -> DataFrame:
+    return rows.where(F.col("category").isin(*settings.categories)) if settings.categories else rows
+
+
+def _today(store: ArticleStore, settings: Settings) -> DataFrame:
+    return _asked_for(store.on_dates(*settings.dates), settings)
+
+
+def _kept_at(settings: Settings, given: str | None, store: ArticleStore, name: str) -> str:
+    """Where the replies of a stage are kept: as given, below the run's place, or in a new one."""
+    if given:
+        return given
+    return f"{settings.replies_path.rstrip('/')}/{name}" if settings.replies_path else new_path(store.spark, name)
 
 
 def _groups(rows: DataFrame) -> DataFrame:
     """The days and categories that occur, no more than the store has partitions."""
-    return _written(rows.select(*PARTITIONS).distinct(), "groups")
+    return written(rows.select(*PARTITIONS).distinct(), "groups")
 
 
 def _within(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return lookup_join(rows, groups, list(PARTITIONS), "left_semi", "id")
 
 
-def _replies(requests: DataFrame, client_factory: Callable, settings: Settings, path: str) -> DataFrame:
-    """Replies kept at `path`. A run that is repeated asks only what has no reply there yet."""
+def _replies(requests: DataFrame, client_factory: Callable, settings: Settings, path: str,
+             metrics: RunMetrics | None = None, call: str = "api_call") -> DataFrame:
+    """Replies to `requests`, kept at `path`, one per request. A run that is repeated asks only what has no reply
+    there yet. They are written portion by portion, so that a failure costs no more than one of them."""
     spark = requests.sparkSession
     keys = [name for name in requests.columns if name != "request"]
+    wanted = written(requests.select(*keys), "wanted")
+    answered = None
     try:
         answered = spark.read.parquet(path).where(F.col("reply").isNotNull())
         requests = requests.join(answered.select(*keys), keys, "left_anti")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-    replies = enrich(
-        requests, client_factory, max_tries=settings.max_tries,
-        retry_delay=settings.retry_delay, parallel=settings.parallel,
-    )
-    replies.write.mode("append").parquet(path)
-    return spark.read.schema(replies.schema).parquet(path)
+    part = F.pmod(F.xxhash64(*keys), F.lit(settings.portions))
+    for portion in range(settings.portions):
+        replies = enrich(
+            requests.where(part == portion), client_factory, max_tries=settings.max_tries,
+            retry_delay=settings.retry_delay, parallel=settings.parallel,
+        )
+        if metrics:
+            replies = metrics.timed(replies, call, "seconds")
+        replies.write.mode("append").parquet(path)
+    kept = spark.read.schema(replies.schema).parquet(path).where(F.col("reply").isNotNull())
+    # A request that was answered twice, by runs side by side, has one reply.
+    one = kept.groupBy(*keys).agg(F.min("reply").alias("reply"))
+    return one.join(wanted, keys, "left_semi")
 
 
 def fetch(store: ArticleStore, inputs: Inputs, settings: Settings, metrics: RunMetrics | None = None) -> None:
     """Add the articles of the days that are new and have text with a keyword in it."""
+    if settings.force:
+        for date in settings.dates:
+            for category in settings.categories or [row["category"] for row in _groups_of_day(store, date)]:
+                store.clear(category, date)
     dated = E.required(E.on_dates(E.with_entry_date(inputs.entries), *settings.dates))
     given = [name for name in ("id",) if name in dated.columns]
-    batch = E.entries_with_feed(dated, inputs.feeds.select("feed_url", "category").distinct()).select(
+    feeds = _asked_for(inputs.feeds.select("feed_url", "category").distinct(), settings)
+    batch = E.entries_with_feed(dated, feeds).select(
         *given, F.col("link").alias("url"), "title", "publication_date",
         F.col("publication_date").alias("fetch_date"), "category",
     )
     order = (*given, "publication_date", "category", "title")
     fresh = L.insert_or_ignore(batch, store.read(), order).drop("content")
-    fresh = _written(fresh.withColumn("video_id", video_id(F.col("url"))), "fresh")
-    videos = fresh.where(~blank(F.col("video_id"))).join(
-        inputs.transcripts.select("video_id", F.col("text").alias("content")), "video_id"
-    )
+    fresh = written(fresh.withColumn("video_id", video_id(F.col("url"))), "fresh")
+    videos = _with_transcript(fresh.where(~blank(F.col("video_id"))), inputs.transcripts)
     linked = fresh.where(blank(F.col("video_id"))).withColumn("link", F.col("url"))
     read = main_content(page_of_article(linked, inputs.pages))
     articles = videos.unionByName(read.drop("link", "page_url"))
     kept = E.keyword_filter(E.has_content(articles), settings.keywords)
-    store.append(metrics.counted(kept, "articles_saved") if metrics else kept)
+    if metrics:
+        metrics.increment("articles_given", fresh.count())
+        metrics.increment("feeds_read", inputs.entries.select("feed_url").distinct().count())
+        kept = metrics.counted(kept, "articles_saved")
+    store.append(kept)
+
+
+def _groups_of_day(store: ArticleStore, date: str) -> list:
+    return store.on_dates(date).select("category").distinct().collect()
+
+
+def _with_transcript(articles: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """Articles on videos with their transcript as `content`, the longest where a video has several; those without
+    one are left out."""
+    texts = transcripts.select("video_id", F.col("text").alias("content"))
+    best_first = Window.partitionBy("url").orderBy(F.desc_nulls_last(F.length("content")), "content")
+    joined = texts.join(sendable(articles), "video_id").withColumn("_rank", F.row_number().over(best_first))
+    return joined.where(F.col("_rank") == 1).select(*articles.columns, "content")
 
 
 def analyze(store: ArticleStore, inputs: Inputs, client_factory: Callable, settings: Settings,
             replies_path: str | None = None, metrics: RunMetrics | None = None) -> None:
     """Rate the fetched articles, then select the best of every day and category that had any."""
-    today = store.on_dates(*settings.dates)
+    today = _today(store, settings)
     waiting = today.where(F.col("status") == FETCHED)
-    path = replies_path or new_path(store.spark, "ratings")
+    path = _kept_at(settings, replies_path, store, "ratings")
     requests = rating_requests(E.has_content(waiting), inputs.criteria, settings.rating_model)
-    replies = _replies(requests, client_factory, settings, path)
-    ratings = parse_rating(replies.where(F.col("reply").isNotNull()), "reply")
+    replies = _replies(requests, client_factory, settings, path, metrics, "rating_api_call")
+    ratings = written(parse_rating(replies, "reply"), "ratings")
     if metrics:
         for row in outcome_counts(ratings).collect():
             metrics.increment(f"articles_rated_{row['outcome']}", row["count"])
@@ -130,12 +173,18 @@ def analyze(store: ArticleStore, inputs: Inputs, client_factory: Callable, setti
 def summarize(store: ArticleStore, client_factory: Callable, settings: Settings,
               replies_path: str | None = None, metrics: RunMetrics | None = None) -> None:
     """Add the three texts to the selected articles."""
-    today = store.on_dates(*settings.dates)
+    today = _today(store, settings)
     chosen = today.where(F.col("status") == SELECTED)
-    path = replies_path or new_path(store.spark, "summaries")
-    replies = _replies(summary_requests(chosen, settings.summary_model), client_factory, settings, path)
-    texts = _written(merge_summaries(replies.where(F.col("reply").isNotNull())), "texts")
+    path = _kept_at(settings, replies_path, store, "summaries")
+    requests = summary_requests(chosen, settings.summary_model)
+    replies = _replies(requests, client_factory, settings, path, metrics, "summary_api_call")
+    texts = written(merge_summaries(replies), "texts")
     if metrics:
+        asked = chosen.where(~blank(F.col("content"))).count()
+        done = texts.agg(F.count("chinese_summary").alias("zh"), F.count("english_summary").alias("en")).first()
+        for kind in ("zh", "en"):
+            metrics.increment(f"summaries_{kind}_success", done[kind])
+            metrics.increment(f"summaries_{kind}_failed", asked - done[kind])
         metrics.increment("articles_summarized", texts.count())
     store.replace(L.apply_summaries(_within(today, _groups(chosen)), texts))
 
@@ -143,12 +192,12 @@ def summarize(store: ArticleStore, client_factory: Callable, settings: Settings,
 def find_thumbnails(store: ArticleStore, inputs: Inputs, settings: Settings,
                     metrics: RunMetrics | None = None) -> None:
     """Complete the summarized articles of days and categories that have a digest."""
-    today = store.on_dates(*settings.dates)
+    today = _today(store, settings)
     waiting = _within(
         today.where(F.col("status") == SUMMARIZED).select("id", "url", *PARTITIONS),
         _groups(published(today)),
     )
-    picked = _written(thumbnail_pick(waiting, inputs.pages, inputs.url_status), "thumbnails")
+    picked = written(thumbnail_pick(waiting, inputs.pages, inputs.url_status), "thumbnails")
     if metrics:
         metrics.increment("thumbnails_found", picked.count())
     store.replace(L.apply_thumbnails(_within(today, _groups(waiting)), picked))

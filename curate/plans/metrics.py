@@ -15,6 +15,7 @@ class RunMetrics:
         self.run_id = run_id or uuid.uuid4().hex
         self._counts: list[tuple[str, int]] = []
         self._observed: list[tuple[str, Observation]] = []
+        self._calls: list[tuple[str, Observation]] = []
         self._timings: list[tuple[str, float]] = []
 
     def increment(self, name: str, count: int = 1) -> None:
@@ -26,6 +27,14 @@ class RunMetrics:
         self._observed.append((name, observation))
         return rows.observe(observation, F.count(F.lit(1)).alias("rows"))
 
+    def timed(self, rows: DataFrame, name: str, column: str) -> DataFrame:
+        """The same rows; once they are written, the sum of `column` is a timing, and their number a counter."""
+        observation = Observation()
+        self._calls.append((name, observation))
+        return rows.observe(
+            observation, F.count(F.lit(1)).alias("calls"), F.coalesce(F.sum(column), F.lit(0.0)).alias("total")
+        )
+
     @contextmanager
     def time_block(self, name: str):
         start = time.monotonic()
@@ -37,10 +46,12 @@ class RunMetrics:
     def counters(self, spark: SparkSession) -> DataFrame:
         """Rows `(run_id, name, count)` for `stats.run_counters`."""
         seen = [(name, observation.get["rows"]) for name, observation in self._observed]
+        seen += [(name, observation.get["calls"]) for name, observation in self._calls]
         rows = [(self.run_id, name, int(count)) for name, count in self._counts + seen]
         return spark.createDataFrame(rows, "run_id string, name string, count bigint")
 
     def timings(self, spark: SparkSession) -> DataFrame:
         """Rows `(run_id, name, duration)` for `stats.run_timings`."""
-        rows = [(self.run_id, name, duration) for name, duration in self._timings]
+        called = [(name, observation.get["total"]) for name, observation in self._calls]
+        rows = [(self.run_id, name, float(duration)) for name, duration in self._timings + called]
         return spark.createDataFrame(rows, "run_id string, name string, duration double")

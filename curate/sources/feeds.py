@@ -1,19 +1,22 @@
 """Entries of landed feed documents.
 
 Documents lie in one folder per feed, `feed_url=<escaped address>`, as Spark writes them with
-`partitionBy("feed_url")`; each is RSS or Atom.
+`partitionBy("feed_url")`; each is RSS or Atom. Feeds are seldom well-formed: entities that only HTML
+knows are resolved and bare ampersands escaped before an entry is parsed.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curate.functions.text import ENTITY, resolve_entities
+
 RSS_ITEM = (
     "title string, link string, guid struct<_VALUE: string, _isPermaLink: string>, pubDate string, "
-    "`dc:date` string, updated string, feed_url string"
+    "`dc:date` string, updated string"
 )
 ATOM_ENTRY = (
     "title string, link array<struct<_href: string, _rel: string>>, published string, "
-    "updated string, feed_url string"
+    "updated string"
 )
 
 
@@ -37,22 +40,56 @@ def atom_entries(entries: DataFrame) -> DataFrame:
     )
 
 
-def _reader(source, tag: str, schema: str):
-    return source.format("xml").option("rowTag", tag).schema(schema)
+# Sections that hold text as it is, and names that HTML has beyond the five of XML.
+DATA = r"(?s)<!\[CDATA\[.*?\]\]>"
+OF_HTML = r"&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z][A-Za-z0-9]{1,31};"
+
+
+def repaired(text: Column) -> Column:
+    """XML text with HTML's entities as characters, and ampersands that begin no entity escaped."""
+    def escaped(part: Column) -> Column:
+        return resolve_entities(F.regexp_replace(part, f"&(?!{ENTITY[1:]})", "&amp;"), OF_HTML, "&amp;")
+
+    parts = F.zip_with(
+        F.transform(F.split(text, DATA, -1), escaped), F.regexp_extract_all(text, F.lit(DATA), F.lit(0)),
+        lambda outside, inside: F.concat(outside, F.coalesce(inside, F.lit(""))),
+    )
+    return F.array_join(parts, "")
+
+
+def _parsed(documents: DataFrame, tag: str, schema: str) -> DataFrame:
+    """The entries of whole documents (`value`, `feed_url`), each parsed on its own. An entry that cannot be read
+    even so has its text in `malformed` and NULL elsewhere."""
+    pattern = rf"(?s)<{tag}(?=[\s/>]).*?</{tag}\s*>"
+    each = documents.select("feed_url", F.explode(F.regexp_extract_all("value", F.lit(pattern), F.lit(0))).alias("raw"))
+    entry = F.from_xml(
+        repaired(F.col("raw")), f"{schema}, malformed string", {"columnNameOfCorruptRecord": "malformed"}
+    )
+    return each.select("feed_url", entry.alias("entry")).select("feed_url", "entry.*")
+
+
+def _documents(source) -> DataFrame:
+    return source.format("text").option("wholetext", True).schema("value string, feed_url string")
+
+
+def _entries(documents: DataFrame) -> DataFrame:
+    rss = rss_items(_parsed(documents, "item", RSS_ITEM))
+    return rss.unionByName(atom_entries(_parsed(documents, "entry", ATOM_ENTRY)))
+
+
+def unread_entries(spark: SparkSession, path: str) -> DataFrame:
+    """`feed_url` and text of the entries below `path` that cannot be read."""
+    documents = _documents(spark.read).load(path)
+    found = [_parsed(documents, tag, kind) for tag, kind in (("item", RSS_ITEM), ("entry", ATOM_ENTRY))]
+    unread = [entries.select("feed_url", "malformed").where(F.col("malformed").isNotNull()) for entries in found]
+    return unread[0].union(unread[1])
 
 
 def feed_entries(spark: SparkSession, path: str) -> DataFrame:
     """Entries of all documents below `path`, as `title, link, published, updated, feed_url`."""
-    rss = rss_items(_reader(spark.read, "item", RSS_ITEM).load(path))
-    atom = atom_entries(_reader(spark.read, "entry", ATOM_ENTRY).load(path))
-    return rss.unionByName(atom)
+    return _entries(_documents(spark.read).load(path))
 
 
 def stream_feed_entries(spark: SparkSession, path: str, files_per_batch: int = 10_000) -> DataFrame:
     """The same as a stream over the documents that arrive below `path`."""
-    def source():
-        return spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-
-    rss = rss_items(_reader(source(), "item", RSS_ITEM).load(path))
-    atom = atom_entries(_reader(source(), "entry", ATOM_ENTRY).load(path))
-    return rss.unionByName(atom)
+    return _entries(_documents(spark.readStream.option("maxFilesPerTrigger", files_per_batch)).load(path))

@@ -15,7 +15,9 @@ def documents(spark: SparkSession, path: str, kind: str, lines: bool) -> DataFra
     """Parsed documents: one per file, or one per line. Malformed ones are NULL."""
     try:
         texts = spark.read.text(path, wholetext=not lines)
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return texts.select(F.from_json("value", kind).alias("document"))
 

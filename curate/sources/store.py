@@ -1,5 +1,6 @@
 """The article store: Parquet in one folder per day and category."""
 
+import datetime
 import re
 
 from pyspark.errors import AnalysisException
@@ -7,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curate.schema import ARTICLE_SCHEMA, PARTITIONS, as_articles, empty
-from curate.session import new_path
+from curate.session import new_path, remove
 
 # Characters a partition folder holds as percent codes.
 ESCAPED = re.compile(r"""["#%'*/:=?\\{\[\]^\x00-\x1f\x7f]""")
@@ -55,11 +56,15 @@ class ArticleStore:
     def replace(self, rows: DataFrame) -> None:
         """Replace whole partitions. The rows may come from this store: they are staged first,
         so a failing write never loses its own input."""
-        self.commit(self.stage(rows))
+        staged = self.stage(rows)
+        self.commit(staged)
+        remove(self.spark, staged)
 
     def clear(self, category: str, date: str) -> None:
-        """Empty the partition of one category and day. A dynamic overwrite leaves partitions
-        without new rows alone, so the folder gets an empty file of its own."""
+        """Empty the partition of one category and day, written as `yyyy-mm-dd`. A dynamic overwrite leaves
+        partitions without new rows alone, so the folder gets an empty file of its own."""
+        if datetime.date.fromisoformat(date).isoformat() != date:
+            raise ValueError(f"not a day: {date}")
         folder = ESCAPED.sub(lambda found: f"%{ord(found.group()):02X}", category)
         nothing = empty(self.spark).drop(*PARTITIONS)
         nothing.write.mode("overwrite").parquet(f"{self.path}/fetch_date={date}/category={folder}")

@@ -1,36 +1,26 @@
 """Pick up newly landed feed documents."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from curate.operators.entries import entries_with_feed, required, with_entry_date
-from curate.operators.lifecycle import insert_or_ignore
+from curate.schema import empty
 from curate.sources.feeds import stream_feed_entries
-from curate.sources.store import ArticleStore
 
-
-def entry_rows(entries: DataFrame, feeds: DataFrame) -> DataFrame:
-    """Entries as rows for the store: their feed's category, fetched the day they appeared."""
-    dated = required(with_entry_date(entries))
-    return entries_with_feed(dated, feeds.select("feed_url", "category")).select(
-        F.col("link").alias("url"), "title", "publication_date",
-        F.col("publication_date").alias("fetch_date"), "category",
-    )
+PENDING_SCHEMA = "title string, link string, published string, updated string, feed_url string, batch int"
 
 
-def ingest_new_documents(spark: SparkSession, landing: str, feeds: DataFrame, store: ArticleStore,
-                         checkpoint: str) -> StreamingQuery:
-    """Add the entries of all documents not seen before, then stop.
+def ingest_new_documents(spark: SparkSession, landing: str, pending: str, checkpoint: str) -> StreamingQuery:
+    """Land the entries of all documents not seen before in the table at `pending`, then stop.
 
-    The checkpoint remembers documents, the store remembers URLs: a batch that is run again
-    after a failure finds its URLs in the store and adds nothing twice. So the stream keeps no
-    state per URL.
+    A run takes its entries from there (`pending_entries`) and gives them their text when it has their
+    page, be that days later. The checkpoint remembers documents, the store remembers URLs. A batch
+    that is run again after a failure replaces what it has written before, so nothing is added twice and
+    the stream keeps no state per URL.
     """
 
-    def add(batch: DataFrame, _: int) -> None:
-        rows = entry_rows(batch, feeds)
-        store.append(insert_or_ignore(rows, store.read(), ("publication_date", "category", "title")))
+    def add(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{pending.rstrip('/')}/batch={number}")
 
     return (
         stream_feed_entries(spark, landing)
@@ -39,3 +29,13 @@ def ingest_new_documents(spark: SparkSession, landing: str, feeds: DataFrame, st
         .trigger(availableNow=True)
         .start()
     )
+
+
+def pending_entries(spark: SparkSession, pending: str) -> DataFrame:
+    """The entries landed so far, for `Inputs.entries`; none before the first."""
+    try:
+        return spark.read.schema(PENDING_SCHEMA).parquet(pending).drop("batch")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty(spark, PENDING_SCHEMA).drop("batch")
