@@ -137,7 +137,7 @@ VIEWS = {
     "pages_img": """
         SELECT page_id, url, concat(
             CASE WHEN page_id % 3 = 0 THEN concat('<meta property="og:image" content="https://img.example.com/og/',
-                   CAST(CASE WHEN page_id % 2 = 0 THEN 0 ELSE page_id END AS STRING), '.jpg?a=1&amp;b=2">') ELSE '' END,
+                   CAST(CASE WHEN page_id % 2 = 0 THEN 0 ELSE page_id END AS STRING), '.jpg?a=1', CASE WHEN page_id % 4 < 2 THEN '&#038;' ELSE '&amp;' END, 'b=2">') ELSE '' END,
             '<img src="/logo.png"><img width="50" src="/s/', CAST(page_id AS STRING), '.jpg">',
             '<img src="data:image/png;base64,x.png"><img alt="none"><img src="/s/', CAST(page_id AS STRING), '.gif">',
             CASE page_id % 5 WHEN 0 THEN '<img src="https://cdn.example.com/pic/' WHEN 1 THEN '<img height=400 src="//cdn.example.com/pic/'

@@ -1,5 +1,6 @@
 """Text columns: stripping, file-name slugs, CJK spacing, entities."""
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -75,17 +76,16 @@ def resolve_entities(text: Column, pattern: str = ENTITY, unknown: str = "&") ->
 
     A name that HTML does not know stays as it is, with `unknown` for its ampersand.
     """
-    names = F.create_map(*[
-        F.lit(part) for name, character in sorted(html5.items()) if name.endswith(";")
-        for part in (name[:-1], character)
-    ])
+    # As JSON, which Spark reads once; two thousand literals would not fit into one method.
+    known = {name[:-1]: character for name, character in sorted(html5.items()) if name.endswith(";")}
+    names = F.from_json(F.lit(json.dumps(known)), "map<string, string>")
 
     def character(entity: Column) -> Column:
         name = F.substring(entity, 2, F.length(entity) - 2)
         hexadecimal = F.regexp_extract(name, "^#[xX](.+)$", 1)
         decimal = F.hex(F.regexp_extract(name, "^#([0-9]+)$", 1).try_cast("int"))
         code = F.lpad(F.when(hexadecimal != "", hexadecimal).otherwise(decimal), 8, "0")
-        valid = code.rlike("^000(?:0[0-9A-Fa-f]|10)[0-9A-Fa-f]{4}$") & ~code.rlike("^0000(?:0000|[dD][89A-Fa-f])")
+        valid = code.rlike("^00(?:0[0-9A-Fa-f]|10)[0-9A-Fa-f]{4}$") & ~code.rlike("^0000(?:0000|[dD][89A-Fa-f])")
         numeric = F.when(valid, F.decode(F.unhex(code), "UTF-32"))
         named = F.try_element_at(names, name)
         other = F.concat(F.lit(unknown), name, F.lit(";"))

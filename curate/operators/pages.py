@@ -8,7 +8,7 @@ from curate.functions.html_tree import reader
 from curate.functions.text import blank
 from curate.functions.urls import normalize_url, video_thumbnail
 from curate.operators.skew import sendable, skew_safe_join
-from curate.session import shared_dir
+from curate.session import written
 
 REACHABLE = 200
 
@@ -138,12 +138,29 @@ def thumbnail_candidates(articles: DataFrame, pages: DataFrame) -> DataFrame:
     return previews.unionByName(pictures).where(~blank(F.col("image_url")))
 
 
-def thumbnail_pick(articles: DataFrame, pages: DataFrame, url_status: DataFrame) -> DataFrame:
-    """The first reachable candidate of each article; articles without one are left out.
+def with_pictures(pages: DataFrame, url: str = "page_url") -> DataFrame:
+    """Add the picture each page names, `named_image`, and the first of its article, `first_image`."""
+    named = pages.withColumn("named_image", settled(H.og_image(H.without_noise(F.col("html")))))
+    return first_image(named, url).withColumnRenamed("image_url", "first_image")
+
+
+def kept_candidates(articles: DataFrame) -> DataFrame:
+    """As `thumbnail_candidates`, from the pictures that were kept with the articles when their pages were read."""
+    each = F.array(video_thumbnail(F.col("url")), F.col("named_image"), F.col("first_image"))
+    found = articles.select("id", F.posexplode(each).alias("priority", "image_url"))
+    return found.where(~blank(F.col("image_url")))
+
 
-    The candidates, a few short rows per article, are checkpointed: looking for hot addresses
-    would read the pages again otherwise.
+def first_reachable(candidates: DataFrame, url_status: DataFrame) -> DataFrame:
+    """The reachable candidate of least priority of each article; articles without one are left out.
+
+    The candidates, a few short rows per article, are staged: looking for hot addresses would compute
+    them again otherwise.
     """
-    shared_dir(articles.sparkSession)
-    usable = reachable(thumbnail_candidates(articles, pages).checkpoint(), url_status)
+    usable = reachable(written(candidates, "candidates"), url_status)
     return usable.groupBy("id").agg(F.min_by("image_url", "priority").alias("thumbnail_url"))
+
+
+def thumbnail_pick(articles: DataFrame, pages: DataFrame, url_status: DataFrame) -> DataFrame:
+    """The first reachable picture of each article, its page being read for it."""
+    return first_reachable(thumbnail_candidates(articles, pages), url_status)

@@ -7,18 +7,20 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curate.session import shared_dir
+from curate.session import shared_dir, written
 
-# A key is hot from one part in HOT_SHARE of all rows on, so there are at most HOT_SHARE hot keys.
-HOT_SHARE = 1000
+# How many rows of a key a join leaves in one part.
+PART_ROWS = 1_000_000
+# Over how many parts a large group is ranked before it is ranked as a whole.
 SALTS = 64
-# How large a table may be that is sent to every executor.
+# How large a table may be that is sent to every executor. Whatever the size, the rows are the same.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def fits(df: DataFrame) -> bool:
-    """Whether `df` is small enough to broadcast, by its measured size."""
-    row = F.octet_length(F.to_json(F.struct(*df.columns)))
+    """Whether `df` is small enough to broadcast, by its measured size. JSON leaves NULLs out, which take
+    room in memory all the same: every column counts for eight bytes more."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns))) + 8 * len(df.columns)
     return (df.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES
 
 
@@ -41,25 +43,25 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str
 def skew_safe_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str, spread: str) -> DataFrame:
     """Join `left` with the lookup table `right`, which holds few rows per key.
 
-    Rows of a hot key of `left` are dealt out over SALTS parts by their `spread` column, and the
-    few rows of that key in `right` are copied to each part. The list of hot keys has at most
-    HOT_SHARE rows whatever the data, which is why it may be broadcast.
+    A key with more than PART_ROWS rows in `left` has them dealt out over as many parts as it takes to have no
+    more than that in one, by their `spread` column, and its few rows in `right` are copied to each part. There
+    is at most one hot key for PART_ROWS rows; their list is broadcast if it fits. `left` is counted in
+    one pass over its keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
     missing = reduce(or_, [F.col(key).isNull() for key in keys])
-    counts = left.where(~missing).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    hot = F.broadcast(
-        counts.where(F.col("_rows") * HOT_SHARE >= total).select(*keys, F.lit(True).alias("_hot"))
-    )
-    part = F.pmod(F.xxhash64(F.col(spread)), F.lit(SALTS)).cast("int")
+    counts = left.where(~missing).groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > PART_ROWS)
+    hot = sendable(written(
+        counts.select(*keys, F.ceil(F.col("_rows") / PART_ROWS).cast("bigint").alias("_parts")), "hot-keys"
+    ))
+    dealer = F.xxhash64(F.col(spread))
     dealt = left.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | missing, part).otherwise(F.lit(0))
-    ).drop("_hot")
-    every, first = F.sequence(F.lit(0), F.lit(SALTS - 1)), F.array(F.lit(0))
+        "_salt", F.when(missing, dealer).when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(dealer, "_parts"))
+    ).drop("_parts")
+    every, first = F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1), F.array(F.lit(0).cast("bigint"))
     copied = right.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(first))
-    ).drop("_hot")
+        "_salt", F.explode(F.when(F.col("_parts").isNull(), first).otherwise(every))
+    ).drop("_parts")
     return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 

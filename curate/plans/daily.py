@@ -18,7 +18,9 @@ from curate.operators import entries as E
 from curate.operators import lifecycle as L
 from curate.operators.digest import published
 from curate.operators.enrich import SUMMARY_MODEL, enrich, merge_summaries, summary_requests
-from curate.operators.pages import main_content, page_of_article, thumbnail_pick
+from curate.operators.pages import (
+    first_reachable, kept_candidates, main_content, page_of_article, with_pictures,
+)
 from curate.operators.rating import (
     MINIMUM_SCORE, RATING_MODEL, TOP_ARTICLES, parse_rating, rating_requests,
 )
@@ -127,12 +129,13 @@ def fetch(store: ArticleStore, inputs: Inputs, settings: Settings, metrics: RunM
         F.col("publication_date").alias("fetch_date"), "category",
     )
     order = (*given, "publication_date", "category", "title")
-    fresh = L.insert_or_ignore(batch, store.read(), order).drop("content")
+    fresh = L.insert_or_ignore(batch, store.read(), order).drop("content", "named_image", "first_image")
     fresh = written(fresh.withColumn("video_id", video_id(F.col("url"))), "fresh")
     videos = _with_transcript(fresh.where(~blank(F.col("video_id"))), inputs.transcripts)
     linked = fresh.where(blank(F.col("video_id"))).withColumn("link", F.col("url"))
-    read = main_content(page_of_article(linked, inputs.pages))
-    articles = videos.unionByName(read.drop("link", "page_url"))
+    # Text and pictures come out of one reading of the pages.
+    read = main_content(with_pictures(page_of_article(linked, inputs.pages)))
+    articles = videos.unionByName(read.drop("link", "page_url"), allowMissingColumns=True)
     kept = E.keyword_filter(E.has_content(articles), settings.keywords)
     if metrics:
         metrics.increment("articles_given", fresh.count())
@@ -194,10 +197,10 @@ def find_thumbnails(store: ArticleStore, inputs: Inputs, settings: Settings,
     """Complete the summarized articles of days and categories that have a digest."""
     today = _today(store, settings)
     waiting = _within(
-        today.where(F.col("status") == SUMMARIZED).select("id", "url", *PARTITIONS),
+        today.where(F.col("status") == SUMMARIZED).select("id", "url", "named_image", "first_image", *PARTITIONS),
         _groups(published(today)),
     )
-    picked = written(thumbnail_pick(waiting, inputs.pages, inputs.url_status), "thumbnails")
+    picked = written(first_reachable(kept_candidates(waiting), inputs.url_status), "thumbnails")
     if metrics:
         metrics.increment("thumbnails_found", picked.count())
     store.replace(L.apply_thumbnails(_within(today, _groups(waiting)), picked))

@@ -29,6 +29,8 @@ ARTICLE_COLUMNS = {
     "english_summary": "string",
     "chinese_summary": "string",
     "thumbnail_url": "string",
+    "named_image": "string",
+    "first_image": "string",
     "rating_reason": "string",
     "source": "string",
     "fetch_date": "date",

@@ -63,11 +63,13 @@ def test_whole_day(spark, store):
     metrics = RunMetrics("run")
     daily.daily_run(store, everything(spark), OfflineClient, settings(), metrics)
     counted = {row.name: row["count"] for row in stats.run_counters(metrics.counters(spark)).collect()}
-    assert counted == {"articles_saved": 7, "articles_rated_success": 5, "articles_rated_irrelevant": 1,
-                       "articles_summarized": 3, "thumbnails_found": 2}
+    assert counted == {"articles_given": 10, "feeds_read": 3, "articles_saved": 7, "articles_rated_success": 5,
+                       "articles_rated_irrelevant": 1, "rating_api_call": 7, "summary_api_call": 9,
+                       "summaries_zh_success": 3, "summaries_zh_failed": 0, "summaries_en_success": 3,
+                       "summaries_en_failed": 0, "articles_summarized": 3, "thumbnails_found": 2}
     timed = stats.run_timings(metrics.timings(spark)).collect()
-    assert [row.name for row in timed] == ["analyze", "fetch", "find_thumbnails", "summarize"]
-    assert all(row.calls == 1 and row.total_time > 0 for row in timed)
+    assert [row.name for row in timed] == ["analyze", "fetch", "find_thumbnails", "rating_api_call", "summarize", "summary_api_call"]
+    assert all(row.calls == (4 if "call" in row.name else 1) and row.total_time > 0 for row in timed)
     rows = found(store)
     states = {url: row.status for url, row in rows.items()}
     assert states == {
@@ -87,6 +89,79 @@ def test_a_second_run_adds_nothing(spark, store):
     assert store.read().count() == 7
 
 
+def test_repeated_pages_and_transcripts_store_a_url_once(spark, store):
+    given = everything(spark)
+    given.pages = given.pages.withColumn("fetched_at", F.lit(2)).unionByName(
+        given.pages.select("url", F.lit("<article>older</article>").alias("html"), F.lit(1).alias("fetched_at")))
+    given.transcripts = given.transcripts.union(spark.createDataFrame([("vid", "short")], "video_id string, text string"))
+    daily.fetch(store, given, settings())
+    rows = store.read().collect()
+    assert len(rows) == len({row.url for row in rows}) == 7
+    assert found(store)["http://x/1"].content == "a" * 80 and len(found(store)["https://youtu.be/vid"].content) == 99
+
+
+def test_categories_and_force(spark, store):
+    given = everything(spark)
+    daily.daily_run(store, given, OfflineClient, settings(categories=("B",)))
+    assert set(found(store)) == {"http://x/1", "https://youtu.be/vid"}
+    daily.daily_run(store, given, OfflineClient, settings())
+    store.replace(store.read().withColumn("status", F.lit("failed")))
+    daily.daily_run(store, given, OfflineClient, settings(force=True, categories=("A",)))
+    states = {row.category: row.status for row in store.read().collect() if row.url in ("http://x/2", "https://youtu.be/vid")}
+    assert states == {"A": "complete", "B": "failed"}
+
+
+class Counting(OfflineClient):
+    """Notes each request in a file of its own."""
+
+    folder = ""
+
+    def request(self, payload):
+        import pathlib
+        import uuid
+
+        (pathlib.Path(self.folder) / uuid.uuid4().hex).touch()
+        return super().request(payload)
+
+
+def test_a_second_run_asks_nothing_twice_and_sends_nothing_back(spark, store, tmp_path):
+    folder = tmp_path / "asked"
+    folder.mkdir()
+
+    def client():
+        made = Counting()
+        made.folder = str(folder)
+        return made
+
+    given = everything(spark)
+    chosen = settings(replies_path=str(tmp_path / "replies"))
+    daily.daily_run(store, given, client, chosen)
+    before, asked = found(store), len(list(folder.iterdir()))
+    # A new article of the day makes the stages work on its category again.
+    more = inputs(spark, [entry(50, "http://x/50")], {"http://x/50": "z" * 81})
+    daily.daily_run(store, more, client, chosen)
+    after = found(store)
+    assert {url: row.status for url, row in before.items() if row.status == "complete"} == {
+        url: after[url].status for url, row in before.items() if row.status == "complete"}
+    # The new article's rating, three texts if it is chosen, and what has had no answer so far.
+    assert len(list(folder.iterdir())) - asked <= 1 + 3 * 3 + 3 * 2
+
+
+def test_stream_then_run(spark, store, tmp_path):
+    from curate.streaming.incremental import ingest_new_documents, pending_entries
+
+    folder = tmp_path / "landing" / "feed_url=f1"
+    folder.mkdir(parents=True)
+    (folder / "d.xml").write_text("<rss><channel><item><title>t</title><link>http://x/1</link>"
+                                  "<pubDate>Tue, 02 Jan 2024 10:00:00 GMT</pubDate></item></channel></rss>")
+    pending = str(tmp_path / "pending")
+    ingest_new_documents(spark, str(tmp_path / "landing"), pending, str(tmp_path / "stream")).awaitTermination()
+    given = everything(spark)
+    given.entries = pending_entries(spark, pending)
+    daily.daily_run(store, given, OfflineClient, settings())
+    assert found(store)["http://x/1"].status == "complete" and found(store)["http://x/1"].content == "a" * 80
+
+
 def test_no_entries_no_store(spark, store):
     daily.daily_run(store, inputs(spark, [], {}), OfflineClient, settings())
     assert store.read().count() == 0

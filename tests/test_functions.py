@@ -28,6 +28,10 @@ def test_entry_date_is_utc_in_any_session_zone(spark, zone):
         "2024-01-01T23:30:00.123456+0000": "2024-01-01",
         "2024-01-01 23:30:00": "2024-01-01",
         "2024-01-01": "2024-01-01",
+        "Monday, 01 January 2024 9:05 GMT": "2024-01-01", "Mon 1 Jan 24 23:30:00 -05:00": "2024-01-02",
+        "1 Jan 2024": "2024-01-01", "Mon, 01 Jan 2024 23:30:00 EDT": "2024-01-02", "01 Jan 2024 16:30 PDT": "2024-01-01",
+        "01 Jan 2024 17:00 PDT": "2024-01-02", "20240101": "2024-01-01", "2024-02": "2024-02-01",
+        "20240101T233000Z": "2024-01-01", "2024-01-01T23:30:00.1234567Z": "2024-01-01", "31 Feb 2024": None,
         "soon": None, "": None, None: None,
     }
     before = spark.conf.get("spark.sql.session.timeZone")

@@ -31,6 +31,8 @@ TEXTS = {
     "<article>a<ruby>b<rt>c</rt></ruby><template>t</template></article>": "a\nb",
     "<article>  two\n words  <i>\t</i>\n</article>": "two\n words",
     "<article>a\x01b</article>": "a\x01b",
+    "<body><p data-q='a class=\"content\" b'>p</p>q</body>": "p\nq",
+    "<body><p title=\"see id='content' x\">p</p>q</body>": "p\nq",
     "<article " + " ".join(f'a{i}="{i}"' for i in range(300)) + ">many</article>": "many",
 }
 
@@ -87,6 +89,9 @@ def test_first_image(spark):
 
 NAMED = {
     '<meta content="u&amp;v" property="og:image"/>': "u&v",
+    '<meta property="og:image" content="x?a=1&#038;b=&eacute;&#xE9;&nothing;">': "x?a=1&b=éé&nothing;",
+    '<meta title="a > b" property="og:image" content="c>d">': "c>d",
+    '<meta content="no"><meta property="og:image" content="yes"><meta property="og:image" content="later">': "yes",
     "<meta property='og:image' content=''>": None,
     "<meta property='og:image:alt' content='x'><meta name='a' property=og:image content=b>": "b",
     "<p>none": None,

@@ -42,7 +42,25 @@ def test_lookup_is_broadcast_only_while_it_fits(spark, no_broadcast, monkeypatch
     assert small.count() == large.count() == plain.count()
 
 
-def test_join_on_two_keys(spark):
+def test_parts_grow_with_the_key(spark, no_broadcast, monkeypatch):
+    """No part holds much more than PART_ROWS rows, for a key far above as for one just above."""
+    monkeypatch.setattr(skew, "PART_ROWS", 1000)
+    rows = spark.range(12_000).withColumn("key", F.when(F.col("id") < 1100, F.lit("k2")).otherwise(F.lit("hot")))
+    joined = skew.skew_safe_join(rows, lookup(spark).where("value <> 2"), "key", "left", "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        tasks = joined.groupBy("key", F.spark_partition_id().alias("t")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert max(row["count"] for row in tasks) <= 1200
+    assert sum(row["count"] for row in tasks) == 12_000
+    assert len([row for row in tasks if row["key"] == "k2"]) == 2
+
+
+def test_join_on_two_keys(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PART_ROWS", 100)
     left = hot(spark).withColumn("day", F.col("id") % 3)
     right = lookup(spark).select("key", F.lit(0).cast("bigint").alias("day"))
     found = skew.skew_safe_join(left, right, ["key", "day"], "left_semi", "id")
@@ -50,7 +68,8 @@ def test_join_on_two_keys(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_join_equals_a_plain_one(spark, no_broadcast, how):
+def test_join_equals_a_plain_one(spark, no_broadcast, monkeypatch, how):
+    monkeypatch.setattr(skew, "PART_ROWS", 5)  # many keys are hot
     left, right = hot(spark), lookup(spark)
     found = skew.skew_safe_join(left, right, "key", how, "id")
     plain = left.join(right, "key", how).select(found.columns)
@@ -58,7 +77,8 @@ def test_join_equals_a_plain_one(spark, no_broadcast, how):
     assert found.exceptAll(plain).count() == 0
 
 
-def test_join_spreads_the_hot_key(spark, no_broadcast):
+def test_join_spreads_the_hot_key(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(skew, "PART_ROWS", 1500)
     joined = skew.skew_safe_join(hot(spark), lookup(spark), "key", "left_semi", "id")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -91,12 +111,20 @@ def test_long_lists_go_on_in_further_pages(spark):
     articles = spark.range(2500).select(
         "id", F.lit("2024-01-01").cast("date").alias("fetch_date"), F.lit("A").alias("category"),
         (F.col("id") % 7).cast("double").alias("score"))
-    pages = digest.digest_nested(articles).orderBy("page").collect()
+    whole = digest.digest_nested(articles).first().articles
+    assert [(article.position, article.id) for article in whole] == [
+        (place + 1, i) for place, i in enumerate(sorted(range(2500), key=lambda i: (-(i % 7), i)))]
+    pages = digest.digest_nested(articles, 1000).orderBy("page").collect()
     assert [len(row.articles) for row in pages] == [1000, 1000, 500]
     listed = [(-article.score, article.id) for row in pages for article in row.articles]
     assert listed == sorted(listed) and len(listed) == 2500
 
 
+def test_a_long_transcript_is_one_text(spark):
+    segments = spark.range(12_000).select(F.lit("v").alias("video_id"), F.col("id").alias("seq"), F.col("id").cast("string").alias("text"))
+    assert [tuple(row) for row in digest.transcript_text(segments).collect()] == [("v", " ".join(map(str, range(12_000))))]
+
+
 def test_transcript_parts(spark):
     rows = [("v", i, f"s{i}") for i in range(25)] + [("w", 3, "b"), ("w", 1, "a")]
     df = spark.createDataFrame(rows, "video_id string, seq int, text string")
