@@ -16,6 +16,9 @@ from curate.session import new_path, remove, written
 BLANKS = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
 # How many bytes of files a micro-batch takes.
 BATCH_BYTES = 64 << 30
+# A partition of the state for so many bytes of documents that are there at the first start, and the least
+# number of them. A store takes 4 MB of disk before it holds anything, so there are not more than needed.
+STATE_BYTES, STATE_PARTITIONS = 4 << 30, 24
 STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -56,8 +59,14 @@ def digest_stream(spark: SparkSession, path: str, schema: StructType, checkpoint
     Each micro-batch appends the state of the digests it met to `updates`: a digest's last state is the
     one with the largest count. A batch that is run again after a failure writes the same again.
     """
-    before = {name: spark.conf.get(name, None) for name in STATE}
-    for name, value in STATE.items():
+    status = _status(spark, path)
+    there = status and status.getPath().getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(
+        status.getPath()
+    ).getLength()
+    partitions = max(STATE_PARTITIONS, (there or 0) // STATE_BYTES)
+    settings = STATE | {"spark.sql.streaming.internal.stateStore.partitions": str(partitions)}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         stream = spark.readStream.schema(schema).options(**{"maxBytesPerTrigger": str(BATCH_BYTES)} | (options or {}))
