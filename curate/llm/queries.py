@@ -4,10 +4,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curate.llm.packing import pack_documents
 from curate.llm.pair_bpe import round_trip
 from curate.llm.personal_data import find_personal_data
+from curate.llm.preference import against_earlier_reply
 from curate.llm.quality import judge_documents
 from curate.llm.simhash import near_duplicates
 from curate.llm.stream_dedup import exact_duplicates
@@ -26,6 +28,15 @@ def op1_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), VOCABULARY)
 
 
+def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, each against itself with an earlier reply; the spans as text."""
+    pairs = against_earlier_reply(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return pairs.withColumns({
+        name: F.array_join(F.transform(name, lambda span: F.concat_ws(":", span["start"], span["end"])), ",")
+        for name in ("chosen_trained", "rejected_trained")
+    })
+
+
 def op3_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -62,11 +73,49 @@ def op10_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
-        op1_pair_bpe, op3_isolation_rules, op4_pigeonring, op5_id_planes, op6_nnpu_toxicity, op7_pretoken_counts,
+        op1_pair_bpe, op2_preference_pairs, op3_isolation_rules, op4_pigeonring, op5_id_planes, op6_nnpu_toxicity, op7_pretoken_counts,
         op8_island_packing, op9_weak_supervision, op10_stream_dedup,
     )
 }
 ORACLES: dict[str, str] = {
+    "op2_preference_pairs": r"""
+        WITH turns AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n,
+                coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+        ), replies AS (
+            SELECT *, lag(text) OVER (PARTITION BY conv_id ORDER BY n) AS earlier,
+                n = max(n) OVER (PARTITION BY conv_id) AS is_last
+            FROM turns WHERE role = 'assistant'
+        ), last AS (
+            SELECT conv_id, n AS place, earlier, text AS reply FROM replies WHERE is_last
+        ), sides AS (
+            SELECT t.conv_id, 'chosen' AS side, n, role, text, l.place, l.earlier, l.reply
+            FROM turns t LEFT JOIN last l ON l.conv_id = t.conv_id
+            UNION ALL
+            SELECT t.conv_id, 'rejected', n, role, CASE WHEN n = l.place THEN l.earlier ELSE text END, l.place, l.earlier, l.reply
+            FROM turns t LEFT JOIN last l ON l.conv_id = t.conv_id
+            WHERE l.place IS NULL OR l.earlier IS NOT NULL OR n < l.place
+        ), parted AS (
+            SELECT *, place IS NULL OR earlier = reply OR n < place AS shared,
+                concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10)) AS line,
+                length(role) + 13 AS head, length(role) + length(text) + 24 AS size
+            FROM (SELECT conv_id, side, n, role, text, place, earlier, reply FROM sides)
+        ), placed AS (
+            SELECT *, sum(size) OVER (PARTITION BY conv_id, side, coalesce(shared, false) ORDER BY n) - size AS begins FROM parted
+        )
+        SELECT conv_id,
+            CAST(count(*) FILTER (side = 'chosen' AND coalesce(shared, false)) AS INT) AS prompt_turns,
+            coalesce(string_agg(line, '' ORDER BY n) FILTER (side = 'chosen' AND coalesce(shared, false)), '') AS prompt,
+            coalesce(string_agg(line, '' ORDER BY n) FILTER (side = 'chosen' AND NOT coalesce(shared, false)), '') AS chosen,
+            coalesce(string_agg(line, '' ORDER BY n) FILTER (side = 'rejected' AND NOT coalesce(shared, false)), '') AS rejected,
+            coalesce(string_agg(concat(CAST(begins + head AS BIGINT), ':', CAST(begins + size AS BIGINT)), ',' ORDER BY n)
+                FILTER (side = 'chosen' AND role = 'assistant' AND NOT coalesce(shared, false)), '') AS chosen_trained,
+            coalesce(string_agg(concat(CAST(begins + head AS BIGINT), ':', CAST(begins + size AS BIGINT)), ',' ORDER BY n)
+                FILTER (side = 'rejected' AND role = 'assistant' AND NOT coalesce(shared, false)), '') AS rejected_trained,
+            coalesce(bool_or(NOT coalesce(shared, false)), false) AS differs
+        FROM placed GROUP BY conv_id
+    """,
     "op10_stream_dedup": r"""
         WITH texts AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
