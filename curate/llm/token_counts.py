@@ -20,7 +20,9 @@ from curate.llm.pair_bpe import blocks
 from curate.llm.tokens import EVEN_CUT, PLAIN, Encoder
 from curate.session import new_path
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
+# A block and a place in it are one number on the way through the shuffles.
+PLACE_BITS = 28
 # What a block holds of a document: places in the block's list of pre-tokens as differences, and how often.
 PLACES, TIMES = np.dtype("<u4"), np.dtype("<u4")
 BLOCKS = ("block long, words array<string>, doc_ids array<long>, sizes array<long>, distinct array<int>, "
@@ -95,7 +97,7 @@ def frequencies(docs: DataFrame, vocabulary: str) -> DataFrame:
         from pyspark import TaskContext
 
         tools = cutter(vocabulary)
-        block = TaskContext.get().partitionId() << 33
+        block = TaskContext.get().partitionId() << 12
         for batch in batches:
             for start, texts in blocks(batch["text"], BLOCK_BYTES):
                 places = _Places(tools.cut)
@@ -142,8 +144,8 @@ def _unpacked(raw: bytes) -> np.ndarray:
 
 
 def piece_counts(words: DataFrame, vocabulary: str) -> DataFrame:
-    """`block`, `place` and `pieces` for rows of `word`, `block`, `place`, which come sorted by word: the model
-    sees a word once per partition, and partitions do not share words."""
+    """`block`, and place and pieces in one number, for rows of `word` and `at`, block and place in one. The rows come
+    sorted by word: the model sees a word once per partition, and partitions do not share words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces_of = cutter(vocabulary).pieces
         last, pieces = None, 0
@@ -153,17 +155,20 @@ def piece_counts(words: DataFrame, vocabulary: str) -> DataFrame:
                 if word != last:
                     last, pieces = word, pieces_of(word)
                 counts.append(pieces)
+            at = np.asarray(batch["at"])
+            found = (at & (1 << PLACE_BITS) - 1) << 32 | np.array(counts, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch["block"], batch["place"], pa.array(counts, pa.int32())], names=["block", "place", "pieces"]
+                [pa.array(at >> PLACE_BITS, pa.int64()), pa.array(found, pa.int64())], names=["block", "found"]
             )
 
-    return words.mapInArrow(count, "block long, place int, pieces int")
+    return words.mapInArrow(count, "block long, found long")
 
 
 def add_up(_, docs: pa.Table, counts: pa.Table, limit: int) -> pa.Table:
     """The tokens of the documents of a block, from its frequencies and the pieces of its pre-tokens."""
+    found = np.asarray(counts["found"])
     pieces = np.zeros(counts.num_rows, np.int64)
-    pieces[np.asarray(counts["place"])] = np.asarray(counts["pieces"])
+    pieces[found >> 32] = found & (1 << 32) - 1
     parts = []
     for row in docs.to_pylist():
         ends = np.cumsum(row["distinct"], dtype=np.int64)
@@ -195,9 +200,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
     staged = spark.read.schema(BLOCKS).parquet(path)
     words = (
         staged.select("block", F.posexplode("words").alias("place", "word"))
+        .select("word", (F.shiftleft("block", PLACE_BITS) + F.col("place")).alias("at"))
         .repartition("word").sortWithinPartitions("word")
     )
-    counted = piece_counts(words.select("word", "block", "place"), vocabulary)
+    counted = piece_counts(words, vocabulary)
     return staged.drop("words").groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         lambda key, left, right: add_up(key, left, right, limit), RESULT
     )
