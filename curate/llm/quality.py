@@ -189,14 +189,17 @@ def _places(family: tuple[str, ...]) -> list[int]:
     return [RATES.index(name) for name in family]
 
 
+def _scores(rows: np.ndarray, forests: list[Forest]) -> np.ndarray:
+    """The score of each row in each family."""
+    return np.stack([forest.scores(rows[:, _places(family)]) for forest, family in zip(forests, FAMILIES)], axis=1)
+
+
 def with_oddness(counted: DataFrame, forests: list[Forest]) -> DataFrame:
     """The rows with their score in each family, `oddness`."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.stack([np.asarray(batch[name], float) for name in RATES], axis=1)
-            scores = np.stack([
-                forest.scores(rows[:, _places(family)]) for forest, family in zip(forests, FAMILIES)
-            ], axis=1)
+            scores = _scores(rows, forests)
             offsets = np.arange(len(rows) + 1, dtype=np.int32) * len(FAMILIES)
             oddness = pa.ListArray.from_arrays(pa.array(offsets), pa.array(scores.ravel(), pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns, oddness], names=[*batch.schema.names, "oddness"])
@@ -270,7 +273,17 @@ def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, that `judge_documents` keeps. Texts are read a second time instead
-    of being staged or shuffled."""
+    of being staged or shuffled, and each batch is cut down where it is judged."""
     _, rules = _learn(written(with_statistics(docs, ["doc_id"]), "statistics"), labels)
-    judged = _verdict(with_oddness(with_statistics(docs, docs.columns), rules.forests), rules)
-    return judged.where("kept").select("given.*")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([statistics(text.as_py()) for text in batch["text"]], float)
+            found = found.reshape(-1, len(COUNTS) + len(RATES))
+            n_words, repeated = found[:, COUNTS.index("n_words")], found[:, COUNTS.index("n_repeat_words")]
+            gone = (n_words < MIN_WORDS) | (100 * repeated > MAX_REPEATED * n_words)
+            scores = _scores(found[:, len(COUNTS):], rules.forests)
+            gone |= (scores >= np.array(rules.limits)).any(axis=1)
+            yield batch.filter(pa.array(~gone))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -16,7 +16,7 @@ import numpy as np
 ID = np.dtype("<u4")
 # Of the runs that it meets, a worker keeps the last this many at least, and twice as many at most;
 # longer ones than LONGEST_RUN it does not keep.
-RECENT_RUNS, LONGEST_RUN = 350_000, 40
+RECENT_RUNS, LONGEST_RUN = 250_000, 40
 # A word of Latin letters with punctuation after it, which the pattern parts as it is parted here.
 PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 EVEN_CUT = re.compile(r"(?<=\S)([ \n])(?=\S)")
@@ -35,7 +35,7 @@ class _Runs(dict):
 
     def __init__(self, encoder: "Encoder", before: str):
         super().__init__()
-        self.encoder, self.before, self.old = encoder, before, {}
+        self.encoder, self.before, self.old, self.most = encoder, before, {}, RECENT_RUNS
 
     def __missing__(self, run: str) -> bytes:
         ids = self.old.get(run)
@@ -43,12 +43,19 @@ class _Runs(dict):
             if not run or run[0].isspace() or run[-1].isspace():
                 raise _Uneven
             ids = self.encoder.run(self, run)
+        self.keep(run, ids)
+        return ids
+
+    def keep(self, run: str, ids: bytes) -> None:
         if len(run) <= LONGEST_RUN:
-            if len(self) >= RECENT_RUNS:
-                self.old = dict(self)
-                self.clear()
+            if len(self) >= self.most:
+                self.age()
             self[run] = ids
-        return ids
+
+    def age(self) -> None:
+        """Make the recent runs the old ones."""
+        self.old = dict(self)
+        self.clear()
 
 
 def byte_letters() -> list[str]:
