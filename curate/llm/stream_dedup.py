@@ -18,13 +18,13 @@ BLANKS = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
 BATCH_BYTES = 64 << 30
 # A partition of the state for so many bytes of documents that are there at the first start, and the least
 # number of them. A store takes 4 MB of disk before it holds anything, so there are not more than needed.
-STATE_BYTES, STATE_PARTITIONS = 4 << 30, 24
+STATE_BYTES, STATE_PARTITIONS = 4 << 30, 12
 STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # All state of an executor shares one bounded cache and write buffer.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -69,7 +69,7 @@ def digest_stream(spark: SparkSession, path: str, schema: StructType, checkpoint
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        stream = spark.readStream.schema(schema).options(**{"maxBytesPerTrigger": str(BATCH_BYTES)} | (options or {}))
+        stream = spark.readStream.schema(schema).options(**(options or {"maxBytesPerTrigger": str(BATCH_BYTES)}))
         met = (
             _located(stream.parquet(_source(spark, path)), digest_chars, ["doc_id"]).groupBy("digest")
             .agg(F.min("place").alias("place"), F.count("*").alias("size"))
@@ -99,7 +99,7 @@ def exact_duplicates(spark: SparkSession, path: str, schema: StructType, digest_
     Of equal texts the row with the smallest `doc_id` stays, a NULL one last, and of repeated `doc_id`s
     the one whose file and row come first, so each group keeps exactly one row. NULL texts are empty. An
     empty table gives no rows; other columns are not read. `digest_chars` shortens the digest under which
-    the state is kept; the result is the same. `options` go to the stream's reader.
+    the state is kept; the result is the same. `options` go to the stream's reader instead of the bound on a batch's bytes.
     """
     checkpoint, updates = new_path(spark, "digest-stream"), new_path(spark, "digest-updates")
     digest_stream(spark, path, schema, checkpoint, updates, digest_chars, options)
