@@ -72,11 +72,13 @@ def feature_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def candidate_features(docs: DataFrame, positives: DataFrame) -> list[str]:
-    """Features that a sufficient share of the positives has."""
-    of_positives = docs.select("doc_id", "text").join(sendable(positives.select("doc_id")), "doc_id")
-    least = max(LEAST_COUNT, LEAST_SHARE * positives.count())
-    return sorted(row["feature"] for row in feature_counts(of_positives).where(F.col("n") >= least).collect())
+def candidate_features(docs: DataFrame, positives: DataFrame) -> tuple[list[str], np.ndarray, int]:
+    """Features that a sufficient share of the positives has, how many of these have each, and how many there are."""
+    wanted = sendable(positives.select("doc_id"))
+    n = docs.select("doc_id").join(wanted, "doc_id").count()
+    counts = feature_counts(docs.select("doc_id", "text").join(wanted, "doc_id"))
+    rows = sorted(counts.where(F.col("n") >= max(LEAST_COUNT, LEAST_SHARE * n)).collect())
+    return [row["feature"] for row in rows], np.array([row["n"] for row in rows], np.int64), n
 
 
 def with_features(docs: DataFrame, candidates: list[str]) -> DataFrame:
@@ -101,8 +103,8 @@ def with_features(docs: DataFrame, candidates: list[str]) -> DataFrame:
 
 @dataclass
 class Model:
-    """Weights of the candidates, most of them zero, and a bias; scores are shifted so that the limit of
-    PREDICTED falls where the labels ask for it."""
+    """Weights of the features in use and a bias; scores are shifted so that the limit of PREDICTED falls where the
+    labels ask for it."""
 
     weights: np.ndarray
     bias: float
@@ -173,9 +175,34 @@ def _sampled(rows: DataFrame, n: int, most: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64("doc_id", "found", F.lit("sample")), F.lit(parts)) < share)
 
 
+def selected(found: DataFrame, used: np.ndarray, width: int) -> DataFrame:
+    """The rows with what they have of the features `used`, by their places in it, out of `width` candidates."""
+    place = np.full(max(1, width), -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets = np.asarray(batch["found"].offsets)
+            places = place[np.asarray(batch["found"].values)]
+            kept = np.concatenate([[0], np.cumsum(places >= 0)]).astype(np.int32)
+            rows = pa.ListArray.from_arrays(pa.array(kept[offsets]), pa.array(places[places >= 0], pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], rows], names=["doc_id", "found"])
+
+    return found.mapInArrow(select, "doc_id long, found array<int>")
+
+
+def corpus_counts(found: DataFrame, width: int) -> np.ndarray:
+    """How many rows have each of `width` candidates."""
+    counts = np.zeros(width, np.int64)
+    for row in found.select(F.explode("found").alias("place")).groupBy("place").count().collect():
+        counts[row["place"]] = row["count"]
+    return counts
+
+
 def fit(found: DataFrame, width: int) -> Model | None:
-    """A model from rows of `doc_id`, `found` and `toxic` (NULL where there is no label to learn from); None
-    without a positive. Of single documents only the bounded samples leave the executors."""
+    """A model from rows of `doc_id`, `found` (places of the features in use) and `toxic` (NULL where there is no label
+    to learn from); None without a positive. Of single documents only the bounded samples leave the
+    executors."""
     totals = found.agg(
         F.count("*").alias("n"), F.count("toxic").alias("known"), F.sum("toxic").alias("toxic")
     ).first()
@@ -183,27 +210,14 @@ def fit(found: DataFrame, width: int) -> Model | None:
     if not toxic:
         return None
     prior = min(max(toxic / known, 1e-4), 0.9)
-    counts, of_positives = np.zeros(width), np.zeros(width)
-    for row in (
-        found.select(F.explode("found").alias("place"), "toxic").groupBy("place")
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).collect()
-    ):
-        counts[row["place"]], of_positives[row["place"]] = row["n"], row["toxic"]
-    used = telling(counts, of_positives, n, toxic)
-    place = np.full(max(1, width), -1)
-    place[used] = np.arange(len(used))
-    wanted = F.array(*[F.lit(int(number)) for number in used]).cast("array<int>")
-    narrow = found.withColumn("found", F.array_intersect("found", wanted))
     samples = []
-    for rows, size, most in ((narrow.where("toxic = 1"), toxic, POSITIVES), (narrow, n, UNLABELLED)):
+    for rows, size, most in ((found.where("toxic = 1"), toxic, POSITIVES), (found, n, UNLABELLED)):
         taken = sorted((row["doc_id"] is not None, row["doc_id"] or 0, row["found"]) for row in _sampled(
             rows.select("doc_id", "found"), size, most
         ).collect())
-        samples.append([place[np.array(numbers, np.int64)] for _, _, numbers in taken])
-    learnt, bias = train(*samples, len(used), prior)
-    weights = np.zeros(max(1, width))
-    weights[used] = learnt
-    return Model(weights, bias)
+        samples.append([np.array(places, np.int64) for _, _, places in taken])
+    weights, bias = train(*samples, width, prior)
+    return Model(weights if width else np.zeros(1), bias)
 
 
 def scored(found: DataFrame, model: Model) -> DataFrame:
@@ -247,14 +261,18 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     `labels` has `doc_id` and `toxic` (1, 0 or NULL); only those of rows that are not held out are learnt
     from, and no column of `docs` but `text` is an input of a score. NULL texts are empty and get the score
     of a text without features; repeated rows are scored alike; without a confirmed toxic document every
-    score is 0. Texts are read once for the candidates of the positives, and once for all.
+    score is 0. Texts are read once for the candidates of the positives, and once for all; labels meet the few
+    features in use, not the texts.
     """
     known = written(known_labels(labels), "known-labels")
-    candidates = candidate_features(docs, known.where("toxic = 1"))
+    candidates, of_positives, n_positive = candidate_features(docs, known.where("toxic = 1"))
+    found = written(with_features(docs, candidates), "features")
+    used = telling(corpus_counts(found, len(candidates)), of_positives, found.count(), n_positive)
     found = written(
-        with_features(docs, candidates).join(known, "doc_id", "left").select("doc_id", "found", "toxic"), "features"
+        selected(found, used, len(candidates)).join(known, "doc_id", "left").select("doc_id", "found", "toxic"),
+        "used-features",
     )
-    model = fit(found, len(candidates))
+    model = fit(found, len(used))
     if model is None:
         rows = found.select("doc_id", F.lit(0.0).alias("score"))
     else:
