@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from curate.llm.tokens import ID, PLAIN, Encoder, byte_letters
+from curate.llm.tokens import ID, PLAIN, RECENT_RUNS, Encoder, byte_letters
 
 # How much text shares one index.
 BLOCK_BYTES = 8 << 20
@@ -58,12 +58,12 @@ class PairIndex:
         for rank, start, end in zip(ranks[starts].tolist(), starts, [*starts[1:], len(places)]):
             yield rank, places[start:end]
 
-    def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of each piece."""
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece, packed."""
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         n = int(lengths.sum())
         if not n:
-            return [np.empty(0, ID) for _ in pieces]
+            return [b"" for _ in pieces]
         symbols = self.bytes[np.frombuffer(b"".join(pieces), np.uint8)]
         ends = np.cumsum(lengths)
         places = np.arange(n)
@@ -89,7 +89,8 @@ class PairIndex:
             rank = heapq.heappop(active)
             left, right = self.left[rank], self.right[rank]
             listed = index.pop(rank)
-            at = np.unique(np.concatenate(listed)) if len(listed) > 1 else np.unique(listed[0])
+            at = np.sort(np.concatenate(listed))
+            at = at[np.concatenate([[True], at[1:] != at[:-1]])]
             # A list may name places that an earlier merge has changed.
             at = at[alive[at] & (symbols[at] == left)]
             second = after[at]
@@ -113,9 +114,9 @@ class PairIndex:
             if len(new):
                 add(new, symbols[new] * self.width + symbols[after[new]])
         kept = np.concatenate([[0], np.cumsum(alive)])
-        bounds = kept[np.concatenate([[0], ends])]
-        ids = symbols[alive].astype(ID)
-        return [ids[start:end] for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        bounds = (kept[np.concatenate([[0], ends])] * ID.itemsize).tolist()
+        ids = symbols[alive].astype(ID).tobytes()
+        return [ids[start:end] for start, end in zip(bounds, bounds[1:])]
 
 
 def _apart(at: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +147,6 @@ class PairEncoder(Encoder):
         longest = sorted(map(re.escape, added), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(longest) + ")") if longest else None
         back = {letter: byte for byte, letter in enumerate(byte_letters())}
-        self.back = back
         size = max([*model["vocab"].values(), *added.values()]) + 1
         self.table = [b""] * size
         for token, number in model["vocab"].items():
@@ -155,24 +155,20 @@ class PairEncoder(Encoder):
             self.table[number] = content.encode()
         self.decimal = list(map(str, range(size)))
         super().__init__(vocabulary)
+        # Runs age between blocks only: a block looks up what it has prepared.
+        self.inner.most = self.first.most = float("inf")
         if not self.even:
             raise ValueError("the pair index needs a plain byte-level BPE vocabulary")
 
     def _cut(self, text: str) -> list[str]:
-        """The pre-tokens of a text without special tokens, in the letters of the vocabulary."""
-        return [piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
-
-    def _letters(self, text: str) -> str:
-        return text.encode().decode("latin-1").translate(self.letters)
+        """The pre-tokens of a text without special tokens."""
+        return [text[start:end] for _, (start, end) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def _merged(self, piece: str) -> bytes:
-        return self._ids(self._letters(piece))
-
-    def _ids(self, letters: str) -> bytes:
-        found = self.pieces.get(letters)
+        found = self.pieces.get(piece)
         if found is None:
-            self.learn([letters])
-            found = self.pieces[letters]
+            self.learn([piece])
+            found = self.pieces[piece]
         return found
 
     def whole(self, text: str) -> bytes:
@@ -182,39 +178,57 @@ class PairEncoder(Encoder):
             if number % 2:
                 ids.append(self.added[part])
             elif part:
-                ids.extend(map(self._ids, self._cut(part)))
+                ids.extend(map(self._merged, self._cut(part)))
         return b"".join(ids)
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode pieces that are not known yet, all over one index."""
         new = [piece for piece in dict.fromkeys(pieces) if piece not in self.pieces]
-        back = self.back
-        for piece, ids in zip(new, self.index.encode([bytes([back[letter] for letter in piece]) for piece in new])):
-            self.pieces[piece] = ids.tobytes()
+        self.pieces.update(zip(new, self.index.encode([piece.encode() for piece in new])))
 
     def prepare(self, texts: Iterable[str]) -> None:
-        """Make the index over all pre-tokens that a block of texts needs and does not have yet."""
+        """Make the index over all pre-tokens that a block of texts needs and does not have yet, and keep the ids
+        of its runs."""
         self.pieces.clear()
-        inner, first, odd = set(), set(), []
+        for runs in (self.inner, self.first):
+            if len(runs) >= RECENT_RUNS:
+                runs.age()
+        inner, first = set(), set()
+        words, marked, odd = [], [], []
         for text in texts:
             for line in text.split("\n"):
                 runs = line.split(" ")
                 first.add(runs[0])
-                inner.update(runs[1:])
+                del runs[0]
+                inner.update(runs)
         needed: set[str] = set()
         for runs, found in ((self.inner, inner), (self.first, first)):
             for run in found:
                 if run in runs or run in runs.old or not run:
                     continue
+                if run.isascii() and run.isalpha():
+                    words.append((runs, run))
+                    continue
                 plain = PLAIN.fullmatch(runs.before + run)
-                if plain:
-                    needed.update(map(self._letters, filter(None, plain.groups())))
-                else:
+                if not plain:
                     odd.append(runs.before + run)
+                elif plain[2]:
+                    marked.append((runs, run, plain[1], plain[2]))
+                else:
+                    words.append((runs, run))
+        needed.update(runs.before + run for runs, run in words)
+        for _, _, word, marks in marked:
+            needed.add(word)
+            needed.add(marks)
         for run in odd:
             for part in (self.special.split(run)[::2] if self.special else [run]):
                 needed.update(self._cut(part) if part else ())
         self.learn(needed)
+        pieces = self.pieces
+        for runs, run in words:
+            runs.keep(run, pieces[runs.before + run])
+        for runs, run, word, marks in marked:
+            runs.keep(run, pieces[word] + pieces[marks])
 
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
