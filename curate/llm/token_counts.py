@@ -16,17 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curate.llm.pair_bpe import blocks
 from curate.llm.tokens import EVEN_CUT, PLAIN, Encoder
 from curate.session import new_path
 
-BLOCK_BYTES = 32 << 20
-# A block and a place in it are one number on the way through the shuffles.
-PLACE_BITS = 28
+# How much text a block takes, and what a row counts for besides its text.
+BLOCK_BYTES, ROW_BYTES = 32 << 20, 64
 # What a block holds of a document: places in the block's list of pre-tokens as differences, and how often.
 PLACES, TIMES = np.dtype("<u4"), np.dtype("<u4")
-BLOCKS = ("block long, words array<string>, doc_ids array<long>, sizes array<long>, distinct array<int>, "
-          "places binary, times binary")
+BLOCKS = ("part int, number long, n_words long, words array<string>, doc_ids array<long>, sizes array<long>, "
+          "distinct array<int>, places binary, times binary")
 RESULT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 MARK = "\0"  # before a special token, so that it is no pre-token of the same letters
 
@@ -91,39 +89,57 @@ class _Places(dict):
         return found
 
 
+class _Block:
+    """What a block holds of the documents added so far."""
+
+    def __init__(self, cut):
+        self.places, self.size = _Places(cut), 0
+        self.doc_ids, self.sizes, self.distinct, self.all_places, self.all_times = [], [], [], [], []
+
+    def add(self, doc_id: int | None, text: str, runs: Iterator[str]) -> None:
+        found = b"".join(map(self.places.__getitem__, runs))
+        which, times = np.unique(np.frombuffer(found, PLACES), return_counts=True)
+        self.doc_ids.append(doc_id)
+        self.sizes.append(len(text.encode()))
+        self.distinct.append(len(which))
+        self.all_places.append(np.diff(which, prepend=PLACES.type(0)))
+        self.all_times.append(times.astype(TIMES))
+        self.size += len(text) + ROW_BYTES
+
+    def batch(self, part: int, number: int) -> pa.RecordBatch:
+        words = list(self.places.words)
+        return pa.RecordBatch.from_pylist([{
+            "part": part, "number": number, "n_words": len(words), "words": words, "doc_ids": self.doc_ids,
+            "sizes": self.sizes, "distinct": self.distinct, "places": _packed(self.all_places),
+            "times": _packed(self.all_times),
+        }], BLOCKS_SCHEMA)
+
+
 def frequencies(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """The blocks of `docs`, as in BLOCKS. `block` is unique within one evaluation only."""
+    """The blocks of `docs`, as in BLOCKS. A block goes on from batch to batch until it is full. `part` and `number`
+    name it within one evaluation only."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         tools = cutter(vocabulary)
-        block = TaskContext.get().partitionId() << 12
+        part, number, block = TaskContext.get().partitionId(), 0, _Block(tools.cut)
         for batch in batches:
-            for start, texts in blocks(batch["text"], BLOCK_BYTES):
-                places = _Places(tools.cut)
-                sizes, distinct, all_places, all_times = [], [], [], []
-                for text in texts:
-                    found = b"".join(map(places.__getitem__, tools.runs(text)))
-                    which, times = np.unique(np.frombuffer(found, PLACES), return_counts=True)
-                    sizes.append(len(text.encode()))
-                    distinct.append(len(which))
-                    all_places.append(np.diff(which, prepend=PLACES.type(0)))
-                    all_times.append(times.astype(TIMES))
-                row = {
-                    "block": block, "words": list(places.words),
-                    "doc_ids": batch["doc_id"][start:start + len(texts)].to_pylist(), "sizes": sizes,
-                    "distinct": distinct, "places": _packed(all_places), "times": _packed(all_times),
-                }
-                block += 1
-                yield pa.RecordBatch.from_pylist([row], BLOCKS_SCHEMA)
+            for doc_id, value in zip(batch["doc_id"].to_pylist(), batch["text"]):
+                text = value.as_py() or ""
+                if block.doc_ids and block.size + len(text) + ROW_BYTES > BLOCK_BYTES:
+                    yield block.batch(part, number)
+                    number, block = number + 1, _Block(tools.cut)
+                block.add(doc_id, text, tools.runs(text))
+        if block.doc_ids:
+            yield block.batch(part, number)
 
     return docs.select("doc_id", "text").mapInArrow(count, BLOCKS)
 
 
 BLOCKS_SCHEMA = pa.schema([
-    ("block", pa.int64()), ("words", pa.list_(pa.string())), ("doc_ids", pa.list_(pa.int64())),
-    ("sizes", pa.list_(pa.int64())), ("distinct", pa.list_(pa.int32())), ("places", pa.binary()),
-    ("times", pa.binary()),
+    ("part", pa.int32()), ("number", pa.int64()), ("n_words", pa.int64()), ("words", pa.list_(pa.string())),
+    ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("distinct", pa.list_(pa.int32())),
+    ("places", pa.binary()), ("times", pa.binary()),
 ])
 
 
@@ -143,7 +159,16 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(PLACES).reshape(-1)
 
 
-def piece_counts(words: DataFrame, vocabulary: str) -> DataFrame:
+def bits(part: int, number: int, n_words: int) -> tuple[int, int]:
+    """How many bits the number of a block in its part takes, and a place in a block, if these are the largest. A
+    block and a place in it are one number on the way through the shuffles."""
+    widths = part.bit_length(), number.bit_length(), n_words.bit_length()
+    if sum(widths) > 63:
+        raise OverflowError(f"no 63 bits for part {part}, block {number} and {n_words} pre-tokens: use more partitions")
+    return widths[1:]
+
+
+def piece_counts(words: DataFrame, vocabulary: str, place_bits: int) -> DataFrame:
     """`block`, and place and pieces in one number, for rows of `word` and `at`, block and place in one. The rows come
     sorted by word: the model sees a word once per partition, and partitions do not share words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,9 +181,9 @@ def piece_counts(words: DataFrame, vocabulary: str) -> DataFrame:
                     last, pieces = word, pieces_of(word)
                 counts.append(pieces)
             at = np.asarray(batch["at"])
-            found = (at & (1 << PLACE_BITS) - 1) << 32 | np.array(counts, np.int64)
+            found = (at & (1 << place_bits) - 1) << 32 | np.array(counts, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at >> PLACE_BITS, pa.int64()), pa.array(found, pa.int64())], names=["block", "found"]
+                [pa.array(at >> place_bits, pa.int64()), pa.array(found, pa.int64())], names=["block", "found"]
             )
 
     return words.mapInArrow(count, "block long, found long")
@@ -198,12 +223,16 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
     path = new_path(spark, "frequencies")
     frequencies(docs, vocabulary).write.option("compression", "zstd").parquet(path)
     staged = spark.read.schema(BLOCKS).parquet(path)
+    largest = staged.agg(*[F.coalesce(F.max(name), F.lit(0)) for name in ("part", "number", "n_words")]).first()
+    number_bits, place_bits = bits(*largest)
+    block = F.shiftleft(F.col("part").cast("long"), number_bits) + F.col("number")
+    staged = staged.select(block.alias("block"), "words", "doc_ids", "sizes", "distinct", "places", "times")
     words = (
         staged.select("block", F.posexplode("words").alias("place", "word"))
-        .select("word", (F.shiftleft("block", PLACE_BITS) + F.col("place")).alias("at"))
+        .select("word", (F.shiftleft("block", place_bits) + F.col("place")).alias("at"))
         .repartition("word").sortWithinPartitions("word")
     )
-    counted = piece_counts(words, vocabulary)
+    counted = piece_counts(words, vocabulary, place_bits)
     return staged.drop("words").groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         lambda key, left, right: add_up(key, left, right, limit), RESULT
     )

@@ -11,8 +11,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from curate.llm import token_counts
 from curate.llm.pair_bpe import PairEncoder, PairIndex, decode_documents, encode_documents, round_trip
-from curate.llm.token_counts import count_tokens
+from curate.llm.token_counts import bits, count_tokens, frequencies
 from curate.llm.token_files import BITS, BYTES, PlaneReader, PlaneWriter, from_planes, to_planes, token_files
 from curate.llm.tokens import ID, Encoder
 from tests.llm.conftest import HARD
@@ -160,3 +161,31 @@ def test_token_counts(hard, nothing, documents, library):
             expected[doc_id, len((text or "").encode()), n, n > 512] += 1
         assert Counter(map(tuple, count_tokens(docs, VOCABULARY, limit=512).collect())) == expected
     assert count_tokens(nothing, VOCABULARY).count() == 0
+
+
+def test_token_counts_of_a_part_of_many_batches(spark, library):
+    docs = spark.range(0, 10_000, 1, 2).selectExpr("id doc_id", "concat(repeat('ab ', int(id % 7)), id, ' c', id % 11) text")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        found = {row["doc_id"]: row["n_tokens"] for row in count_tokens(docs, VOCABULARY).collect()}
+        n_blocks = frequencies(docs, VOCABULARY).count()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert found == {row["doc_id"]: len(ids_of(library, row["text"])) for row in docs.collect()}
+    assert n_blocks == 2
+
+
+def test_token_counts_of_a_part_of_many_blocks(spark, library, monkeypatch):
+    monkeypatch.setattr(token_counts, "BLOCK_BYTES", 1)
+    docs = spark.range(0, 8_600, 1, 2).selectExpr("id doc_id", "concat('a ', id) text")
+    assert frequencies(docs, VOCABULARY).select("part", "number").distinct().count() == 8_600
+    found = {row["doc_id"]: row["n_tokens"] for row in count_tokens(docs, VOCABULARY).collect()}
+    assert found == {row["doc_id"]: len(ids_of(library, row["text"])) for row in docs.collect()}
+
+
+def test_numbers_of_blocks_and_places_do_not_run_over():
+    assert bits(0, 0, 0) == (0, 0)
+    assert bits(1 << 20, 1 << 13, 1 << 27) == (14, 28)
+    with pytest.raises(OverflowError):
+        bits(1 << 20, 1 << 15, 1 << 27)
