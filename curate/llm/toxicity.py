@@ -23,12 +23,10 @@ from curate.session import written
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (5, 6)
-# A feature is a candidate if this share of the positives has it, and so many of them: this bounds the
-# candidates, since the shares of all features add up to the features of a mean document.
-LEAST_SHARE, LEAST_COUNT = 0.002, 3
-# Of the candidates, the most telling ones that the model uses.
-FEATURES = 2000
-# How surprising a surplus must be (log-likelihood ratio, chi-square with one degree of freedom).
+# A feature is a candidate if so many of the positives have it.
+LEAST_COUNT = 3
+# How surprising a surplus must be (log-likelihood ratio, chi-square with one degree of freedom). The model uses
+# all candidates that are.
 SURPRISE = 15.0
 # The bounds of what is sampled, by a hash, to fit the model.
 POSITIVES, UNLABELLED = 20_000, 40_000
@@ -73,24 +71,24 @@ def feature_counts(docs: DataFrame) -> DataFrame:
 
 
 def candidate_features(docs: DataFrame, positives: DataFrame) -> tuple[list[str], np.ndarray, int]:
-    """Features that a sufficient share of the positives has, how many of these have each, and how many there are."""
+    """Features that enough positives have, how many of these have each, and how many there are."""
     wanted = sendable(positives.select("doc_id"))
     n = docs.select("doc_id").join(wanted, "doc_id").count()
     counts = feature_counts(docs.select("doc_id", "text").join(wanted, "doc_id"))
-    rows = sorted(counts.where(F.col("n") >= max(LEAST_COUNT, LEAST_SHARE * n)).collect())
+    rows = sorted(counts.where(F.col("n") >= LEAST_COUNT).collect())
     return [row["feature"] for row in rows], np.array([row["n"] for row in rows], np.int64), n
 
 
-def with_features(docs: DataFrame, candidates: list[str]) -> DataFrame:
-    """`doc_id` and the places of the candidates that each text has."""
+def _places(text: str | None, place: dict[str, int]) -> list[int]:
+    return [place[feature] for feature in features(text or "") & place.keys()]
+
+
+def with_features(docs: DataFrame, used: list[str]) -> DataFrame:
+    """`doc_id` and the places in `used` of the features that each text has."""
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {feature: number for number, feature in enumerate(candidates)}
-        known = place.keys()
+        place = {feature: number for number, feature in enumerate(used)}
         for batch in batches:
-            found = [
-                np.sort(np.array([place[feature] for feature in features(text.as_py() or "") & known], np.int32))
-                for text in batch["text"]
-            ]
+            found = [np.sort(np.array(_places(text.as_py(), place), np.int32)) for text in batch["text"]]
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate(found) if found else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -101,6 +99,28 @@ def with_features(docs: DataFrame, candidates: list[str]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(look_up, "doc_id long, found array<int>")
 
 
+def corpus_counts(docs: DataFrame, candidates: list[str]) -> tuple[np.ndarray, int]:
+    """How many texts have each of the candidates, and how many texts there are."""
+    width = len(candidates)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {feature: number for number, feature in enumerate(candidates)}
+        # The last place has the number of texts.
+        counts = np.zeros(width + 1, np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                counts[_places(text.as_py(), place)] += 1
+            counts[width] += batch.num_rows
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(counts[met])], names=["place", "n"])
+
+    counts = np.zeros(width + 1, np.int64)
+    parts = docs.select("text").mapInArrow(count, "place long, n long")
+    for row in parts.groupBy("place").agg(F.sum("n").alias("n")).collect():
+        counts[row["place"]] = row["n"]
+    return counts[:width], int(counts[width])
+
+
 @dataclass
 class Model:
     """Weights of the features in use and a bias; scores are shifted so that the limit of PREDICTED falls where the
@@ -121,7 +141,7 @@ class Model:
 
 
 def telling(n: np.ndarray, n_positive: np.ndarray, documents: int, positives: int) -> np.ndarray:
-    """Places of the features whose surplus among positives is most surprising."""
+    """Places of the features whose surplus among positives is surprising."""
     n, n_positive = n.astype(float), n_positive.astype(float)
 
     def part(count: np.ndarray, expected: np.ndarray) -> np.ndarray:
@@ -134,8 +154,7 @@ def telling(n: np.ndarray, n_positive: np.ndarray, documents: int, positives: in
         + part(positives - n_positive, positives * (1 - share)) + part(others - n_other, others * (1 - share))
     )
     ratio[n_positive <= positives * share] = 0
-    order = np.argsort(-ratio, kind="stable")[:FEATURES]
-    return np.sort(order[ratio[order] >= SURPRISE])
+    return np.flatnonzero(ratio >= SURPRISE)
 
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], width: int, prior: float, steps: int = 300,
@@ -175,30 +194,6 @@ def _sampled(rows: DataFrame, n: int, most: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64("doc_id", "found", F.lit("sample")), F.lit(parts)) < share)
 
 
-def selected(found: DataFrame, used: np.ndarray, width: int) -> DataFrame:
-    """The rows with what they have of the features `used`, by their places in it, out of `width` candidates."""
-    place = np.full(max(1, width), -1, np.int32)
-    place[used] = np.arange(len(used), dtype=np.int32)
-
-    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets = np.asarray(batch["found"].offsets)
-            places = place[np.asarray(batch["found"].values)]
-            kept = np.concatenate([[0], np.cumsum(places >= 0)]).astype(np.int32)
-            rows = pa.ListArray.from_arrays(pa.array(kept[offsets]), pa.array(places[places >= 0], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], rows], names=["doc_id", "found"])
-
-    return found.mapInArrow(select, "doc_id long, found array<int>")
-
-
-def corpus_counts(found: DataFrame, width: int) -> np.ndarray:
-    """How many rows have each of `width` candidates."""
-    counts = np.zeros(width, np.int64)
-    for row in found.select(F.explode("found").alias("place")).groupBy("place").count().collect():
-        counts[row["place"]] = row["count"]
-    return counts
-
-
 def fit(found: DataFrame, width: int) -> Model | None:
     """A model from rows of `doc_id`, `found` (places of the features in use) and `toxic` (NULL where there is no label
     to learn from); None without a positive. Of single documents only the bounded samples leave the
@@ -261,16 +256,15 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     `labels` has `doc_id` and `toxic` (1, 0 or NULL); only those of rows that are not held out are learnt
     from, and no column of `docs` but `text` is an input of a score. NULL texts are empty and get the score
     of a text without features; repeated rows are scored alike; without a confirmed toxic document every
-    score is 0. Texts are read once for the candidates of the positives, and once for all; labels meet the few
-    features in use, not the texts.
+    score is 0. Texts are read once for the candidates of the positives, and twice for all, to count the candidates
+    and to look up those in use; labels meet the features in use, not the texts.
     """
     known = written(known_labels(labels), "known-labels")
     candidates, of_positives, n_positive = candidate_features(docs, known.where("toxic = 1"))
-    found = written(with_features(docs, candidates), "features")
-    used = telling(corpus_counts(found, len(candidates)), of_positives, found.count(), n_positive)
+    n, n_docs = corpus_counts(docs, candidates)
+    used = [candidates[place] for place in telling(n, of_positives, n_docs, n_positive)]
     found = written(
-        selected(found, used, len(candidates)).join(known, "doc_id", "left").select("doc_id", "found", "toxic"),
-        "used-features",
+        with_features(docs, used).join(known, "doc_id", "left").select("doc_id", "found", "toxic"), "used-features"
     )
     model = fit(found, len(used))
     if model is None:

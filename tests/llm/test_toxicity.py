@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curate.llm.toxicity import score_documents, train
+from curate.llm.toxicity import score_documents, telling, train
 from tests.llm.conftest import HARD
 
 SF = "/root/testdata/sf0.01"
@@ -67,3 +67,26 @@ def test_the_rest_of_the_risk_is_kept_from_going_negative():
     assert np.isfinite(weights).all() and bias + weights[0] > bias + weights[1]
     called = np.logaddexp(0, bias + weights[1]) - 0.9 * np.logaddexp(0, bias + weights[0])
     assert called > -0.2
+
+
+def test_every_surprising_feature_is_used():
+    n_positive = np.full(5_000, 40)
+    assert telling(n_positive + 1, n_positive, 100_000, 1_000).tolist() == list(range(5_000))
+
+
+def test_toxic_documents_of_a_rare_kind(spark):
+    """Eight toxic documents in a language of their own among 5,400 others: less than 0.2 % of the positives."""
+    rare = F.col("doc_id") >= 50_000
+    learnt = [doc_id for doc_id in range(50_000, 50_100) if zlib.crc32(str(doc_id).encode()) % 3 != 1][:6]
+    kept = [doc_id for doc_id in range(50_000, 50_100) if zlib.crc32(str(doc_id).encode()) % 3 == 1][:2]
+    docs = spark.range(45_400).withColumnRenamed("id", "doc_id").union(
+        spark.createDataFrame([(doc_id,) for doc_id in learnt + kept], "doc_id long")
+    ).withColumn("text", F.when(rare, F.lit("grobul snarvek")).when(F.col("doc_id") < 5_400, F.lit("nasty words"))
+                 .otherwise(F.lit("plain words")))
+    labels = docs.where((F.col("doc_id") < 9_000) | rare).select(
+        "doc_id", ((F.col("doc_id") < 5_400) | rare).cast("int").alias("toxic")
+    )
+    found = scores(docs, labels)
+    assert [found[doc_id]["held_out"] for doc_id in kept] == [True, True]
+    assert [found[doc_id]["predicted"] for doc_id in kept] == [1, 1]
+    assert [found[doc_id]["predicted"] for doc_id in (0, 20_000)] == [1, 0]
