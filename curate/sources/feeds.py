@@ -42,6 +42,7 @@ def atom_entries(entries: DataFrame) -> DataFrame:
 
 # Sections that hold text as it is, and names that HTML has beyond the five of XML.
 DATA = r"(?s)<!\[CDATA\[.*?\]\]>"
+COMMENT = r"(?s)<!--.*?-->"
 OF_HTML = r"&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z][A-Za-z0-9]{1,31};"
 
 
@@ -59,9 +60,13 @@ def repaired(text: Column) -> Column:
 
 def _parsed(documents: DataFrame, tag: str, schema: str) -> DataFrame:
     """The entries of whole documents (`value`, `feed_url`), each parsed on its own. An entry that cannot be read
-    even so has its text in `malformed` and NULL elsewhere."""
-    pattern = rf"(?s)<{tag}(?=[\s/>]).*?</{tag}\s*>"
-    each = documents.select("feed_url", F.explode(F.regexp_extract_all("value", F.lit(pattern), F.lit(0))).alias("raw"))
+    even so has its text in `malformed` and NULL elsewhere. Text sections and comments are stepped over as a whole,
+    in entries and between them; an entry that is closed in its own tag has nothing in it and is left out."""
+    whole = rf"{COMMENT}|{DATA}"
+    closed = rf"""<{tag}(?:\s+[^\s<>/="']+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*+\s*/>"""
+    pattern = rf"{whole}|{closed}|(<{tag}(?=[\s/>])(?:[^<]++|{whole}|<(?!/{tag}\s*>))*+</{tag}\s*>)"
+    found = F.regexp_extract_all("value", F.lit(pattern), F.lit(1))
+    each = documents.select("feed_url", F.explode(F.filter(found, lambda raw: raw != "")).alias("raw"))
     entry = F.from_xml(
         repaired(F.col("raw")), f"{schema}, malformed string", {"columnNameOfCorruptRecord": "malformed"}
     )

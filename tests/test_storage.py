@@ -95,6 +95,24 @@ def test_a_broken_document_does_not_stop_the_others(spark, tmp_path):
     assert sorted(row.title for row in kept.collect()) == ["A1", "A2", "One & two", "Two <b>"]
 
 
+def test_entries_are_cut_past_text_sections_comments_and_closed_tags(spark, tmp_path):
+    texts = {
+        "data": "<rss><channel><description><![CDATA[<item><title>no</title></item>]]></description><item><title>D1</title>"
+                "<description><![CDATA[a </item> b]]></description><link>http://d/1</link></item></channel></rss>",
+        "closed": '<rss><channel><item/><item a="/>" /><item><title>S1</title><link>http://s/1</link></item></channel></rss>',
+        "comment": "<rss><channel><!-- <item><title>no</title></item> --><item><title>C1</title><!-- </item> -->"
+                   "<link>http://c/1</link></item></channel></rss>",
+        "long": "<feed><entry><title>L1</title><content>" + "<b>x</b>" * 50_000 + "<![CDATA[</entry>]]></content>"
+                "<link href='http://l/1'/></entry></feed>",
+    }
+    for name, text in texts.items():
+        (tmp_path / f"feed_url={name}").mkdir()
+        (tmp_path / f"feed_url={name}" / "document.xml").write_text(text)
+    found = sorted((row.title, row.link) for row in feeds.feed_entries(spark, str(tmp_path)).collect())
+    assert found == [("C1", "http://c/1"), ("D1", "http://d/1"), ("L1", "http://l/1"), ("S1", "http://s/1")]
+    assert feeds.unread_entries(spark, str(tmp_path)).isEmpty()
+
+
 def test_keywords(spark):
     df = spark.createDataFrame([(1, "The ÉTÉ came"), (2, "none"), (3, None)], "id int, content string")
     def ids(words):
