@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curate.llm.divergence import divergence
+from curate.llm.lexical import search
 from curate.llm.packing import pack_documents
 from curate.llm.pair_bpe import round_trip
 from curate.llm.personal_data import find_personal_data
@@ -70,11 +72,20 @@ def op10_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(spark, path, spark.read.parquet(path).schema).drop("given")
 
 
+def op11_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
+
+
+def op13_pointer_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(documents(spark, sf_dir), least_docs=30, ranks=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
         op1_pair_bpe, op2_preference_pairs, op3_isolation_rules, op4_pigeonring, op5_id_planes, op6_nnpu_toxicity, op7_pretoken_counts,
         op8_island_packing, op9_weak_supervision, op10_stream_dedup,
+        op11_term_at_a_time, op13_pointer_sort,
     )
 }
 ORACLES: dict[str, str] = {
@@ -126,4 +137,80 @@ ORACLES: dict[str, str] = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM named
     """,
+    "op11_term_at_a_time": r"""
+        WITH terms AS (
+            SELECT row, doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)
+        ), sizes AS (
+            SELECT row, any_value(doc_id) AS doc_id, count(*) AS n FROM terms GROUP BY row
+        ), whole AS (
+            SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes
+        ), postings AS (
+            SELECT row, term, count(*) AS tf FROM terms GROUP BY row, term
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, whole GROUP BY term
+        ), asked AS (
+            SELECT item, any_value(item_id) AS item_id, term, count(*) AS times FROM (
+                SELECT item, item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)
+            ) GROUP BY item, term
+        ), scored AS (
+            SELECT item, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, CAST(sum(
+                times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))
+            ) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (row), whole
+            GROUP BY item, row
+        ), ranked AS (
+            SELECT item_id, doc_id, score,
+                CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op13_pointer_sort": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), words AS (
+            SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+        ), kept AS (
+            SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+        ), counts AS (
+            SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+        ), groups AS (
+            SELECT lang, source, coalesce(c.n, 0) AS n, coalesce(v.terms, 0) AS terms
+            FROM (SELECT DISTINCT lang, source FROM docs)
+            LEFT JOIN (SELECT lang, source, sum(n) AS n FROM counts GROUP BY lang, source) c USING (lang, source)
+            LEFT JOIN (SELECT lang, count(*) AS terms FROM kept GROUP BY lang) v USING (lang)
+        ), shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (g.n + 5 * g.terms) AS p
+            FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+        ), langs AS (
+            SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (total + 5 * terms) AS q
+            FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term)
+            JOIN (SELECT lang, sum(n) AS total, max(terms) AS terms FROM groups GROUP BY lang) USING (lang)
+        ), pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                CAST(coalesce(sum(abs(s.p - t.p)), 0) AS BIGINT) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN shares s ON s.lang = a.lang AND s.source = a.source
+            LEFT JOIN shares t ON t.lang = b.lang AND t.source = b.source AND t.term = s.term
+            WHERE s.term IS NULL OR t.term IS NOT NULL
+            GROUP BY a.lang, a.source, b.source
+        ), telling AS (
+            SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value
+            FROM shares JOIN langs USING (lang, term) WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+            FROM (SELECT * FROM pairs UNION ALL SELECT * FROM telling)
+        )
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
 }
