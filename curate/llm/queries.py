@@ -15,6 +15,7 @@ from curate.llm.preference import against_earlier_reply
 from curate.llm.quality import judge_documents
 from curate.llm.simhash import near_duplicates
 from curate.llm.stream_dedup import exact_duplicates
+from curate.llm.suffixes import without_repeats
 from curate.llm.token_counts import count_tokens
 from curate.llm.token_files import token_files
 from curate.llm.toxicity import score_documents
@@ -76,6 +77,14 @@ def op11_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
 
 
+def op12_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each text; spans and rest as numbers and a digest."""
+    return without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op13_pointer_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(documents(spark, sf_dir), least_docs=30, ranks=50)
 
@@ -85,7 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for function in (
         op1_pair_bpe, op2_preference_pairs, op3_isolation_rules, op4_pigeonring, op5_id_planes, op6_nnpu_toxicity, op7_pretoken_counts,
         op8_island_packing, op9_weak_supervision, op10_stream_dedup,
-        op11_term_at_a_time, op13_pointer_sort,
+        op11_term_at_a_time, op12_two_stage_suffixes, op13_pointer_sort,
     )
 }
 ORACLES: dict[str, str] = {
