@@ -7,9 +7,8 @@ from checks.clients import OfflineClient
 from checks.digest_queries import NESTED, flat
 from checks.register import query
 from curate.operators import digest as D
-from curate.operators import lifecycle as L
 from curate.operators.entries import with_entry_date
-from curate.plans.daily import Inputs, Settings, daily_run as run_all, fetch
+from curate.plans.daily import Inputs, Settings, daily_run as run_all, fetch, finalize_everything
 from curate.session import new_path
 from curate.sources import feeds as feed_files
 from curate.sources import registry, sinks
@@ -112,7 +111,7 @@ def article_scan(t):
 """)
 def article_store_write(t):
     store = stored_articles(t)
-    store.replace(L.finalize_all(store.read()))
+    finalize_everything(store)
     store.clear(CATEGORY, DAY)
     return store.read().select("id", "title", "fetch_date", "category", "score", "status")
 

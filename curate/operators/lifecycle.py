@@ -20,17 +20,21 @@ def first_by_url(batch: DataFrame, order: tuple[str, ...] = ("id",)) -> DataFram
     return batch.withColumn("_rank", F.row_number().over(in_order)).where(F.col("_rank") == 1).drop("_rank")
 
 
-def insert_or_ignore(batch: DataFrame, store: DataFrame, order: tuple[str, ...] = ("id",)) -> DataFrame:
+def insert_or_ignore(batch: DataFrame, store, order: tuple[str, ...] = ("id",)) -> DataFrame:
     """The rows of `batch` to add to `store`: new URLs only, in state `fetched`.
 
-    Of the store only the URL column is read. It is cut down to the URLs of the batch first:
-    if these fit, they are broadcast and the store is not shuffled at all; if not, both meet in
-    one shuffle of URLs, and the rest follows that partitioning. The batch is computed once and staged.
+    `store` is an article store, which looks the URLs up by their digests, or a table of articles. Of a table
+    only the URL column is read. It is cut down to the URLs of the batch first: if these fit, they are
+    broadcast and the table is not shuffled at all; if not, both meet in one shuffle of URLs, and the rest
+    follows that partitioning. The batch is computed once and staged.
     """
     batch = written(batch, "batch")
     urls = batch.select("url").distinct()
     small = fits(urls)
-    known = store.select("url").join(F.broadcast(urls) if small else urls, "url", "left_semi").distinct()
+    if isinstance(store, DataFrame):
+        known = store.select("url").join(F.broadcast(urls) if small else urls, "url", "left_semi").distinct()
+    else:
+        known = store.known(urls)
     # What is known of the batch is no more than the batch, so it fits as well.
     fresh = first_by_url(batch, order).join(F.broadcast(known) if small else known, "url", "left_anti")
     if "id" not in batch.columns:

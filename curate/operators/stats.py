@@ -18,6 +18,23 @@ def articles_per_day(store: DataFrame) -> DataFrame:
     return store.groupBy("fetch_date").agg(F.count("*").alias("count")).orderBy(F.desc("fetch_date"))
 
 
+def category_counts(counted: DataFrame) -> DataFrame:
+    """As `articles_per_category`, added up from counts by day and category."""
+    return counted.groupBy("category").agg(F.sum("articles").alias("count")).where(F.col("count") > 0)
+
+
+def category_averages(counted: DataFrame) -> DataFrame:
+    """As `avg_score_per_category`, from the same counts."""
+    summed = counted.groupBy("category").agg(F.sum("score_sum").alias("total"), F.sum("scored").alias("scored"))
+    return summed.where(F.col("scored") > 0).select("category", (F.col("total") / F.col("scored")).alias("avg_score"))
+
+
+def day_counts(counted: DataFrame) -> DataFrame:
+    """As `articles_per_day`, from the same counts."""
+    summed = counted.groupBy("fetch_date").agg(F.sum("articles").alias("count"))
+    return summed.where(F.col("count") > 0).orderBy(F.desc("fetch_date"))
+
+
 def run_counters(metrics: DataFrame) -> DataFrame:
     """Sum of each counter, from rows `(name, count)`."""
     return metrics.groupBy("name").agg(F.sum("count").alias("count")).orderBy("name")

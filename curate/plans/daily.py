@@ -1,7 +1,7 @@
 """A day's run: fetch, rate, select, summarize, find thumbnails.
 
 Every stage works on all categories and days asked for at once, reads the store, and writes
-back the partitions it changed. Stages can be run one by one; each takes up the articles in
+the states it changed. Stages can be run one by one; each takes up the articles in
 the state the one before left them.
 """
 
@@ -27,8 +27,8 @@ from curate.operators.rating import (
 from curate.operators.skew import lookup_join, sendable
 from curate.operators.stats import outcome_counts
 from curate.plans.metrics import RunMetrics
-from curate.schema import FETCHED, PARTITIONS, SELECTED, SUMMARIZED
-from curate.session import new_path, written
+from curate.schema import FETCHED, KEYS, PARTITIONS, SELECTED, SUMMARIZED
+from curate.session import new_path, scratch, written
 from curate.sources.store import ArticleStore
 
 
@@ -55,7 +55,9 @@ class Settings:
     summary_model: str = SUMMARY_MODEL
     max_tries: int = 3
     retry_delay: float = 2.0
-    parallel: int | None = None
+    parallel: int | None = None  # tasks that send requests
+    at_once: int = 10  # requests under way in a task
+    requests_per_second: float | None = None  # of all tasks together; none is no limit
     categories: tuple[str, ...] = ()  # none stands for all
     force: bool = False  # clear the days and categories first
     replies_path: str | None = None  # where replies are kept from run to run
@@ -77,6 +79,16 @@ def _kept_at(settings: Settings, given: str | None, store: ArticleStore, name: s
     return f"{settings.replies_path.rstrip('/')}/{name}" if settings.replies_path else new_path(store.spark, name)
 
 
+def _states(rows: DataFrame) -> DataFrame:
+    """Articles without their texts, with the state they had before as `_before`."""
+    return rows.drop("content").withColumn("_before", F.col("status"))
+
+
+def _changed(rows: DataFrame) -> DataFrame:
+    """The articles whose state is another than before: all that a stage has to write."""
+    return rows.where(F.col("status") != F.col("_before"))
+
+
 def _groups(rows: DataFrame) -> DataFrame:
     """The days and categories that occur, no more than the store has partitions."""
     return written(rows.select(*PARTITIONS).distinct(), "groups")
@@ -89,22 +101,27 @@ def _within(rows: DataFrame, groups: DataFrame) -> DataFrame:
 def _replies(requests: DataFrame, client_factory: Callable, settings: Settings, path: str,
              metrics: RunMetrics | None = None, call: str = "api_call") -> DataFrame:
     """Replies to `requests`, kept at `path`, one per request. A run that is repeated asks only what has no reply
-    there yet. They are written portion by portion, so that a failure costs no more than one of them."""
+    there yet. Requests are computed once; replies are written portion by portion, so that a failure costs no more
+    than one of them."""
     spark = requests.sparkSession
     keys = [name for name in requests.columns if name != "request"]
-    wanted = written(requests.select(*keys), "wanted")
-    answered = None
+    part = F.pmod(F.xxhash64(*keys), F.lit(settings.portions))
+    staged = new_path(spark, "requests")
+    requests = requests.withColumn("portion", part.cast("int"))
+    requests.write.partitionBy("portion").parquet(staged)
+    requests = spark.read.schema(requests.schema).parquet(staged)
+    wanted = requests.select(*keys)
     try:
         answered = spark.read.parquet(path).where(F.col("reply").isNotNull())
         requests = requests.join(answered.select(*keys), keys, "left_anti")
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-    part = F.pmod(F.xxhash64(*keys), F.lit(settings.portions))
     for portion in range(settings.portions):
         replies = enrich(
-            requests.where(part == portion), client_factory, max_tries=settings.max_tries,
-            retry_delay=settings.retry_delay, parallel=settings.parallel,
+            requests.where(F.col("portion") == portion).drop("portion"), client_factory, max_tries=settings.max_tries,
+            retry_delay=settings.retry_delay, parallel=settings.parallel, at_once=settings.at_once,
+            per_second=settings.requests_per_second,
         )
         if metrics:
             replies = metrics.timed(replies, call, "seconds")
@@ -116,32 +133,37 @@ def _replies(requests: DataFrame, client_factory: Callable, settings: Settings,
 
 
 def fetch(store: ArticleStore, inputs: Inputs, settings: Settings, metrics: RunMetrics | None = None) -> None:
-    """Add the articles of the days that are new and have text with a keyword in it."""
+    """Add the articles of the days that are new and have text with a keyword in it. Entries are read once."""
     if settings.force:
         for date in settings.dates:
             for category in settings.categories or [row["category"] for row in _groups_of_day(store, date)]:
                 store.clear(category, date)
-    dated = E.required(E.on_dates(E.with_entry_date(inputs.entries), *settings.dates))
-    given = [name for name in ("id",) if name in dated.columns]
-    feeds = _asked_for(inputs.feeds.select("feed_url", "category").distinct(), settings)
-    batch = E.entries_with_feed(dated, feeds).select(
-        *given, F.col("link").alias("url"), "title", "publication_date",
-        F.col("publication_date").alias("fetch_date"), "category",
-    )
-    order = (*given, "publication_date", "category", "title")
-    fresh = L.insert_or_ignore(batch, store.read(), order).drop("content", "named_image", "first_image")
-    fresh = written(fresh.withColumn("video_id", video_id(F.col("url"))), "fresh")
-    videos = _with_transcript(fresh.where(~blank(F.col("video_id"))), inputs.transcripts)
-    linked = fresh.where(blank(F.col("video_id"))).withColumn("link", F.col("url"))
-    # Text and pictures come out of one reading of the pages.
-    read = main_content(with_pictures(page_of_article(linked, inputs.pages)))
-    articles = videos.unionByName(read.drop("link", "page_url"), allowMissingColumns=True)
-    kept = E.keyword_filter(E.has_content(articles), settings.keywords)
-    if metrics:
-        metrics.increment("articles_given", fresh.count())
-        metrics.increment("feeds_read", inputs.entries.select("feed_url").distinct().count())
-        kept = metrics.counted(kept, "articles_saved")
-    store.append(kept)
+    with scratch(store.spark):
+        entries = inputs.entries
+        if metrics:
+            entries = metrics.distinct(entries, "feeds_read", "feed_url")
+        dated = E.required(E.on_dates(E.with_entry_date(entries), *settings.dates))
+        given = [name for name in ("id",) if name in dated.columns]
+        feeds = _asked_for(inputs.feeds.select("feed_url", "category").distinct(), settings)
+        batch = E.entries_with_feed(dated, feeds).select(
+            *given, F.col("link").alias("url"), "title", "publication_date",
+            F.col("publication_date").alias("fetch_date"), "category",
+        )
+        order = (*given, "publication_date", "category", "title")
+        fresh = L.insert_or_ignore(batch, store, order).drop("content", "named_image", "first_image")
+        fresh = fresh.withColumn("video_id", video_id(F.col("url")))
+        if metrics:
+            fresh = metrics.counted(fresh, "articles_given")
+        fresh = written(fresh, "fresh")
+        videos = _with_transcript(fresh.where(~blank(F.col("video_id"))), inputs.transcripts)
+        linked = fresh.where(blank(F.col("video_id"))).withColumn("link", F.col("url"))
+        # Text and pictures come out of one reading of the pages.
+        read = main_content(with_pictures(page_of_article(linked, inputs.pages)))
+        articles = videos.unionByName(read.drop("link", "page_url"), allowMissingColumns=True)
+        kept = E.keyword_filter(E.has_content(articles), settings.keywords)
+        if metrics:
+            kept = metrics.counted(kept, "articles_saved")
+        store.append(kept)
 
 
 def _groups_of_day(store: ArticleStore, date: str) -> list:
@@ -160,50 +182,52 @@ def _with_transcript(articles: DataFrame, transcripts: DataFrame) -> DataFrame:
 def analyze(store: ArticleStore, inputs: Inputs, client_factory: Callable, settings: Settings,
             replies_path: str | None = None, metrics: RunMetrics | None = None) -> None:
     """Rate the fetched articles, then select the best of every day and category that had any."""
-    today = _today(store, settings)
-    waiting = today.where(F.col("status") == FETCHED)
-    path = _kept_at(settings, replies_path, store, "ratings")
-    requests = rating_requests(E.has_content(waiting), inputs.criteria, settings.rating_model)
-    replies = _replies(requests, client_factory, settings, path, metrics, "rating_api_call")
-    ratings = written(parse_rating(replies, "reply"), "ratings")
-    if metrics:
-        for row in outcome_counts(ratings).collect():
-            metrics.increment(f"articles_rated_{row['outcome']}", row["count"])
-    rated = L.apply_ratings(_within(today, _groups(waiting)), ratings)
-    store.replace(L.mark_selected(rated, inputs.min_scores, settings.top_articles, settings.minimum_score))
+    with scratch(store.spark):
+        today = _states(_today(store, settings))
+        waiting = today.where(F.col("status") == FETCHED)
+        path = _kept_at(settings, replies_path, store, "ratings")
+        texts = store.with_texts(waiting.select(*KEYS))
+        requests = rating_requests(E.has_content(texts), inputs.criteria, settings.rating_model)
+        replies = _replies(requests, client_factory, settings, path, metrics, "rating_api_call")
+        ratings = written(parse_rating(replies, "reply"), "ratings")
+        if metrics:
+            for row in outcome_counts(ratings).collect():
+                metrics.increment(f"articles_rated_{row['outcome']}", row["count"])
+        rated = written(L.apply_ratings(_within(today, _groups(waiting)), ratings), "rated")
+        store.update(_changed(L.mark_selected(rated, inputs.min_scores, settings.top_articles, settings.minimum_score)))
 
 
 def summarize(store: ArticleStore, client_factory: Callable, settings: Settings,
               replies_path: str | None = None, metrics: RunMetrics | None = None) -> None:
     """Add the three texts to the selected articles."""
-    today = _today(store, settings)
-    chosen = today.where(F.col("status") == SELECTED)
-    path = _kept_at(settings, replies_path, store, "summaries")
-    requests = summary_requests(chosen, settings.summary_model)
-    replies = _replies(requests, client_factory, settings, path, metrics, "summary_api_call")
-    texts = written(merge_summaries(replies), "texts")
-    if metrics:
-        asked = chosen.where(~blank(F.col("content"))).count()
-        done = texts.agg(F.count("chinese_summary").alias("zh"), F.count("english_summary").alias("en")).first()
-        for kind in ("zh", "en"):
-            metrics.increment(f"summaries_{kind}_success", done[kind])
-            metrics.increment(f"summaries_{kind}_failed", asked - done[kind])
-        metrics.increment("articles_summarized", texts.count())
-    store.replace(L.apply_summaries(_within(today, _groups(chosen)), texts))
+    with scratch(store.spark):
+        chosen = written(_states(_today(store, settings)).where(F.col("status") == SELECTED), "chosen")
+        path = _kept_at(settings, replies_path, store, "summaries")
+        requests = summary_requests(store.with_texts(chosen.select(*KEYS, "title")), settings.summary_model)
+        replies = _replies(requests, client_factory, settings, path, metrics, "summary_api_call")
+        texts = written(merge_summaries(replies), "texts")
+        if metrics:
+            asked = E.has_content(store.with_texts(chosen.select(*KEYS))).count()
+            done = texts.agg(F.count("chinese_summary").alias("zh"), F.count("english_summary").alias("en")).first()
+            for kind in ("zh", "en"):
+                metrics.increment(f"summaries_{kind}_success", done[kind])
+                metrics.increment(f"summaries_{kind}_failed", asked - done[kind])
+            metrics.increment("articles_summarized", texts.count())
+        store.update(_changed(L.apply_summaries(chosen, texts)))
 
 
 def find_thumbnails(store: ArticleStore, inputs: Inputs, settings: Settings,
                     metrics: RunMetrics | None = None) -> None:
     """Complete the summarized articles of days and categories that have a digest."""
-    today = _today(store, settings)
-    waiting = _within(
-        today.where(F.col("status") == SUMMARIZED).select("id", "url", "named_image", "first_image", *PARTITIONS),
-        _groups(published(today)),
-    )
-    picked = written(first_reachable(kept_candidates(waiting), inputs.url_status), "thumbnails")
-    if metrics:
-        metrics.increment("thumbnails_found", picked.count())
-    store.replace(L.apply_thumbnails(_within(today, _groups(waiting)), picked))
+    with scratch(store.spark):
+        today = _states(_today(store, settings))
+        waiting = written(
+            _within(today.where(F.col("status") == SUMMARIZED), _groups(published(today))), "summarized"
+        )
+        picked = written(first_reachable(kept_candidates(waiting), inputs.url_status), "thumbnails")
+        if metrics:
+            metrics.increment("thumbnails_found", picked.count())
+        store.update(_changed(L.apply_thumbnails(waiting, picked)))
 
 
 def daily_run(store: ArticleStore, inputs: Inputs, client_factory: Callable, settings: Settings,
@@ -223,15 +247,13 @@ def daily_run(store: ArticleStore, inputs: Inputs, client_factory: Callable, set
 
 def finalize(store: ArticleStore, category: str, date: str) -> int:
     """Give up unfinished articles of a category from before a day; how many these were."""
-    articles = store.read()
-    stuck = L.stuck_filter(articles, category, date)
+    stuck = L.stuck_filter(_states(store.read()), category, date)
     number = stuck.count()
     if number:
-        store.replace(L.finalize_stuck(_within(articles, _groups(stuck)), category, date))
+        store.update(_changed(L.finalize_stuck(stuck, category, date)))
     return number
 
 
 def finalize_everything(store: ArticleStore) -> None:
-    articles = store.read()
-    halfway = articles.where(F.col("status").isin(*L.INTERMEDIATE_STATES))
-    store.replace(L.finalize_all(_within(articles, _groups(halfway))))
+    halfway = _states(store.read()).where(F.col("status").isin(*L.INTERMEDIATE_STATES))
+    store.update(_changed(L.finalize_all(halfway)))

@@ -27,6 +27,12 @@ class RunMetrics:
         self._observed.append((name, observation))
         return rows.observe(observation, F.count(F.lit(1)).alias("rows"))
 
+    def distinct(self, rows: DataFrame, name: str, column: str) -> DataFrame:
+        """The same rows; once they are written, the number of values of `column`, which are few, is a counter."""
+        observation = Observation()
+        self._observed.append((name, observation))
+        return rows.observe(observation, F.size(F.collect_set(column)).alias("rows"))
+
     def timed(self, rows: DataFrame, name: str, column: str) -> DataFrame:
         """The same rows; once they are written, the sum of `column` is a timing, and their number a counter."""
         observation = Observation()

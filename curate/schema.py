@@ -36,6 +36,11 @@ ARTICLE_COLUMNS = {
     "fetch_date": "date",
     "category": "string",
 }
+# What changes in the life of an article. Everything else is written once.
+STATE_COLUMNS = (
+    "score", "status", "chinese_title", "english_summary", "chinese_summary", "thumbnail_url", "rating_reason",
+)
+KEYS = ("id", *PARTITIONS)
 ARTICLE_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in ARTICLE_COLUMNS.items())
 
 # What a digest shows. The article text stays out, so a digest never scans it.

@@ -2,10 +2,13 @@
 
 import re
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+# What the scopes now open have put into the shared folder, innermost last.
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,11 +35,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark).rstrip('/')}/curate/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/curate/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes on leaving what was put into the shared folder inside. Results that are computed late must have been
+    written elsewhere by then."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        remove(spark, *paths)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, read back from a table in the shared folder."""
+    """The same rows, read back from a table in the shared folder, which lasts as long as the `scratch` around it."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
