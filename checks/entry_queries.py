@@ -83,6 +83,20 @@ def keyword_filter(t):
     return E.keyword_filter(t("documents"), WORDS, "text").select("doc_id", "text")
 
 
+@query("""
+    SELECT doc_id, text FROM {documents} d WHERE EXISTS (
+      SELECT 1 FROM (SELECT DISTINCT substring(url, 24, 12) AS keyword FROM {pages} UNION ALL SELECT substring(text, 5, 24) FROM {documents}
+                     WHERE doc_id % 3 = 0 AND length(text) >= 40) k
+      WHERE keyword <> '' AND contains(lower(d.text), lower(k.keyword)))
+""")
+def keyword_table(t):
+    """Keywords by the thousand: parts of a third of the documents, and of the addresses of pages."""
+    of_pages = t("pages").select(F.substring("url", 24, 12).alias("keyword"))
+    of_texts = t("documents").where("doc_id % 3 = 0 AND length(text) >= 40").select(F.substring("text", 5, 24).alias("keyword"))
+    keywords = of_pages.union(of_texts).where("keyword <> ''")
+    return E.keyword_filter(t("documents"), keywords, "text").select("doc_id", "text")
+
+
 @query("SELECT id, content FROM {thin_entries} WHERE content IS NOT NULL AND content <> ''")
 def has_content(t):
     return E.has_content(t("thin_entries")).select("id", "content")

@@ -116,6 +116,37 @@ def article_store_write(t):
     return store.read().select("id", "title", "fetch_date", "category", "score", "status")
 
 
+@query(f"""
+    SELECT fetch_date, category, count(*) AS articles, count(score) AS scored, round(coalesce(sum(score), 0), 6) AS score_sum
+    FROM {{articles}} WHERE NOT (category = '{CATEGORY}' AND fetch_date = date '{DAY}') GROUP BY fetch_date, category
+""")
+def partition_counts(t):
+    """What statistics add up, kept with the store: after a change of state and a cleared partition."""
+    store = stored_articles(t)
+    finalize_everything(store)
+    store.clear(CATEGORY, DAY)
+    return store.counted().withColumn("score_sum", F.round("score_sum", 6))
+
+
+@query("""
+    SELECT id, url, title, fetch_date, category, score, 'failed' AS status, content FROM {articles} WHERE id = 8
+""")
+def stored_article(t):
+    """One article out of the store, by its id, after a change of its state."""
+    store = stored_articles(t)
+    store.update(store.by_id(8).withColumn("status", F.lit("failed")))
+    return store.by_id(8).select("id", "url", "title", "fetch_date", "category", "score", "status", "content")
+
+
+@query("""
+    SELECT link AS url, count(*) AS times FROM {raw_entries} WHERE link NOT IN (SELECT url FROM {articles}) GROUP BY link
+""")
+def unknown_urls(t):
+    """Addresses of entries that the store does not have."""
+    entries = t("raw_entries").groupBy(F.col("link").alias("url")).agg(F.count("*").alias("times"))
+    return entries.join(stored_articles(t).known(entries.select("url")), "url", "left_anti")
+
+
 @query('SELECT title AS "Title", link AS "URL", CAST(utc_date AS VARCHAR) AS "Date" FROM {dated_texts} WHERE utc_date IS NOT NULL')
 def entries_to_csv(t):
     entries = t("dated_texts")

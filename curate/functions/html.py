@@ -72,6 +72,20 @@ def _block(selector: str) -> str:
     return rf"(?s){opening}.*?(?i:</{selector}\s*>)"
 
 
+# A value with something in it that looks like an attribute by which containers are found.
+QUOTED = r"""(?is)(<[a-z][^<>]*?=\s*)(?:"[^"<>]*\s(?:class|id|role)\s*=[^"<>]*"|'[^'<>]*\s(?:class|id|role)\s*=[^'<>]*')"""
+# Elements that have no end tag.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
+
+
+def plain_values(clean: Column) -> Column:
+    """A page whose attributes hold no values that look like other attributes: up to three a tag are emptied."""
+    emptied = clean
+    for _ in range(3):
+        emptied = F.regexp_replace(emptied, QUOTED, '$1""')
+    return F.when(clean.rlike(QUOTED), emptied).otherwise(clean)
+
+
 def without_noise(html: Column) -> Column:
     """A page less its comments, scripts and styles."""
     return F.regexp_replace(html, NOISE, MARK)
@@ -107,17 +121,95 @@ def _occurrences(text: Column, part: Column) -> Column:
     return (F.octet_length(text) - F.octet_length(without)) / F.octet_length(part)
 
 
-def nests(html: Column, hit: Column, block: Column, marked: Column, lower: Column) -> Column:
-    """True where expressions cannot tell the end of the container or read its strings.
+def by_tag(clean: Column) -> Column:
+    """A page cut before each of its tags."""
+    return F.split(clean, "(?=</?[A-Za-z])", -1)
 
-    It may be true too often, at the price of the slower reading, but never too seldom. `lower`
-    is the block in lower case: plain searches in it cost far less than patterns.
+
+def container_place(parts: Column, clean: Column, hit: Column) -> Column:
+    """Which of the parts begins the container that `hit` names, from 1; NULL for the body."""
+    rest = F.when(F.lit(False), F.lit(""))
+    for selector in SELECTORS:
+        rest = rest.when(hit == selector, F.regexp_extract(clean, rf"(?s){_opening(selector)}.*", 0))
+    return F.size(parts) - F.size(by_tag(rest)) + 1
+
+
+def container_end(parts: Column, first: Column) -> Column:
+    """With which part the container closes that begins with part `first`, whatever nests in it; one more than there are
+    if it is never closed, NULL if a tag cannot be told to be closed in itself.
+
+    A walk over the tags keeps those that are open: a start tag adds one, an end tag closes the last open one of its
+    name and all within, and nothing if none is open. The container ends where fewer are open than began it.
     """
+    def tag(part: Column) -> Column:
+        name = F.lower(F.regexp_extract(part, r"^</?([A-Za-z][^\s/>]*)", 1))
+        none = (name == "") | name.isin(*VOID)
+        return F.struct(
+            name.alias("name"),
+            F.when(none, 0).when(part.startswith("</"), -1).when(part.rlike("^<[A-Za-z][^<>]*/>"), 0).otherwise(1).alias("step"),
+            # A slash at the end may belong to a value without quotes.
+            part.rlike("""^<[A-Za-z][^<>]*=[^\\s"'<>]*/>""").alias("odd"),
+        )
+
+    def walk(state: Column, found: Column) -> Column:
+        opened, name = state["opened"], found["name"]
+        last = F.size(opened) - F.array_position(F.reverse(opened), name)
+        left = (
+            F.when(found["step"] == 1, F.concat(opened, F.array(name)))
+            .when(found["step"] == 0, opened)
+            .when(F.get(opened, F.size(opened) - 1) == name, F.slice(opened, 1, F.size(opened) - 1))
+            .when(F.array_contains(opened, name), F.slice(opened, F.lit(1), last.cast("int")))
+            .otherwise(opened)
+        )
+        at = state["at"] + 1
+        within = F.when(at == first, F.size(opened) + 1).otherwise(state["within"])
+        return F.when((state["end"] > 0) | state["odd"], state).otherwise(F.struct(
+            left.alias("opened"), at.alias("at"), within.alias("within"),
+            F.when((at >= first) & (F.size(left) < within), at).otherwise(0).alias("end"), found["odd"].alias("odd"),
+        ))
+
+    start = F.struct(
+        F.array().cast("array<string>").alias("opened"), F.lit(0).alias("at"), F.lit(0).alias("within"), F.lit(0).alias("end"),
+        F.lit(False).alias("odd"),
+    )
+
+    def end(state: Column) -> Column:
+        return F.when(~state["odd"], F.when(state["end"] > 0, state["end"]).otherwise(state["at"] + 1))
+
+    return F.when(first.isNotNull(), F.aggregate(F.transform(parts, tag), start, walk, end))
+
+
+def from_to(parts: Column, first: Column, end: Column) -> Column:
+    """The container between two parts; NULL if `end` is."""
+    # The last part ends with its tag; what follows is outside.
+    last = F.when(end <= F.size(parts), F.regexp_extract(F.get(parts, end - 1), "^[^>]*>", 0)).otherwise("")
+    return F.concat(F.array_join(F.slice(parts, first, end - first), ""), last)
+
+
+def tangled(html: Column, clean: Column, marked: Column, lower: Column) -> Column:
+    """True where expressions cannot read the strings of a container, marked and in lower case."""
     known = "|".join(entity[1:-1] for entity, _ in ENTITIES)
     entity = (
         rf"&(?!(?:{known});)"
         r"(?:#|[A-Za-z][A-Za-z0-9]*;|(?:lt|gt|amp|quot|nbsp|copy|reg)(?![A-Za-z0-9;]))"
     )
+    return (
+        html.contains(MARK)
+        | clean.rlike(QUOTED)
+        # A tag that another begins in: the parser takes both for one.
+        | clean.rlike("<[A-Za-z/!?][^<>]*<")
+        | lower.contains("<template") | lower.contains("<rt") | lower.contains("<rp")
+        | marked.rlike("<[A-Za-z/!?]")
+        | (marked.contains("&") & marked.rlike(entity))
+    )
+
+
+def nests(hit: Column, block: Column, lower: Column) -> Column:
+    """True where the nearest end tag may not be the end of the container.
+
+    It may be true too often, at the price of a slower reading, but never too seldom. `lower`
+    is the block in lower case: plain searches in it cost far less than patterns.
+    """
     inside_itself = (
         F.when(hit == BODY, F.lit(False))
         .when(hit.rlike("^[a-z]"), _occurrences(lower, F.concat(F.lit("<"), hit)) > 1)
@@ -128,17 +220,10 @@ def nests(html: Column, hit: Column, block: Column, marked: Column, lower: Colum
         ends_too_much = ends_too_much | (
             _occurrences(lower, F.lit(f"</{tag}")) > _occurrences(lower, F.lit(f"<{tag}"))
         )
-    # The patterns that find containers do not tell an attribute from a value that looks like one.
-    quoted = r"""(?is)<[a-z][^<>]*=\s*(?:"[^"<>]*\s(?:class|id|role)\s*=|'[^'<>]*\s(?:class|id|role)\s*=)"""
     return (
         (block == "")
-        | html.contains(MARK)
-        | html.rlike(quoted)
         | inside_itself
-        | lower.contains("<template") | lower.contains("<rt") | lower.contains("<rp")
         | ends_too_much
-        | marked.rlike("<[A-Za-z/!?]")
-        | (marked.contains("&") & marked.rlike(entity))
         | ((hit == BODY) & (
             lower.rlike(rf"</?(?:{BOILERPLATE})(?=[\s/>])")
             | block.rlike(_opening(".sidebar"))

@@ -1,6 +1,8 @@
 """Text columns: stripping, file-name slugs, CJK spacing, entities."""
 
 import json
+import sys
+import unicodedata
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -9,6 +11,10 @@ from pyspark.sql import functions as F
 # The characters Python counts as white space.
 SPACES = "".join(filter(str.isspace, map(chr, range(0x3001))))
 
+# The decimal digits of all writings, and the ASCII digit of each.
+DIGITS = "".join(letter for letter in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(letter) == "Nd")
+VALUES = "".join(str(unicodedata.decimal(letter)) for letter in DIGITS)
+
 # Characters a file name may not hold.
 FILE_NAME_FORBIDDEN = '?<>:*|"\\/'
 FILE_NAME_LENGTH = 255
@@ -45,6 +51,11 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(SPACES))
 
 
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of any writing as those of ASCII."""
+    return F.when(text.rlike("[^\\x00-\\x7F]"), F.translate(text, DIGITS, VALUES)).otherwise(text)
+
+
 def title_slug(title: Column) -> Column:
     """A title as a file name: no separators, blanks as underscores, at most 255 characters."""
     # Every kind of white space becomes a blank; what has no counterpart is dropped.

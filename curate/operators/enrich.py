@@ -21,7 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Settings of the model calls, and the three texts asked for.
 MAX_TRIES = 3
 RETRY_DELAY = 2.0
-AT_ONCE = 10
+AT_ONCE = 10  # of a run
 SUMMARY_MODEL = "gpt-4o"
 ZH_TITLE, ZH_SUMMARY, EN_SUMMARY = "zh_title", "zh_summary", "en_summary"
 
@@ -79,7 +79,7 @@ def asker(client_factory, max_tries, retry_delay, at_once, per_second):
 
 
 def enrich(requests: DataFrame, client_factory: Callable, *, max_tries: int = MAX_TRIES,
-           retry_delay: float = RETRY_DELAY, parallel: int | None = None, at_once: int = AT_ONCE,
+           retry_delay: float = RETRY_DELAY, parallel: int | None = None, at_once: int = 1,
            per_second: float | None = None) -> DataFrame:
     """Replace the `request` of each row by `reply`, `error`, `attempts` and `seconds`.
 

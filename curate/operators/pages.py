@@ -1,13 +1,14 @@
 """Text and pictures of fetched pages."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curate.functions import html as H
 from curate.functions.html_tree import reader
 from curate.functions.text import blank
 from curate.functions.urls import normalize_url, video_thumbnail
-from curate.operators.skew import sendable, skew_safe_join
+from curate.operators.skew import fits, sendable, skew_safe_join
 from curate.session import written
 
 REACHABLE = 200
@@ -24,78 +25,129 @@ def page_scan(pages: DataFrame, columns: tuple[str, ...] = ("url", "html")) -> D
     return pages.select(*columns).withColumn("url", normalize_url(F.col("url")))
 
 
-def _latest_first(pages: DataFrame) -> list[Column]:
-    """Which of several pages of one address counts: the latest fetch, where `fetched_at` says when that was, then
-    the highest `page_id`, then the greatest text."""
-    known = [F.desc_nulls_last(name) for name in ("fetched_at", "page_id") if name in pages.columns]
-    return [*known, F.desc_nulls_last("html")]
+LOCATOR = ("_file", "_row")
 
 
-def one_per_address(pages: DataFrame) -> DataFrame:
-    """Scanned pages, one per `page_url`. Every task keeps one before the shuffle."""
-    ranked = F.row_number().over(Window.partitionBy("page_url").orderBy(*_latest_first(pages)))
-    return pages.withColumn("_rank", ranked).where(F.col("_rank") == 1).drop("_rank")
+def located(pages: DataFrame) -> DataFrame:
+    """Scanned pages with the file and row they come from, under `page_url`. Pages that are not read from Parquet
+    files are written to some first."""
+    known = [name for name in ("fetched_at", "page_id") if name in pages.columns]
+    columns = ["url", "html", *known]
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    try:
+        found = pages.select(*columns, *place)
+    except AnalysisException:
+        found = written(pages.select(*columns), "pages").select(*columns, *place)
+    return found.withColumn("page_url", normalize_url(F.col("url"))).drop("url")
 
 
-def _by_page_url(entries: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (
-        entries.withColumn("page_url", normalize_url(F.col("link"))),
-        page_scan(
-            pages, ("url", "html", *[name for name in ("fetched_at", "page_id") if name in pages.columns])
-        ).withColumnRenamed("url", "page_url"),
+def latest_pages(pages: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Which of several located pages of one address counts, without its html: the latest fetch, where `fetched_at`
+    says when that was, then the highest `page_id`, then the greatest digest of the text. With `wanted`, only of
+    the addresses (`page_url`) in it.
+
+    Only narrow rows are compared, and every task keeps one an address before the shuffle.
+    """
+    known = [name for name in ("fetched_at", "page_id") if name in pages.columns]
+    narrow = pages.select(
+        "page_url", F.struct(*known, F.xxhash64("html").alias("digest"), *LOCATOR).alias("_place")
+    )
+    if wanted is not None:
+        narrow = narrow.join(sendable(wanted), "page_url", "left_semi")
+    return narrow.groupBy("page_url").agg(F.max("_place").alias("_place")).select(
+        "page_url", *[F.col(f"_place.{name}").alias(name) for name in LOCATOR]
     )
 
 
+def with_html(chosen: DataFrame, pages: DataFrame) -> DataFrame:
+    """Rows that name pages by file and row, with the `html` of these. The rows are sent to the pages if they fit; if
+    not, both meet by file and row, without sorting the pages."""
+    texts = pages.select(*LOCATOR, "html")
+    if fits(chosen):
+        return texts.join(F.broadcast(chosen), list(LOCATOR)).select("html", *chosen.columns)
+    return texts.join(chosen.hint("shuffle_hash"), list(LOCATOR)).select("html", *chosen.columns)
+
+
 def entry_page(entries: DataFrame, pages: DataFrame, spread: str = "id") -> DataFrame:
     """Each entry with the page fetched for its link; without one, `html` is NULL.
 
-    Any number of entries may name the same page.
+    Any number of entries may name the same page. The page of each address is chosen among narrow rows, and only
+    the html of those is read, late.
     """
-    keyed, found = _by_page_url(entries, pages)
-    one = one_per_address(found).select("page_url", "html")
+    keyed = entries.withColumn("page_url", normalize_url(F.col("link")))
+    found = located(pages)
+    chosen = written(latest_pages(found, keyed.select("page_url").distinct()), "chosen-pages")
+    one = with_html(chosen, found).select("page_url", "html")
     return skew_safe_join(keyed, one, "page_url", "left", spread)
 
 
 def page_of_article(articles: DataFrame, pages: DataFrame) -> DataFrame:
     """Articles, whose links are unique, with their pages; those without a page are left out.
 
-    An inner join allows broadcasting the articles of a day instead of shuffling all pages. Of an address
-    that was fetched more than once, only pages that articles need are compared.
+    Of an address that was fetched more than once, only pages that articles need are compared, as narrow rows; html
+    is read of the chosen ones alone, and moved only if the articles of a run are too many to be sent to it.
     """
-    keyed, found = _by_page_url(articles, pages)
-    order = _latest_first(found)
-    joined = found.join(sendable(keyed), "page_url").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("link").orderBy(*order))
-    )
-    return joined.where(F.col("_rank") == 1).select("page_url", "html", *[name for name in keyed.columns if name != "page_url"])
+    keyed = written(articles.withColumn("page_url", normalize_url(F.col("link"))), "addressed")
+    found = located(pages)
+    chosen = latest_pages(found, keyed.select("page_url").distinct())
+    # Two links may come to one address.
+    rows = written(keyed.join(sendable(chosen), "page_url"), "chosen-pages")
+    return with_html(rows, found).select("page_url", "html", *[name for name in keyed.columns if name != "page_url"])
 
 
 def selector_hit(pages: DataFrame) -> DataFrame:
     """Which container holds the text of each page."""
-    return pages.withColumn("selector", H.selector_hit(H.without_noise(F.col("html"))))
+    bare = pages.withColumn("_bare", H.without_noise(F.col("html"))).withColumn("_clean", H.plain_values(F.col("_bare")))
+    return bare.withColumn("selector", H.selector_hit(F.col("_clean"))).drop("_bare", "_clean")
 
 
-def main_content(pages: DataFrame) -> DataFrame:
-    """Replace `html` by `content`, the main text of the page.
+def read_by_expressions(pages: DataFrame) -> DataFrame:
+    """Add `_text`, the main text of pages that expressions can read, and `_rest`, the html of the others.
 
-    One pass over the pages. Expressions read those with flat containers; the rest go through
-    the tag-by-tag reading, and only those are handed to Python.
+    A flat container ends at the nearest end tag of its name; one with others nested in it, or that lacks an end tag,
+    where a walk over the tags has closed it. What is left has strings that need a parser, or no container but
+    parts of the body to be left out that nest.
     """
-    kept = [name for name in pages.columns if name != "html"]
-    read = F.pandas_udf(reader(H.SELECTORS), "string")
-    return (
-        pages.withColumn("_clean", H.without_noise(F.col("html")))
+    flat = (
+        pages.withColumn("_bare", H.without_noise(F.col("html")))
+        .withColumn("_clean", H.plain_values(F.col("_bare")))
         .withColumn("_hit", H.selector_hit(F.col("_clean")))
         .withColumn("_block", H.container(F.col("_clean"), F.col("_hit")))
+        .withColumn("_lower", F.lower("_block"))
+        .withColumn("_nested", H.nests(*map(F.col, ("_hit", "_block", "_lower"))))
+    )
+    deep = (
+        flat.withColumn("_parts", F.when(F.col("_nested"), H.by_tag(F.col("_clean"))))
+        .withColumn("_first", F.when(F.col("_nested"), H.container_place(F.col("_parts"), F.col("_clean"), F.col("_hit"))))
+        .withColumn("_end", H.container_end(F.col("_parts"), F.col("_first")))
+        .withColumn("_block", F.when(F.col("_nested"), H.from_to(F.col("_parts"), F.col("_first"), F.col("_end")))
+                    .otherwise(F.col("_block")))
         .withColumn("_marked", H.pieces(F.col("_block")))
         .withColumn("_lower", F.lower("_block"))
-        .withColumn("_nested", H.nests(*map(F.col, ("html", "_hit", "_block", "_marked", "_lower"))))
-        .select(
-            *kept,
-            F.when(F.col("_nested"), F.col("html")).alias("_nested"),
-            F.when(~F.col("_nested"), H.visible_text(F.col("_marked"))).alias("_flat"),
-        )
-        .select(*kept, settled(F.coalesce("_flat", read("_nested"))).alias("content"))
+    )
+    # Without a hit there is no text; a hit without a block is for the parser.
+    rest = F.when(F.col("_block").isNull(), F.col("_hit").isNotNull()).otherwise(
+        H.tangled(*map(F.col, ("html", "_clean", "_marked", "_lower")))
+    )
+    read = F.struct(
+        F.when(F.col("_parsed"), F.col("html")).alias("_rest"),
+        F.when(~F.col("_parsed"), H.visible_text(F.col("_marked"))).alias("_text"),
+    )
+    return deep.withColumn("_parsed", rest).select(*pages.columns, settled(read).alias("_read")).select(
+        *pages.columns, "_read.*"
+    )
+
+
+def main_content(pages: DataFrame) -> DataFrame:
+    """Replace `html` by `content`, the main text of the page.
+
+    One pass over the pages. Expressions read nearly all of them; the rest go through the tag-by-tag reading, and
+    only those are handed to Python.
+    """
+    kept = [name for name in pages.columns if name != "html"]
+    read = F.pandas_udf(reader(H.SELECTORS), "string")
+    return read_by_expressions(pages).select(*kept, "_rest", "_text").select(
+        *kept, settled(F.coalesce("_text", read("_rest"))).alias("content")
     )
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curate.functions.text import SPACES, strip
+from curate.functions.text import SPACES, ascii_digits, strip
 from curate.operators.skew import SALTS, lookup_join
 from curate.schema import RATED
 
@@ -17,7 +17,7 @@ RANKED_PER_TASK = 1000
 
 # The form a reply must have, and the outcomes of reading it.
 IRRELEVANT_REPLY = "not relevant"
-SCORE_FORM = rf"(?i)Rating:[{SPACES}]*([0-9]+(?:\.[0-9]+)?)/10"
+SCORE_FORM = rf"(?i)Rating:[{SPACES}]*(\p{{Nd}}+(?:\.\p{{Nd}}+)?)/10"
 REASON_FORM = r"(?is)\A(.*?)Rating:"
 SUCCESS, IRRELEVANT, BAD_FORMAT = "success", "irrelevant", "bad_format"
 
@@ -98,7 +98,7 @@ def parse_rating(replies: DataFrame, column: str = "raw_rating") -> DataFrame:
     """Add `score`, `rating_reason` and `outcome` read from a reply."""
     reply = strip(F.col(column))
     irrelevant = F.lower(reply) == IRRELEVANT_REPLY
-    score = F.when(~irrelevant, F.regexp_extract(reply, SCORE_FORM, 1).try_cast("double"))
+    score = F.when(~irrelevant, ascii_digits(F.regexp_extract(reply, SCORE_FORM, 1)).try_cast("double"))
     parsed = replies.withColumn("score", score)
     return parsed.withColumn(
         "rating_reason",

@@ -17,7 +17,7 @@ from curate.functions.urls import video_id
 from curate.operators import entries as E
 from curate.operators import lifecycle as L
 from curate.operators.digest import published
-from curate.operators.enrich import SUMMARY_MODEL, enrich, merge_summaries, summary_requests
+from curate.operators.enrich import AT_ONCE, SUMMARY_MODEL, enrich, merge_summaries, summary_requests
 from curate.operators.pages import (
     first_reachable, kept_candidates, main_content, page_of_article, with_pictures,
 )
@@ -56,7 +56,7 @@ class Settings:
     max_tries: int = 3
     retry_delay: float = 2.0
     parallel: int | None = None  # tasks that send requests
-    at_once: int = 10  # requests under way in a task
+    at_once: int = AT_ONCE  # requests under way in a task
     requests_per_second: float | None = None  # of all tasks together; none is no limit
     categories: tuple[str, ...] = ()  # none stands for all
     force: bool = False  # clear the days and categories first

@@ -33,6 +33,22 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings that hold inside; a streaming query keeps those it was started with."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     path = f"{shared_dir(spark).rstrip('/')}/curate/{name}-{uuid.uuid4().hex}"

@@ -20,23 +20,23 @@ ATOM_ENTRY = (
 )
 
 
-def rss_items(items: DataFrame) -> DataFrame:
-    """A permanent identifier serves as link where an item has no link."""
-    permanent = F.when(F.lower(F.coalesce("guid._isPermaLink", F.lit("true"))) != "false", F.col("guid._VALUE"))
-    return items.select(
-        "title",
-        F.coalesce("link", permanent).alias("link"),
-        F.col("pubDate").alias("published"),
-        F.coalesce("dc:date", "updated").alias("updated"),
-        "feed_url",
+def rss_item(item: Column) -> Column:
+    """An entry of RSS. A permanent identifier serves as link where an item has no link."""
+    named = F.lower(F.coalesce(item["guid"]["_isPermaLink"], F.lit("true"))) != "false"
+    return F.struct(
+        item["title"].alias("title"),
+        F.coalesce(item["link"], F.when(named, item["guid"]["_VALUE"])).alias("link"),
+        item["pubDate"].alias("published"), F.coalesce(item["dc:date"], item["updated"]).alias("updated"),
+        item["malformed"].alias("malformed"),
     )
 
 
-def atom_entries(entries: DataFrame) -> DataFrame:
-    """The alternate link is the article; other relations point elsewhere."""
-    alternate = F.filter("link", lambda link: F.coalesce(link["_rel"], F.lit("alternate")) == "alternate")
-    return entries.select(
-        "title", F.try_element_at(alternate, F.lit(1))["_href"].alias("link"), "published", "updated", "feed_url"
+def atom_entry(entry: Column) -> Column:
+    """An entry of Atom. The alternate link is the article; other relations point elsewhere."""
+    alternate = F.filter(entry["link"], lambda link: F.coalesce(link["_rel"], F.lit("alternate")) == "alternate")
+    return F.struct(
+        entry["title"].alias("title"), F.try_element_at(alternate, F.lit(1))["_href"].alias("link"),
+        entry["published"].alias("published"), entry["updated"].alias("updated"), entry["malformed"].alias("malformed"),
     )
 
 
@@ -58,43 +58,49 @@ def repaired(text: Column) -> Column:
     return F.array_join(parts, "")
 
 
-def _parsed(documents: DataFrame, tag: str, schema: str) -> DataFrame:
-    """The entries of whole documents (`value`, `feed_url`), each parsed on its own. An entry that cannot be read
-    even so has its text in `malformed` and NULL elsewhere. Text sections and comments are stepped over as a whole,
-    in entries and between them; an entry that is closed in its own tag has nothing in it and is left out."""
-    whole = rf"{COMMENT}|{DATA}"
-    closed = rf"""<{tag}(?:\s+[^\s<>/="']+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*+\s*/>"""
-    pattern = rf"{whole}|{closed}|(<{tag}(?=[\s/>])(?:[^<]++|{whole}|<(?!/{tag}\s*>))*+</{tag}\s*>)"
+def _parsed(documents: DataFrame) -> DataFrame:
+    """The entries of whole documents (`value`, and other columns that stay), each parsed on its own, by its kind. An
+    entry that cannot be read even so has its text in `malformed` and NULL elsewhere.
+
+    One scan cuts out items and entries. Text sections and comments are stepped over as a whole, in entries and
+    between them; an entry that is closed in its own tag has nothing in it and is left out.
+    """
+    whole, tag = rf"{COMMENT}|{DATA}", "item|entry"
+    closed = rf"""<(?:{tag})(?:\s+[^\s<>/="']+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*+\s*/>"""
+    pattern = rf"{whole}|{closed}|(<({tag})(?=[\s/>])(?:[^<]++|{whole}|<(?!/\2\s*>))*+</\2\s*>)"
     found = F.regexp_extract_all("value", F.lit(pattern), F.lit(1))
-    each = documents.select("feed_url", F.explode(F.filter(found, lambda raw: raw != "")).alias("raw"))
-    entry = F.from_xml(
-        repaired(F.col("raw")), f"{schema}, malformed string", {"columnNameOfCorruptRecord": "malformed"}
+    kept = [name for name in documents.columns if name != "value"]
+    each = documents.select(*kept, F.explode(F.filter(found, lambda raw: raw != "")).alias("raw"))
+
+    def read(schema: str) -> Column:
+        return F.from_xml(
+            repaired(F.col("raw")), f"{schema}, malformed string", {"columnNameOfCorruptRecord": "malformed"}
+        )
+
+    is_item = F.col("raw").startswith("<item")
+    read_once = each.select(
+        *kept, F.when(is_item, read(RSS_ITEM)).alias("item"), F.when(~is_item, read(ATOM_ENTRY)).alias("entry")
     )
-    return each.select("feed_url", entry.alias("entry")).select("feed_url", "entry.*")
+    entry = F.when(F.col("item").isNotNull(), rss_item(F.col("item"))).otherwise(atom_entry(F.col("entry")))
+    return read_once.select(entry.alias("entry"), *kept).select("entry.*", *kept)
 
 
 def _documents(source) -> DataFrame:
     return source.format("text").option("wholetext", True).schema("value string, feed_url string")
 
 
-def _entries(documents: DataFrame) -> DataFrame:
-    rss = rss_items(_parsed(documents, "item", RSS_ITEM))
-    return rss.unionByName(atom_entries(_parsed(documents, "entry", ATOM_ENTRY)))
-
-
 def unread_entries(spark: SparkSession, path: str) -> DataFrame:
     """`feed_url` and text of the entries below `path` that cannot be read."""
-    documents = _documents(spark.read).load(path)
-    found = [_parsed(documents, tag, kind) for tag, kind in (("item", RSS_ITEM), ("entry", ATOM_ENTRY))]
-    unread = [entries.select("feed_url", "malformed").where(F.col("malformed").isNotNull()) for entries in found]
-    return unread[0].union(unread[1])
+    found = _parsed(_documents(spark.read).load(path))
+    return found.select("feed_url", "malformed").where(F.col("malformed").isNotNull())
 
 
 def feed_entries(spark: SparkSession, path: str) -> DataFrame:
     """Entries of all documents below `path`, as `title, link, published, updated, feed_url`."""
-    return _entries(_documents(spark.read).load(path))
+    return _parsed(_documents(spark.read).load(path)).drop("malformed")
 
 
 def stream_feed_entries(spark: SparkSession, path: str, files_per_batch: int = 10_000) -> DataFrame:
     """The same as a stream over the documents that arrive below `path`."""
-    return _entries(_documents(spark.readStream.option("maxFilesPerTrigger", files_per_batch)).load(path))
+    documents = _documents(spark.readStream.option("maxFilesPerTrigger", files_per_batch)).load(path)
+    return _parsed(documents).drop("malformed")

@@ -1,6 +1,8 @@
 """Text and pictures of pages."""
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from curate.functions.html import SELECTORS
@@ -50,6 +52,72 @@ def test_main_content(read, number):
     assert page_text(html, SELECTORS) == wanted
 
 
+NESTING = st.recursive(
+    st.sampled_from(["a", "b c", "<br>", "<p>x", "<p>y</p>", "<img src='i.png'/>", "&amp;", " ", "é"]),
+    lambda inner: st.builds(
+        lambda tag, parts: f"<{tag}>{''.join(parts)}</{tag.split()[0]}>",
+        st.sampled_from(["div", "section", "article", "main", "div class='content x'", "DIV", "section id=content", "span", "li",
+                         "p title='a class=\"content\"'", "div class=\"post-content\""]),
+        st.lists(inner, max_size=4),
+    ), max_leaves=12,
+)
+
+
+def random_pages(n=400):
+    """Random nestings of containers, now and then with a tag missing."""
+    found = []
+
+    @settings(max_examples=n, deadline=None, database=None, derandomize=True)
+    @given(st.lists(NESTING, max_size=3), st.booleans(), st.integers(0, 400))
+    def draw(parts, bodied, cut):
+        html = "".join(parts)
+        html = f"<body>{html}</body>" if bodied else html
+        found.append(html)
+        # One of the tags left out.
+        found.append(html[:cut] + html[html.find(">", cut) + 1:] if cut < len(html) else html)
+
+    draw()
+    return sorted(set(found))
+
+
+def test_nested_containers_are_read_by_expressions(spark):
+    pages = random_pages()
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string").repartition(8)
+    found = {row.page_id: row.content for row in P.main_content(df).collect()}
+    assert found == {number: page_text(html, SELECTORS) for number, html in enumerate(pages)}
+    nested = [
+        (0, "<div class=content>" + "<div>a" * 50 + "</div>" * 50 + "b</div>c"), (1, "<article><section><article>x</article></section>y</article>z"),
+        (2, "<main><div>q<main>r</main></div>s<p>t</main>u"), (3, "<section id='content'><section><div/>v</section>w</section>"),
+        (4, "<DIV CLASS='content'>a<div>b</DIV>c</div>d"), (5, "<body><p title='a class=\"content\"'>x</p></body>"),
+    ]
+    df = spark.createDataFrame(nested, "page_id int, html string")
+    read = P.read_by_expressions(df).orderBy("page_id").collect()
+    assert [row._rest for row in read] == [None] * len(nested)
+    assert [row._text for row in read] == [page_text(html, SELECTORS) for _, html in nested]
+    plan = P.read_by_expressions(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_no_given_page_goes_to_python(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    nested = pages.withColumn("html", F.regexp_replace("html", "<p>", "<article><p>")).withColumn(
+        "html", F.regexp_replace("html", "</p>", "</p></article>"))
+    for given_pages in (pages, nested):
+        assert P.read_by_expressions(given_pages).where("_rest IS NOT NULL").count() == 0
+    found = {row.page_id: row.content for row in P.main_content(nested).collect()}
+    assert found == {row.page_id: page_text(row.html, SELECTORS) for row in nested.collect()}
+
+
+def test_selector_hit_tells_values_from_attributes(spark):
+    pages = {
+        "<body><div title='a class=\"content\"'>x</div>": "body", "<body><div title=\"see id='content' b\" x='a role=main'>x</div>": "body",
+        "<div title='a class=\"b\"' class='content'>x</div>": ".content", "<p data-x='1' id=\"content\">": "#content", "<p>": None,
+    }
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")
+    rows = P.selector_hit(df).orderBy("page_id").collect()
+    assert [row.selector for row in rows] == list(pages.values()) and rows[0].html == list(pages)[0]
+
+
 def test_both_readings_agree_on_all_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     found = {row.page_id: row.content for row in P.main_content(pages).collect()}
@@ -115,3 +183,22 @@ def test_thumbnail_order_and_reachability(spark):
     picked = P.thumbnail_pick(articles, pages, spark.createDataFrame(status, "url string, status_code int"))
     assert {row.id: row.thumbnail_url for row in picked.collect()} == {
         1: "https://img.youtube.com/vi/a/0.jpg", 2: "https://i/first.jpg"}
+
+
+def test_pages_are_chosen_without_their_html(spark, tmp_path):
+    rows = [("https://a/1", f"old {i}", 1, i) for i in range(50)] + [("//a/1", "new", 2, 0), ("a/1", "new", 2, 0), ("http://b/2", "b", None, 7),
+                                                                   ("http://b/2", "b", None, None), ("http://c/3", "c", 1, 1)]
+    path = str(tmp_path / "pages")
+    spark.createDataFrame(rows, "url string, html string, fetched_at int, page_id int").repartition(4).write.parquet(path)
+    entries = spark.createDataFrame([(1, "https://a/1"), (2, "http://b/2"), (3, "//a/1"), (4, "http://none")], "id bigint, link string")
+    for pages in (spark.read.parquet(path), spark.createDataFrame(rows, "url string, html string, fetched_at int, page_id int")):
+        found = P.entry_page(entries, pages)
+        assert sorted((row.id, row.html) for row in found.collect()) == [(1, "new"), (2, "b"), (3, "new"), (4, None)]
+        kept = P.page_of_article(entries.where("id < 3"), pages)
+        assert sorted((row.id, row.html) for row in kept.collect()) == [(1, "new"), (2, "b")]
+    # What is sorted or ranked holds no html.
+    pages = P.located(spark.read.parquet(path))
+    plan = P.latest_pages(pages, entries.select(F.col("link").alias("page_url")))._jdf.queryExecution().executedPlan().toString()
+    assert all("html" not in line for line in plan.splitlines() if any(word in line for word in ("Sort", "Window", "Exchange")))
+    plan = P.with_html(P.latest_pages(pages), pages)._jdf.queryExecution().executedPlan().toString()
+    assert not any("html" in line for line in plan.splitlines() if "Sort [" in line or "Window" in line or "Exchange hash" in line)

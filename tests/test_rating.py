@@ -113,3 +113,11 @@ def test_summary_requests_skip_empty_articles(spark):
     df = spark.createDataFrame([(1, "t", "c"), (2, "t", ""), (3, "t", None)], "id bigint, title string, content string")
     assert sorted((row.id, row.kind) for row in R.summary_requests(df).collect()) == [
         (1, "en_summary"), (1, "zh_summary"), (1, "zh_title")]
+
+
+def test_digits_of_any_writing(spark):
+    replies = ["ok Rating: ８.5/10", "Rating: ٧/10", "Rating: 9.٢５/10", "Rating: x/10", "评分 Rating:　７/10"]
+    df = spark.createDataFrame(list(enumerate(replies)), "id int, raw_rating string")
+    rows = G.parse_rating(df).orderBy("id").collect()
+    assert [row.score for row in rows] == [8.5, 7.0, 9.25, None, 7.0]
+    assert [row.outcome for row in rows] == ["success"] * 3 + ["bad_format", "success"] and rows[4].rating_reason == "评分"
