@@ -1,6 +1,12 @@
-"""Token ids by the tokenizers library, looked up once per run of text between single blanks.
+"""Token ids as the tokenizers library gives them, by the fastest way that gives the same.
 
-A byte-level tokenizer cuts a text with a fixed pattern before it merges anything. Where a single
+Most texts go whole to a byte-pair merger that takes a vocabulary as ranks. It joins any two neighbours that make a
+token, the library only pairs that its list of merges has. Both come to the same if every token, taken as a text,
+is merged into itself: two neighbours that make a token are then a pair of the list, as they would be in
+the token alone. Vocabularies are tested for that when they are loaded. Characters that releases of Unicode
+could class differently, and special tokens, keep a text from this way.
+
+Other texts are looked up once per run of text between single blanks. A byte-level tokenizer cuts a text with a fixed pattern before it merges anything. Where a single
 blank or line end stands between two other characters, that pattern always cuts before the
 blank, and around the line end. So the runs between such places can be encoded on their own, and a
 run that occurs again is looked up. Texts with other white space take a slower way to the same
@@ -17,8 +23,15 @@ ID = np.dtype("<u4")
 # Of the runs that it meets, a worker keeps the last this many at least, and twice as many at most;
 # longer ones than LONGEST_RUN it does not keep.
 RECENT_RUNS, LONGEST_RUN = 250_000, 40
+# Fixed value: the pattern by which a byte-level tokenizer cuts a text.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # A word of Latin letters with punctuation after it, which the pattern parts as it is parted here.
 PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+# Characters that have been letters, digits, blanks or neither since early releases of Unicode: Latin, Greek,
+# Cyrillic, punctuation, kana, and the first blocks of Chinese and Korean.
+SETTLED = re.compile(
+    "[\t\n\x0b\x0c\r -~¡-ɏΑ-ΡΣ-ώА-яЁё‐-‧‰-⁞ぁ-んァ-ヺ一-龥가-힣]*"
+)
 EVEN_CUT = re.compile(r"(?<=\S)([ \n])(?=\S)")
 
 
@@ -86,7 +99,7 @@ def cuts_evenly(settings: dict) -> bool:
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, without begin or end, truncation or padding."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, whole_texts: bool = False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary)
@@ -98,6 +111,29 @@ class Encoder:
         self.packed = [number.to_bytes(4, "little") for number in range(self.library.get_vocab_size())]
         self.inner, self.first = _Runs(self, " "), _Runs(self, "")
         self.line_end = self.whole("\n")
+        self.specials = [token["content"] for token in json.loads(self.library.to_str())["added_tokens"]]
+        self.merger = self._merger() if whole_texts and self.even else None
+
+    def _merger(self):
+        """The merger of whole texts; none for a vocabulary that it would read differently."""
+        import tiktoken
+
+        places = {letter: byte for byte, letter in self.letters.items()}
+        words = {word: number for word, number in self.library.get_vocab(with_added_tokens=False).items()
+                 if word not in self.specials}
+        known = all(letter in places for word in words for letter in word)
+        if not known or any(letter not in words for letter in places) or any(
+            len(self.model.tokenize(word)) != 1 for word in words
+        ):
+            return None
+        merges = json.loads(self.library.to_str())["model"]["merges"]
+        made = [words.get("".join(pair if isinstance(pair, list) else pair.split(" "))) for pair in merges]
+        if None in made or any(one >= other for one, other in zip(made, made[1:])) or max(
+            words[letter] for letter in places
+        ) >= min(made, default=len(words)):
+            return None
+        ranks = {bytes(places[letter] for letter in word): number for word, number in words.items()}
+        return tiktoken.Encoding("byte level", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, ID).tobytes()
@@ -124,6 +160,8 @@ class Encoder:
             return b""
         if not self.even:
             return self.whole(text)
+        if self.merger and SETTLED.fullmatch(text) and not any(special in text for special in self.specials):
+            return self.merger.encode_to_numpy(text, disallowed_special=()).astype(ID, copy=False).tobytes()
         ids, first, inner = [], self.first, self.inner.__getitem__
         try:
             for line in text.split("\n"):
@@ -160,4 +198,4 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str) -> Encoder:
     """One encoder per worker, kept over its tasks."""
-    return Encoder(vocabulary)
+    return Encoder(vocabulary, whole_texts=True)

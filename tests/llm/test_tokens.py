@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import json
 import random
 import zlib
 from collections import Counter
@@ -189,3 +190,32 @@ def test_numbers_of_blocks_and_places_do_not_run_over():
     assert bits(1 << 20, 1 << 13, 1 << 27) == (14, 28)
     with pytest.raises(OverflowError):
         bits(1 << 20, 1 << 15, 1 << 27)
+
+
+def test_merger_of_whole_texts_gives_the_same():
+    from curate.llm.tokens import SETTLED, Encoder
+
+    one = Encoder(VOCABULARY, whole_texts=True)
+    assert one.merger is not None and Encoder(VOCABULARY).merger is None
+    settled = [letter for letter in map(chr, range(0x11000)) if SETTLED.fullmatch(letter)]
+    every = "".join(f"{letter} {letter}{letter}1 {letter}b" for letter in settled)
+    rng = random.Random(5)
+    mixed = ["".join(rng.choices(settled + list(" \n's9") * 4000, k=300)) for _ in range(60)]
+    for text in (every, *mixed, "x" * 50_000, " " * 5000, "a\u200bb", "<|endoftext|> it's", "\x1c \x85 é\xa0", "ａ１"):
+        assert one.encode(text) == one.whole(text)
+
+
+def test_a_vocabulary_that_merges_otherwise_goes_without(tmp_path):
+    """Here `a` and `bc` make a token that no merge of theirs does."""
+    from curate.llm.tokens import Encoder, byte_letters
+
+    letters = byte_letters()
+    vocab = {letter: number for number, letter in enumerate(letters)} | {"bc": 256, "ab": 257, "abc": 258}
+    model = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None,
+             "fuse_unk": False, "byte_fallback": False, "vocab": vocab, "merges": ["b c", "a b", "ab c"]}
+    before = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps({"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None,
+                                "pre_tokenizer": before, "post_processor": None, "decoder": None, "model": model}))
+    one = Encoder(str(path), whole_texts=True)
+    assert one.merger is None and one.encode("abc abcbc") == one.whole("abc abcbc")
