@@ -71,20 +71,82 @@ def _matches(text: Column, pattern: str, hint: str) -> tuple[Column, Column]:
     )
 
 
+# Elements that a running value is carried over at once, and code points of a text that are cut out of it at once.
+SCANNED, CUT = 256, 1 << 14
+# A context of BEFORE characters is within so many pieces before a match, matches and what is between them.
+PIECES_BEFORE = 24
+
+
+def _let(value: Column, use) -> Column:
+    """An expression over a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _running(values: Column, start: Column, join) -> Column:
+    """The running value at each element of an array of longs, the element included.
+
+    A list that grows by one element is copied each time, so it grows within blocks of SCANNED elements; what
+    each block starts with is carried over in a list of blocks.
+    """
+    def grown(block: Column, first: Column) -> Column:
+        begin = F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+        def step(seen: Column, value: Column) -> Column:
+            return _let(join(seen["at"], value), lambda at: F.struct(
+                at.alias("at"), F.concat(seen["out"], F.array(at)).alias("out")
+            ))
+
+        return F.aggregate(block, begin, step, lambda seen: seen["out"])
+
+    def of_blocks(blocks: Column) -> Column:
+        lasts = F.transform(blocks, lambda block: F.aggregate(block, start, join))
+        firsts = _let(grown(lasts, start), lambda ends: F.concat(F.array(start), ends))
+        return F.flatten(F.zip_with(F.slice(firsts, F.lit(1), F.size(blocks)), blocks, lambda first, block: grown(block, first)))
+
+    def whole(items: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / SCANNED).cast("int"))
+        blocks = F.transform(numbers, lambda number: F.slice(items, number * SCANNED + 1, F.lit(SCANNED)))
+        return F.when(F.size(items) > 0, _let(blocks, of_blocks)).otherwise(F.array().cast("array<bigint>"))
+
+    return _let(values, whole)
+
+
+def _sums(values: Column) -> Column:
+    return _running(values, F.lit(0).cast("bigint"), lambda at, value: at + value)
+
+
+def _highest(values: Column) -> Column:
+    return _running(values, F.lit(0).cast("bigint"), lambda at, value: F.greatest(at, value))
+
+
 def _places(found: str, between: str) -> Column:
-    """`start`, `end` and `value` of each match, in code points."""
-    nothing = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
+    """`start`, `end` and `value` of each match, in code points, with the BEFORE characters before it and the one after.
 
-    def step(seen: Column, value: Column) -> Column:
-        start = seen["at"] + F.length(F.get(F.col(between), seen["n"]))
-        end = start + F.length(value)
-        place = F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
-        return F.struct(
-            end.alias("at"), (seen["n"] + 1).alias("n"), F.concat(seen["places"], F.array(place)).alias("places")
-        )
+    All of it comes from the matches and what stands between them; nothing is looked up in the text, where finding
+    a place means counting from its start.
+    """
+    values, gaps = F.col(found), F.slice(F.col(between), F.lit(1), F.size(found))
+    lengths = F.zip_with(gaps, values, lambda gap, value: (F.length(gap) + F.length(value)).cast("bigint"))
+
+    def end_of(piece: Column) -> Column:
+        return F.substring(piece, -BEFORE, BEFORE)
+
+    pieces = F.flatten(F.zip_with(gaps, values, lambda gap, value: F.array(end_of(gap), end_of(value))))
+
+    def placed(ends: Column, pieces: Column) -> Column:
+        def place(value: Column, number: Column) -> Column:
+            last = 2 * number + 1
+            before = F.slice(pieces, F.greatest(last - PIECES_BEFORE + 1, F.lit(1)), F.least(last, F.lit(PIECES_BEFORE)))
+            gap, follower = F.get(F.col(between), number + 1), F.get(F.col(found), number + 1)
+            return F.struct(
+                (F.get(ends, number) - F.length(value)).alias("start"), F.get(ends, number).alias("end"), value.alias("value"),
+                F.lower(end_of(F.array_join(before, ""))).alias("before"),
+                F.substring(F.concat(F.substring(gap, 1, 1), F.coalesce(F.substring(follower, 1, 1), F.lit(""))), 1, 1).alias("after"),
+            )
+
+        return F.transform(values, place)
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(0).alias("n"), nothing.alias("places"))
-    return F.aggregate(F.col(found), begin, step, lambda seen: seen["places"])
+    return _let(_sums(lengths), lambda ends: _let(pieces, lambda parts: placed(ends, parts)))
 
 
 def _digits(value: Column) -> Column:
@@ -135,10 +197,7 @@ def _known(kind: str, value: Column) -> Column:
 def _candidates(kind: str, base: bool, places: Column) -> Column:
     """Spans with the votes of the labelers."""
     def judged(place: Column) -> Column:
-        value, start, end = place["value"], place["start"], place["end"]
-        first = F.greatest(start - BEFORE, F.lit(0))
-        before = F.lower(F.substring(F.col("text"), (first + 1).cast("int"), (start - first).cast("int")))
-        after = F.substring(F.col("text"), (end + 1).cast("int"), F.lit(1))
+        value, start, end, before, after = (place[name] for name in ("value", "start", "end", "before", "after"))
         touched = before.rlike(r"[\p{L}\p{N}_@]$") | after.rlike(r"[\p{L}\p{N}_@]")
         holds = _holds(kind, value) if base else F.lit(False)
         return F.struct(
@@ -254,13 +313,28 @@ def with_spans(candidates: DataFrame, weights: list[float], sure: float = SURE)
     An added span does not overlap one of the base rules.
     """
     least = math.log(sure / (1 - sure))
-    based = candidates.withColumn("firm", F.filter("spans", lambda span: span["base"]))
+    far = F.lit(2**62).cast("bigint")
 
-    def stays(span: Column) -> Column:
-        clear = ~F.exists("firm", lambda firm: (firm["start"] < span["end"]) & (span["start"] < firm["end"]))
-        return span["base"] | ((_score(span, weights) >= least) & clear)
+    # By start: the base spans before a span end at the most where the running maximum is, the ones after begin
+    # at the least where the running maximum from the end is, negated.
+    def chosen(spans: Column) -> Column:
+        ends = _highest(F.transform(spans, lambda span: F.when(span["base"], span["end"]).otherwise(0)))
+        begins = _highest(F.reverse(F.transform(spans, lambda span: F.when(span["base"], far - span["start"]).otherwise(0))))
 
-    return based.withColumn("spans", F.filter("spans", stays)).drop("firm")
+        def stays(ends: Column, begins: Column) -> Column:
+            def one(span: Column, number: Column) -> Column:
+                clear = (F.get(ends, number) <= span["start"]) & (
+                    far - F.get(begins, F.size(spans) - 1 - number) >= span["end"]
+                )
+                return F.when(span["base"] | ((_score(span, weights) >= least) & clear), span)
+
+            return F.filter(F.transform(spans, one), lambda span: span.isNotNull())
+
+        return _let(ends, lambda ends: _let(begins, lambda begins: stays(ends, begins)))
+
+    by_start = F.array_sort(F.transform("spans", lambda span: F.struct(span["start"].alias("from"), span.alias("span"))))
+    sorted_spans = F.transform(by_start, lambda pair: pair["span"])
+    return candidates.withColumn("spans", F.array_sort(_let(sorted_spans, chosen)))
 
 
 def _joined(spans: Column) -> Column:
@@ -290,28 +364,51 @@ def find_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
     )
 
 
+def _parts(text: Column) -> Column:
+    """A text in parts of CUT code points, the last of which may be shorter or empty."""
+    numbers = F.sequence(F.lit(0), F.floor(F.length(text) / CUT).cast("int"))
+    return F.transform(numbers, lambda number: F.substring(text, number * CUT + 1, F.lit(CUT)))
+
+
+def _cut_out(parts: Column, start: Column, end: Column) -> Column:
+    """The text from one code point to another, out of its parts; an end beyond the text is its end."""
+    first, last = F.floor(start / CUT).cast("int"), F.floor(end / CUT).cast("int")
+    skip, take = F.pmod(start, F.lit(CUT)).cast("int"), F.pmod(end, F.lit(CUT)).cast("int")
+    inside = F.substring(F.get(parts, first), skip + 1, take - skip)
+    over = F.concat(
+        F.substring(F.get(parts, first), skip + 1, F.lit(CUT)),
+        F.array_join(F.slice(parts, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.coalesce(F.substring(F.get(parts, last), F.lit(1), take), F.lit("")),
+    )
+    return F.when(first == last, inside).otherwise(over)
+
+
 def without_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
     """The rows of `docs`, all columns, with `<kind>` in `text` for every span found. Where spans of several
     kinds overlap, the earliest names them, and they go together. A NULL text stays NULL."""
     narrow = written(with_candidates(docs, ["doc_id"]).select("spans"), "spans")
     found = with_spans(with_candidates(docs, docs.columns), fit(narrow))
     names = F.array(*[F.lit(f"<{name}>") for name in KINDS])
-    ordered = F.array_sort(F.transform("spans", lambda span: F.struct(span["start"], span["end"], span["kind"])))
-
-    def step(seen: Column, span: Column) -> Column:
-        apart = span["start"] >= seen["at"]
-        between = F.substring(
-            F.col("text"), (seen["at"] + 1).cast("int"), (span["start"] - seen["at"]).cast("int")
-        )
-        piece = F.concat(between, F.element_at(names, span["kind"] + 1))
-        return F.struct(
-            F.greatest(seen["at"], span["end"]).alias("at"),
-            F.when(apart, F.concat(seen["pieces"], F.array(piece))).otherwise(seen["pieces"]).alias("pieces"),
-        )
-
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("pieces"))
-    cleaned = F.aggregate(ordered, begin, step, lambda seen: F.concat(
-        F.array_join(seen["pieces"], ""), F.substring(F.col("text"), (seen["at"] + 1).cast("int"), F.lit(2**31 - 1))
+    ordered = F.array_sort(F.transform("spans", lambda span: F.struct(
+        span["start"].alias("start"), span["end"].alias("end"), span["kind"].alias("kind")
+    )))
+
+    def cleaned(spans: Column, ends: Column, parts: Column) -> Column:
+        """What stands between the spans, each of which names the piece that ends where it starts; a span that
+        begins before those before it have ended goes with them."""
+        def piece(span: Column, number: Column) -> Column:
+            begun = F.when(number == 0, F.lit(0).cast("bigint")).otherwise(F.get(ends, number - 1))
+            return F.when(span["start"] >= begun, F.concat(
+                _cut_out(parts, begun, span["start"]), F.element_at(names, span["kind"] + 1)
+            )).otherwise("")
+
+        last = F.get(ends, F.size(spans) - 1)
+        rest = _cut_out(parts, last, F.size(parts).cast("bigint") * CUT)
+        return F.concat(F.array_join(F.transform(spans, piece), ""), rest)
+
+    cleaned = _let(ordered, lambda spans: _let(
+        _highest(F.transform(spans, lambda span: span["end"])),
+        lambda ends: _let(_parts(F.col("text")), lambda parts: cleaned(spans, ends, parts)),
     ))
     text = F.when(F.size("spans") == 0, F.col("given.text")).otherwise(cleaned)
     return found.select(*[

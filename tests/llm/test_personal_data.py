@@ -134,3 +134,26 @@ def test_native(spark):
 def test_checksum(spark, text, spans):
     found = find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert (found["n_card"] == 1) == bool(spans)
+
+
+def test_tens_of_thousands_of_matches_in_a_text(spark):
+    """Places are running sums, and contexts come from what is between matches: this many would not end else."""
+    rows = [
+        (1, "ab 1234 " * 64_000), (2, "call +1 415 555 2671 or é " * 20_000 + "x"),
+        (3, "".join(f"{'é' * (n % 7)}{n % 300}.2.3.4 a{n}@b.org 4111111111111111 ," for n in range(6_000))),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = find_personal_data(docs).collect()
+    check(found, rows)
+    assert {row["doc_id"]: row["n_phone"] for row in found} == {1: 0, 2: 20_000, 3: 0}
+    cleaned = {row["doc_id"]: row["text"] for row in without_personal_data(docs).collect()}
+    for row in found:
+        # The text cut at the spans, one after the other.
+        spans = sorted((int(start), -int(end), KINDS.index(kind)) for kind, start, end in (
+            span.split(":") for span in row["spans"].split(",") if span))
+        text, at, parts = dict(rows)[row["doc_id"]], 0, []
+        for start, end, kind in spans:
+            if start >= at:
+                parts += [text[at:start], f"<{KINDS[kind]}>"]
+            at = max(at, -end)
+        assert cleaned[row["doc_id"]] == "".join(parts) + text[at:]
