@@ -70,7 +70,7 @@ def op9_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/documents.parquet"
-    return exact_duplicates(spark, path, spark.read.parquet(path).schema).drop("given")
+    return exact_duplicates(spark, path, spark.read.parquet(path).schema).drop("file", "row")
 
 
 def op11_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,3 +181,35 @@ def test_no_python_in_exact_duplicates(spark):
 
     plan = QUERIES["op10_stream_dedup"](spark, SF_DIR)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_state_is_kept_between_runs(spark, tmp_path):
+    import os
+
+    path, state = str(tmp_path / "docs"), str(tmp_path / "state")
+    first = spark.createDataFrame([(3, "a  b"), (4, "c")], "doc_id long, text string")
+    first.coalesce(1).write.parquet(path)
+    # A file older than any bound on the age of files.
+    found = exact_duplicates(spark, path, first.schema, digest_chars=1, state=state)
+    assert sorted((row.doc_id, row.keep_id, row.kept) for row in found.collect()) == [(3, 3, True), (4, 4, True)]
+    more = spark.createDataFrame([(1, "a b"), (5, "c "), (6, "d")], "doc_id long, text string")
+    more.coalesce(1).write.mode("append").parquet(path)
+    newest = max(tmp_path.joinpath("docs").glob("*.parquet"), key=os.path.getmtime)
+    os.utime(newest, (1, 1))
+    found = exact_duplicates(spark, path, first.schema, digest_chars=1, state=state)
+    assert sorted((row.doc_id, row.keep_id, row.group_size, row.kept) for row in found.collect()) == [
+        (1, 1, 2, True), (3, 1, 2, False), (4, 4, 1, True), (5, 5, 1, True), (6, 6, 1, True)]
+    again = exact_duplicates(spark, path, first.schema, digest_chars=1, state=state)
+    assert again.exceptAll(found).isEmpty() and found.exceptAll(again).isEmpty()
+
+
+def test_large_groups_are_dealt_out(spark, hard, monkeypatch, tmp_path):
+    monkeypatch.setattr("curate.operators.skew.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("curate.operators.skew.PART_ROWS", 2)
+    path = str(tmp_path / "docs")
+    rows = [(i, "same text" if i % 3 else f"own {i}") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(path)
+    for chars in (64, 1):
+        found = exact_duplicates(spark, path, spark.read.parquet(path).schema, chars).collect()
+        assert sorted((row.doc_id, row.keep_id, row.group_size) for row in found) == [
+            (i, 1, 40) if i % 3 else (i, i, 1) for i in range(60)]
