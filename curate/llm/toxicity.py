@@ -3,8 +3,11 @@
 Confirmed toxic documents are the positives, the texts of the whole corpus the unlabelled ones: a
 mixture that holds toxic documents at the rate of the class prior. The risk of calling unlabelled
 texts clean is corrected by that prior, and kept from going negative, so that a flexible model does
-not drive it there. Features are words and word beginnings that positives have more often than the
-corpus has; they are counted over all documents.
+not drive it there. The risk is summed over all texts; a sample only says where to begin.
+
+Features are words, beginnings of words, and beginnings that two or three different words of a text share. Each
+has a place in a space of fixed width by its hash, so counts are vectors of that width, however many words there
+are. The model uses the places that positives have surprisingly more often than the corpus.
 """
 
 import re
@@ -17,28 +20,64 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curate.llm.pair_bpe import blocks
 from curate.operators.skew import sendable
 from curate.session import written
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (5, 6)
-# A feature is a candidate if so many of the positives have it.
+# Places of features.
+WIDTH = 1 << 18
+# Words whose places a worker remembers.
+REMEMBERED = 300_000
+# A place is a candidate if so many of the positives have it.
 LEAST_COUNT = 3
 # How surprising a surplus must be (log-likelihood ratio, chi-square with one degree of freedom). The model uses
 # all candidates that are.
 SURPRISE = 15.0
-# The bounds of what is sampled, by a hash, to fit the model.
-POSITIVES, UNLABELLED = 20_000, 40_000
+# The bounds of what is sampled, by a hash, to begin with; steps that follow over all rows.
+POSITIVES, BEGUN_WITH, STEPS = 20_000, 40_000, 24
 PREDICTED = 0.7
 FOLDS, HELD_OUT = 3, 1
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
 
 
-def features(text: str) -> set[str]:
-    """The words of a text in lower case, and the beginnings of longer ones."""
-    words = set(WORD.findall(text.lower()))
-    return words | {word[:length] + "*" for length in BEGINNINGS for word in words if len(word) > length}
+def hashed(feature: str) -> int:
+    from xxhash import xxh32_intdigest
+
+    return xxh32_intdigest(feature) % WIDTH
+
+
+class Features:
+    """The places of a text's features."""
+
+    def __init__(self):
+        self.of_word: dict[str, tuple[int, tuple[str, ...]]] = {}
+        self.of_beginning: dict[str, tuple[int, int, int]] = {}
+
+    def _word(self, word: str) -> tuple[int, tuple[str, ...]]:
+        if len(self.of_word) >= REMEMBERED:
+            self.of_word.clear()
+            self.of_beginning.clear()
+        found = self.of_word[word] = (
+            hashed(word), tuple(word[:length] for length in BEGINNINGS if len(word) > length)
+        )
+        return found
+
+    def _beginning(self, start: str) -> tuple[int, int, int]:
+        found = self.of_beginning[start] = (hashed(start + "*"), hashed(start + "**"), hashed(start + "***"))
+        return found
+
+    def places(self, text: str | None) -> np.ndarray:
+        """Distinct places, ascending."""
+        words, starts, known = [], [], self.of_word.get
+        for word in set(WORD.findall((text or "").lower())):
+            place, begun = known(word) or self._word(word)
+            words.append(place)
+            starts += begun
+        known = self.of_beginning.get
+        for start, times in Counter(starts).items():
+            words += (known(start) or self._beginning(start))[:times]
+        return np.unique(np.array(words, np.int32))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -52,43 +91,47 @@ def known_labels(labels: DataFrame) -> DataFrame:
     return usable.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
 
 
-def feature_counts(docs: DataFrame) -> DataFrame:
-    """In how many texts each feature occurs. Tasks add up what they have before the shuffle."""
+def place_counts(docs: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    """In how many texts each place occurs, as `place` and `n`; under place -1 the number of texts. With `wanted`
+    only of these places. Each task adds up what it has in one vector."""
+    kept = np.ones(WIDTH, bool)
+    if wanted is not None:
+        kept = np.zeros(WIDTH, bool)
+        kept[wanted] = True
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, counts, n = Features(), np.zeros(WIDTH, np.int64), 0
         for batch in batches:
-            for _, texts in blocks(batch["text"]):
-                counts: Counter = Counter()
-                for text in texts:
-                    counts.update(features(text))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                    names=["feature", "n"],
-                )
-
-    return docs.select("text").mapInArrow(count, "feature string, n long").groupBy("feature").agg(
-        F.sum("n").alias("n")
-    )
+            for text in batch["text"]:
+                counts[features.places(text.as_py())] += 1
+            n += batch.num_rows
+        met = np.flatnonzero(counts * kept)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(met, -1), pa.int64()), pa.array(np.append(counts[met], n), pa.int64())], names=["place", "n"]
+        )
 
+    counted = docs.select("text").mapInArrow(count, "place long, n long")
+    return counted.groupBy("place").agg(F.sum("n").alias("n"))
 
-def candidate_features(docs: DataFrame, positives: DataFrame) -> tuple[list[str], np.ndarray, int]:
-    """Features that enough positives have, how many of these have each, and how many there are."""
-    wanted = sendable(positives.select("doc_id"))
-    n = docs.select("doc_id").join(wanted, "doc_id").count()
-    counts = feature_counts(docs.select("doc_id", "text").join(wanted, "doc_id"))
-    rows = sorted(counts.where(F.col("n") >= LEAST_COUNT).collect())
-    return [row["feature"] for row in rows], np.array([row["n"] for row in rows], np.int64), n
 
+def _vector(counts: DataFrame) -> tuple[np.ndarray, int]:
+    """Counts by place, and the number of texts: no more than WIDTH rows are collected."""
+    found = counts.toArrow()
+    vector, places, n = np.zeros(WIDTH + 1, np.int64), found["place"].to_numpy(), found["n"].to_numpy()
+    vector[places] = n
+    return vector[:WIDTH], int(vector[-1])
 
-def _places(text: str | None, place: dict[str, int]) -> list[int]:
-    return [place[feature] for feature in features(text or "") & place.keys()]
 
+def with_features(docs: DataFrame, used: np.ndarray) -> DataFrame:
+    """`doc_id` and, for each text, which of the places in use it has, as numbers in `used`."""
+    number = np.full(WIDTH, -1, np.int32)
+    number[used] = np.arange(len(used))
 
-def with_features(docs: DataFrame, used: list[str]) -> DataFrame:
-    """`doc_id` and the places in `used` of the features that each text has."""
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {feature: number for number, feature in enumerate(used)}
+        features = Features()
         for batch in batches:
-            found = [np.sort(np.array(_places(text.as_py(), place), np.int32)) for text in batch["text"]]
+            found = [number[features.places(text.as_py())] for text in batch["text"]]
+            found = [np.sort(places[places >= 0]) for places in found]
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate(found) if found else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -96,29 +139,7 @@ def with_features(docs: DataFrame, used: list[str]) -> DataFrame:
                 names=["doc_id", "found"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(look_up, "doc_id long, found array<int>")
-
-
-def corpus_counts(docs: DataFrame, candidates: list[str]) -> tuple[np.ndarray, int]:
-    """How many texts have each of the candidates, and how many texts there are."""
-    width = len(candidates)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {feature: number for number, feature in enumerate(candidates)}
-        # The last place has the number of texts.
-        counts = np.zeros(width + 1, np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                counts[_places(text.as_py(), place)] += 1
-            counts[width] += batch.num_rows
-        met = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(counts[met])], names=["place", "n"])
-
-    counts = np.zeros(width + 1, np.int64)
-    parts = docs.select("text").mapInArrow(count, "place long, n long")
-    for row in parts.groupBy("place").agg(F.sum("n").alias("n")).collect():
-        counts[row["place"]] = row["n"]
-    return counts[:width], int(counts[width])
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(look_up, "doc_id long, found array<int>")
 
 
 @dataclass
@@ -168,10 +189,9 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], width: int,
     is_positive = np.arange(len(rows)) < len(positive)
     per_positive = is_positive / max(1, len(positive))
     per_unlabelled = ~is_positive / max(1, len(unlabelled))
-    weights, bias = np.zeros(width), float(np.log(prior / (1 - prior)))
-    mean, square = np.zeros(width + 1), np.zeros(width + 1)
-    for step in range(1, steps + 1):
-        raw = bias + np.bincount(row, weights[columns], len(rows))
+    descent = Descent(np.zeros(width), float(np.log(prior / (1 - prior))), rate, penalty)
+    for _ in range(steps):
+        raw = descent.bias + np.bincount(row, descent.weights[columns], len(rows))
         chance = 1 / (1 + np.exp(-np.clip(raw, -50, 50)))
         called_positive = np.logaddexp(0, raw)  # the loss of a negative call
         rest = called_positive @ per_unlabelled - prior * (called_positive @ per_positive)
@@ -180,11 +200,63 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], width: int,
             slope = slope - prior * (1 - chance) * per_positive
         else:
             slope = -slope
-        change = np.concatenate([np.bincount(columns, slope[row], width) + penalty * weights, [slope.sum()]])
-        mean, square = 0.9 * mean + 0.1 * change, 0.999 * square + 0.001 * change**2
-        move = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-        weights, bias = weights - move[:-1], bias - move[-1]
-    return weights, bias
+        descent.step(np.bincount(columns, slope[row], width), slope.sum())
+    return descent.weights, descent.bias
+
+
+class Descent:
+    """Weights and bias on their way down the risk."""
+
+    def __init__(self, weights: np.ndarray, bias: float, rate: float, penalty: float):
+        self.weights, self.bias, self.rate, self.penalty = weights, bias, rate, penalty
+        self.mean, self.square, self.steps = np.zeros(len(weights) + 1), np.zeros(len(weights) + 1), 0
+
+    def step(self, slope: np.ndarray, slope_of_bias: float) -> None:
+        self.steps += 1
+        change = np.append(slope + self.penalty * self.weights, slope_of_bias)
+        self.mean = 0.9 * self.mean + 0.1 * change
+        self.square = 0.999 * self.square + 0.001 * change**2
+        move = self.rate * (self.mean / (1 - 0.9**self.steps)) / (np.sqrt(self.square / (1 - 0.999**self.steps)) + 1e-8)
+        self.weights, self.bias = self.weights - move[:-1], self.bias - move[-1]
+
+
+def risk_slopes(found: DataFrame, weights: np.ndarray, bias: float, prior: float) -> tuple[np.ndarray, float, float]:
+    """The slopes of the risk over all rows of `found` (`found`, `toxic`), by weight and for the bias, and the rest that
+    must not be negative. Every row is unlabelled text; those with `toxic` 1 are positives, too. Each task
+    adds up its rows, and sums by weight are what is collected."""
+    width = len(weights)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # By weight, then for the bias, the loss of a negative call, and the number of rows.
+        sums = np.zeros((3, width + 3))
+        for batch in batches:
+            n, lists = batch.num_rows, batch["found"]
+            offsets = np.asarray(lists.offsets)
+            columns = np.asarray(lists.values)[offsets[0]:offsets[-1]]
+            row = np.repeat(np.arange(n), np.diff(offsets))
+            raw = bias + np.bincount(row, weights[columns] if width else None, n) if len(columns) else np.full(n, bias)
+            chance, loss = 1 / (1 + np.exp(-np.clip(raw, -50, 50))), np.logaddexp(0, raw)
+            positive = np.asarray(batch["toxic"].fill_null(0)) == 1
+            for kind, (slope, rows) in enumerate((
+                (chance, np.ones(n)), (chance * positive, positive), ((1 - chance) * positive, positive),
+            )):
+                sums[kind, :width] += np.bincount(columns, slope[row], width)[:width] if len(columns) else 0
+                sums[kind, width:] += slope.sum(), loss @ rows, rows.sum()
+        place = np.flatnonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(place, pa.int64()), *(pa.array(kind[place]) for kind in sums)], names=["place", "every", "called", "missed"]
+        )
+
+    parts = found.select("found", "toxic").mapInArrow(add_up, "place long, every double, called double, missed double")
+    kinds = ("every", "called", "missed")
+    table = parts.groupBy("place").agg(*[F.sum(kind).alias(kind) for kind in kinds]).toArrow()
+    sums = np.zeros((3, width + 3))
+    sums[:, table["place"].to_numpy()] = [table[kind].to_numpy() for kind in kinds]
+    every, called, missed = sums / np.maximum(sums[:, -1:], 1)
+    rest = every[width + 1] - prior * called[width + 1]
+    slope = every - prior * called
+    slope = slope - prior * missed if rest >= 0 else -slope
+    return slope[:width], float(slope[width]), float(rest)
 
 
 def _sampled(rows: DataFrame, n: int, most: int) -> DataFrame:
@@ -194,10 +266,10 @@ def _sampled(rows: DataFrame, n: int, most: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64("doc_id", "found", F.lit("sample")), F.lit(parts)) < share)
 
 
-def fit(found: DataFrame, width: int) -> Model | None:
+def fit(found: DataFrame, width: int, steps: int = STEPS, rate: float = 0.05, penalty: float = 1e-4) -> Model | None:
     """A model from rows of `doc_id`, `found` (places of the features in use) and `toxic` (NULL where there is no label
-    to learn from); None without a positive. Of single documents only the bounded samples leave the
-    executors."""
+    to learn from); None without a positive. It begins with what bounded samples say; then every step goes down the
+    risk over all rows. Of single documents only the samples leave the executors."""
     totals = found.agg(
         F.count("*").alias("n"), F.count("toxic").alias("known"), F.sum("toxic").alias("toxic")
     ).first()
@@ -206,13 +278,16 @@ def fit(found: DataFrame, width: int) -> Model | None:
         return None
     prior = min(max(toxic / known, 1e-4), 0.9)
     samples = []
-    for rows, size, most in ((found.where("toxic = 1"), toxic, POSITIVES), (found, n, UNLABELLED)):
+    for rows, size, most in ((found.where("toxic = 1"), toxic, POSITIVES), (found, n, BEGUN_WITH)):
         taken = sorted((row["doc_id"] is not None, row["doc_id"] or 0, row["found"]) for row in _sampled(
             rows.select("doc_id", "found"), size, most
         ).collect())
         samples.append([np.array(places, np.int64) for _, _, places in taken])
-    weights, bias = train(*samples, width, prior)
-    return Model(weights if width else np.zeros(1), bias)
+    descent = Descent(*train(*samples, width, prior), rate, penalty)
+    for _ in range(steps):
+        slope, slope_of_bias, _ = risk_slopes(found, descent.weights, descent.bias, prior)
+        descent.step(slope, slope_of_bias)
+    return Model(descent.weights if width else np.zeros(1), descent.bias)
 
 
 def scored(found: DataFrame, model: Model) -> DataFrame:
@@ -256,13 +331,16 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     `labels` has `doc_id` and `toxic` (1, 0 or NULL); only those of rows that are not held out are learnt
     from, and no column of `docs` but `text` is an input of a score. NULL texts are empty and get the score
     of a text without features; repeated rows are scored alike; without a confirmed toxic document every
-    score is 0. Texts are read once for the candidates of the positives, and twice for all, to count the candidates
-    and to look up those in use; labels meet the features in use, not the texts.
+    score is 0. Texts of any length count whole. Those of the positives are read once, and all twice, to count the
+    candidates and to look up the features in use; labels meet the features in use, not the texts.
     """
     known = written(known_labels(labels), "known-labels")
-    candidates, of_positives, n_positive = candidate_features(docs, known.where("toxic = 1"))
-    n, n_docs = corpus_counts(docs, candidates)
-    used = [candidates[place] for place in telling(n, of_positives, n_docs, n_positive)]
+    # No more than WIDTH numbers come to the driver, and go to the tasks.
+    positives = sendable(known.where("toxic = 1").select("doc_id"))
+    of_positives, n_positive = _vector(place_counts(docs.select("doc_id", "text").join(positives, "doc_id")))
+    candidates = np.flatnonzero(of_positives >= LEAST_COUNT)
+    n, n_docs = _vector(place_counts(docs, candidates))
+    used = candidates[telling(n[candidates], of_positives[candidates], n_docs, n_positive)]
     found = written(
         with_features(docs, used).join(known, "doc_id", "left").select("doc_id", "found", "toxic"), "used-features"
     )

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curate.llm.toxicity import score_documents, telling, train
+from curate.llm.toxicity import Features, hashed, risk_slopes, score_documents, telling, train
 from tests.llm.conftest import HARD
 
 SF = "/root/testdata/sf0.01"
@@ -90,3 +90,54 @@ def test_toxic_documents_of_a_rare_kind(spark):
     assert [found[doc_id]["held_out"] for doc_id in kept] == [True, True]
     assert [found[doc_id]["predicted"] for doc_id in kept] == [1, 1]
     assert [found[doc_id]["predicted"] for doc_id in (0, 20_000)] == [1, 0]
+
+
+def test_features_of_a_text():
+    text = "Redword redwing redwoods blue blueish x9 RED"
+    want = {"redword", "redwing", "redwoods", "blue", "blueish", "x", "red", "redwo*", "redwo**", "redwi*", "redwor*", "redwin*",
+            "redwoo*", "bluei*", "blueis*"}
+    features = Features()
+    for _ in range(2):
+        assert features.places(text).tolist() == sorted({hashed(feature) for feature in want})
+    assert features.places(None).tolist() == []
+    three = features.places("abcdefg abcdeg abcdeh")
+    assert {hashed("abcde*"), hashed("abcde**"), hashed("abcde***")} <= set(three.tolist())
+
+
+@pytest.mark.parametrize("prior, bias", [(0.2, 0.3), (0.9, -2.0)])
+def test_slopes_are_those_of_the_risk_over_all_rows(spark, prior, bias):
+    """Against differences of the risk itself, written down row by row; the second case has a negative rest."""
+    rng = np.random.default_rng(4)
+    rows = [(number, sorted(set(rng.integers(0, 6, 3).tolist())) if number % 5 else [], None) for number in range(90)]
+    rows = [(number, places, 1 if 0 in places else [0, None][number % 2]) for number, places, _ in rows]
+    weights = rng.normal(size=6)
+    weights[0] = 6.0 if prior == 0.9 else weights[0]
+
+    def risk(weights, bias):
+        raw = np.array([bias + sum(weights[place] for place in places) for _, places, _ in rows])
+        positive = np.array([toxic == 1 for _, _, toxic in rows])
+        rest = np.logaddexp(0, raw).mean() - prior * np.logaddexp(0, raw[positive]).mean()
+        return (rest + prior * np.logaddexp(0, -raw[positive]).mean() if rest >= 0 else -rest), rest
+
+    found = spark.createDataFrame(rows, "doc_id long, found array<int>, toxic int").repartition(4)
+    slope, slope_of_bias, rest = risk_slopes(found, weights, bias, prior)
+    assert rest == pytest.approx(risk(weights, bias)[1]) and (rest < 0) == (prior == 0.9)
+    step = 1e-6
+    want = [(risk(weights + step * one, bias)[0] - risk(weights - step * one, bias)[0]) / (2 * step) for one in np.eye(6)]
+    assert slope == pytest.approx(want, abs=1e-6)
+    assert slope_of_bias == pytest.approx((risk(weights, bias + step)[0] - risk(weights, bias - step)[0]) / (2 * step), abs=1e-6)
+
+
+def test_recall_in_every_language(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    found = scores(docs.repartition(8), labels)
+    langs = {row["doc_id"]: row["lang"] for row in docs.select("doc_id", "lang").collect()}
+    held = [(langs[row["doc_id"]], row["toxic"], found[row["doc_id"]]["predicted"]) for row in labels.collect()
+            if found[row["doc_id"]]["held_out"]]
+    hits = {lang: sum(toxic and predicted for of, toxic, predicted in held if of == lang) for lang in set(langs.values())}
+    toxic = {lang: sum(toxic for of, toxic, _ in held if of == lang) for lang in hits}
+    print(hits, toxic, sum(predicted for _, _, predicted in held))
+    assert sum(hits.values()) >= 0.9 * sum(toxic.values())
+    assert all(hits[lang] >= 0.8 * toxic[lang] for lang in hits)
+    assert sum(hits.values()) >= 0.95 * sum(predicted for _, _, predicted in held)
