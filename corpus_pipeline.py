@@ -2,6 +2,9 @@
 
 A stage takes the documents that the one before has kept, written as Parquet and read again, and returns
 what it keeps of them, with the same columns; the last returns the packed pieces.
+
+All stages bear NULLs in any column, empty and very long texts, ties, repeated rows, columns of any other names and
+tables without rows, which give none. What each does with them is said below and by the operator it calls.
 """
 
 from collections.abc import Callable
@@ -15,26 +18,29 @@ from curate.llm.quality import kept_documents
 from curate.llm.queries import VOCABULARY
 from curate.llm.simhash import one_of_each
 from curate.llm.stream_dedup import kept_rows
-from curate.session import written
+from curate.session import new_path, remove, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; their thresholds come from the labels."""
+    """Documents that the quality rules keep; their thresholds come from the labels. NULL and empty texts have fewer
+    words than the least, and go; repeated rows are judged alike; each row counts, also without `doc_id`."""
     return kept_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each text."""
+    """The first document of each text: that of the smallest `doc_id`, NULL last; of rows that share it, one."""
     return kept_rows(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of alike fingerprints."""
+    """The first document of each group of alike fingerprints, by `doc_id`, NULL last. Texts without a word, NULL or
+    not, are alike."""
     return one_of_each(docs, distance=2, shingle=3, seed=42)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with the kind in place of each personal datum, and its length brought up to date."""
+    """Every document, with the kind in place of each personal datum, and its length, if there is a column for it,
+    brought up to date. A NULL text stays NULL; rows are cleaned one by one, whatever their ids."""
     cleaned = without_personal_data(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -43,7 +49,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 1024 tokens."""
+    """The pieces of all documents in sequences of 1024 tokens. A NULL text is empty, and every document, repeated or
+    not, has at least the piece with its end."""
     return pack_documents(docs, VOCABULARY, capacity=1024, end_id=2)
 
 
@@ -59,10 +66,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of `sf_dir`."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for place, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if place < len(STAGES) - 1:
-            docs = written(docs, f"stage-{name}")
+    """All stages over the documents of `sf_dir`. What a stage has put aside goes with it, and its documents once the
+    next one has written its own; the table of the last stage stays, as the result is read from it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for name, stage in STAGES:
+        path = new_path(spark, f"stage-{name}")
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        remove(spark, *before)
+        before = [path]
     return docs
