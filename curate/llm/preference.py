@@ -61,9 +61,11 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     `chosen` and `rejected`, which are arrays of turns (`role`, `text`).
 
     If one side ends where the other goes on, its completion is empty; if both are alike, both are, and all
-    turns are the prompt: `differs` says whether there is anything to prefer.
+    turns are the prompt: `differs` says whether there is anything to prefer. A column of `pairs` that has the name of
+    one of the result gives way to it.
     """
-    others = [F.col(f"`{name}`") for name in pairs.columns if name not in ("chosen", "rejected")]
+    made = ("prompt_turns", "prompt", "chosen", "chosen_trained", "rejected", "rejected_trained", "differs")
+    others = [F.col(f"`{name}`") for name in pairs.columns if name not in made]
     counted = pairs.withColumn("prompt_turns", _shared(F.col("chosen"), F.col("rejected")))
     rest = {side: F.slice(side, F.col("prompt_turns") + 1, F.size(side)) for side in ("chosen", "rejected")}
     # A slice of no length is not allowed to start behind an empty array.
@@ -78,29 +80,38 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _alone(rows: DataFrame, key: str) -> DataFrame:
+    """`rows` with a number `_alone` for those without a key, which belong to no conversation: each is one of its own,
+    so that however many there are, no task holds them all."""
+    return rows.withColumn("_alone", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+
+
 def preference_pairs(chosen: DataFrame, rejected: DataFrame, key: str = "pair_id") -> DataFrame:
     """Pairs from two tables of turns (`key`, `turn`, `role`, `text`), one row per key of either, as `format_pairs` has it.
 
-    Both tables meet in one shuffle. A key that one of them lacks has no turns on that side; turns of a NULL key
-    make one pair; repeated rows are repeated turns; other columns are not looked at.
+    Both tables meet in one shuffle. A key that one of them lacks has no turns on that side; each turn of a NULL key
+    makes a pair of its own; repeated rows are repeated turns; NULL roles and texts are empty, and turns of equal number
+    go by role and text; without rows there are no pairs; other columns are not looked at.
     """
     sides = [rows.select(key, F.lit(side).alias("side"), _turn().alias("said"))
              for side, rows in (("chosen", chosen), ("rejected", rejected))]
-    pairs = sides[0].union(sides[1]).groupBy(key).agg(*[
+    pairs = _alone(sides[0].union(sides[1]), key).groupBy(key, "_alone").agg(*[
         _said(F.collect_list(F.when(F.col("side") == side, F.col("said")))).alias(side) for side in ("chosen", "rejected")
     ])
-    return format_pairs(pairs)
+    return format_pairs(pairs.drop("_alone"))
 
 
 def against_earlier_reply(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
     """Pairs out of plain conversations: each is preferred to itself with the text of its last assistant turn taken
     from the assistant turn before, or, without one, to itself without that turn and what follows.
 
-    A conversation in which no assistant speaks has nothing to prefer, and one that repeats its reply neither.
+    A conversation in which no assistant speaks has nothing to prefer, and one that repeats its reply neither. NULLs, ties,
+    repeated rows, tables without rows and other columns are as `preference_pairs` has them: a turn of a NULL key
+    is a conversation of its own.
     """
-    whole = conversations.select(key, _turn().alias("said")).groupBy(key).agg(
+    whole = _alone(conversations.select(key, _turn().alias("said")), key).groupBy(key, "_alone").agg(
         _said(F.collect_list("said")).alias("chosen")
-    )
+    ).drop("_alone")
     turns = F.col("chosen")
     places = F.filter(F.sequence(F.lit(1), F.size(turns)), lambda place: F.element_at(turns, place)["role"] == TRAINED)
     last, before = F.try_element_at("places", F.lit(-1)), F.try_element_at("places", F.lit(-2))

@@ -2,7 +2,7 @@
 
 import pytest
 
-from curate.llm.preference import against_earlier_reply, preference_pairs
+from curate.llm.preference import TURNS, against_earlier_reply, format_pairs, preference_pairs
 from curate.llm.queries import ORACLES, QUERIES
 from tests.compare import connect, kind, rows
 from tests.llm.conftest import SF_DIR
@@ -58,8 +58,15 @@ def test_nulls_ties_repeats_and_no_rows(spark):
 
     one = spark.createDataFrame([(None, 0, U, "q"), (None, 1, A, None), (9, None, None, "z"), (9, 0, U, "b"), (9, 0, U, "a"),
                                  (9, 0, U, "a")], SCHEMA).withColumn("chosen", F.lit("clash"))
-    found = {row["pair_id"]: row for row in preference_pairs(one, one.where("text <> 'b' or text is null")).collect()}
-    assert found[None]["prompt"] == render([(U, "q"), (A, "")])[0] and not found[None]["differs"]
+    rows = preference_pairs(one, one.where("text <> 'b' or text is null")).collect()
+    found = {row["pair_id"]: row for row in rows}
+    # Each turn without a key is a pair of its own, with nothing on the other side.
+    alone = [render([turn])[0] for turn in ((U, "q"), (A, ""))]
+    assert sorted((row["chosen"], row["rejected"]) for row in rows if row["pair_id"] is None) == sorted(
+        [(text, "") for text in alone] + [("", text) for text in alone])
+    assert len(against_earlier_reply(one.withColumnRenamed("pair_id", "conv_id")).where("conv_id is null").collect()) == 2
+    clashing = format_pairs(spark.createDataFrame([(1, [(U, "a")], [], "x", 5)], f"key int, chosen {TURNS}, rejected {TURNS}, prompt string, differs int"))
+    assert clashing.columns.count("prompt") == clashing.columns.count("differs") == 1 and clashing.first()["prompt"] == ""
     assert found[9]["prompt"] == render([("", "z"), (U, "a"), (U, "a")])[0]
     assert found[9]["chosen"] == render([(U, "b")])[0] and found[9]["rejected"] == ""
     assert preference_pairs(one.limit(0), one.limit(0)).count() == 0
