@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curate.llm.tokens import ID, encoder
+from curate.operators.skew import sendable
 from curate.session import written
 
 INSTANCE = 4096
-ISLANDS, EPOCHS, POPULATION, CHILDREN = 2, 2, 4, 6
+# Epochs end when every instance has as few bins as any packing can, or IDLE epochs have closed no bin, or with MOST_EPOCHS.
+ISLANDS, MOST_EPOCHS, IDLE, POPULATION, CHILDREN = 2, 12, 2, 4, 6
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-STATE = "instance long, island int, bins int, items array<long>, lengths array<int>, packings array<array<int>>"
+STATE = "instance long, island int, bins int, least int, items array<long>, lengths array<int>, packings array<array<int>>"
 
 
 def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> DataFrame:
@@ -34,7 +36,8 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) ->
     then pieces of exactly `capacity`.
 
     A NULL text is empty and leaves the closing id alone; a NULL or repeated `doc_id` and repeated rows
-    are cut row by row; other columns are not looked at.
+    are cut row by row; texts of any length count whole; without rows there are no pieces; other columns are
+    not looked at.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
@@ -58,7 +61,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) ->
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
 
 
 class Packing:
@@ -127,8 +130,7 @@ def crossover(receiver: Packing, giver: Packing, rng: random.Random) -> Packing:
     lengths, capacity = receiver.lengths, receiver.capacity
     ranked = sorted(giver.bins, key=lambda number: (giver.free[number], number))
     good = ranked[:max(1, len(ranked) // 2)]
-    start = rng.randrange(len(good))
-    chosen = [good[(start + step) % len(good)] for step in range(max(1, len(good) // 8))]
+    chosen = rng.sample(good, max(1, len(good) // 8))
     child = Packing.of(lengths, capacity, receiver.where)
     injected = {item for number in chosen for item in giver.bins[number]}
     displaced = []
@@ -136,9 +138,12 @@ def crossover(receiver: Packing, giver: Packing, rng: random.Random) -> Packing:
         displaced.extend(item for item in child.drop(number) if item not in injected)
     for number in chosen:
         child.open(list(giver.bins[number]))
-    # The emptiest bins go with them, or their pieces would never move.
+    # The emptiest bins go with them, or their pieces would never move, and a few of any filling, or parents that are
+    # alike would have no other children.
     for number in sorted(child.bins, key=lambda number: -child.free[number])[:2]:
         displaced.extend(child.drop(number))
+    for number in rng.sample(sorted(child.bins), len(child.bins) // 10):
+        displaced.extend(child.drop(number))
     child.best_fit(displaced)
     return child
 
@@ -173,23 +178,36 @@ def evolve(population: list[Packing], lower: int, children: int, rng: random.Ran
     return population
 
 
-def _state(instance: int, island: int, items: list[int], lengths: list[int], population: list[Packing]) -> dict:
+def _state(instance: int, island: int, items: list[int], lengths: list[int], least: int, population: list[Packing]) -> dict:
     return {
-        "instance": instance, "island": island, "bins": len(population[0].bins), "items": items,
+        "instance": instance, "island": island, "bins": len(population[0].bins), "least": least, "items": items,
         "lengths": lengths, "packings": [packing.renumbered() for packing in population],
     }
 
 
 def _lower(lengths: list[int], capacity: int) -> int:
-    """No packing has fewer bins than the total asks for, or than there are pieces over half."""
-    return max(-(-sum(lengths) // capacity), sum(2 * length > capacity for length in lengths))
+    """No packing has fewer bins than this: not than the total asks for, than there are pieces over half, than pieces
+    over a third in twos; nor than pieces over half, and what does not fit beside them of the others of at least some
+    size."""
+    sizes = np.sort(np.array(lengths, np.int64))
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    over = len(sizes) - np.searchsorted(2 * sizes, capacity, "right")
+    most = max(-(-int(sums[-1]) // capacity), over, -(-int((3 * sizes > capacity).sum()) // 2))
+    half = len(sizes) - over
+    for least in np.unique(sizes[:half]).tolist():
+        # Pieces over half with room for one of `least`, and what pieces from `least` to half ask for beyond that room.
+        first, fits = np.searchsorted(sizes, least), np.searchsorted(sizes, capacity - least, "right")
+        room = (fits - half) * capacity - int(sums[fits] - sums[half])
+        most = max(most, over + max(0, -(-(int(sums[half] - sums[first]) - room) // capacity)))
+    return most
 
 
 def islands_of(pieces: DataFrame, capacity: int, islands: int, epochs: int, population: int,
                children: int) -> DataFrame:
-    """`instance`, `island`, `bins` and the packing of the best island of every instance.
+    """`instance`, `island`, `bins`, `least` (fewer are not possible) and the packing of the best island of every instance.
 
-    `pieces` has `instance`, `item` (unique) and `length`.
+    `pieces` has `instance`, `item` (unique) and `length`. Instances that have as few bins as can be are left alone;
+    the others go on, `epochs` epochs at most, until IDLE epochs have closed no bin in any of them.
     """
     def settle(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("item")
@@ -198,7 +216,7 @@ def islands_of(pieces: DataFrame, capacity: int, islands: int, epochs: int, popu
         lengths = group["length"].astype(int).tolist()
         lower = _lower(lengths, capacity)
         settled = evolve(first_packings(lengths, capacity, population, rng), lower, children, rng)
-        return pd.DataFrame([_state(instance, island, group["item"].tolist(), lengths, settled)])
+        return pd.DataFrame([_state(instance, island, group["item"].tolist(), lengths, lower, settled)])
 
     def migrate(group: pd.DataFrame) -> pd.DataFrame:
         own = group[group["elite"] == 0].iloc[0]
@@ -213,17 +231,27 @@ def islands_of(pieces: DataFrame, capacity: int, islands: int, epochs: int, popu
         # Elites that come in take the place of the worst.
         settled = settled[:max(1, population - len(arrived))]
         settled += [Packing.of(lengths, capacity, where) for where in arrived]
-        settled = evolve(settled, _lower(lengths, capacity), children, rng)
-        return pd.DataFrame([_state(instance, island, own["items"].tolist(), lengths, settled)])
+        least = int(own["least"])
+        settled = evolve(settled, least, children, rng)
+        return pd.DataFrame([_state(instance, island, own["items"].tolist(), lengths, least, settled)])
 
     state = (
         pieces.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
         .groupBy("instance", "island").applyInPandas(settle, STATE)
     )
     state = written(state, "islands")
+    ended, idle, before = [], 0, None
     for epoch in range(1, epochs):
-        own = state.withColumn("elite", F.lit(0))
-        elite = state.withColumn("elite", F.lit(1)).withColumn("packings", F.slice("packings", 1, 1)).withColumn(
+        bins = written(state.groupBy("instance").agg(F.min("bins").alias("now"), F.min("least").alias("aim")), "bins")
+        going = bins.where("now > aim")
+        left = going.agg(F.count("*").alias("n"), F.sum("now").alias("bins")).first()
+        idle = idle + 1 if (left["n"], left["bins"]) == before else 0
+        if not left["n"] or idle >= IDLE:
+            break
+        before = (left["n"], left["bins"])
+        ended.append(state.join(sendable(bins.where("now <= aim").select("instance")), "instance"))
+        own = state.join(sendable(going.select("instance")), "instance").withColumn("elite", F.lit(0))
+        elite = own.withColumn("elite", F.lit(1)).withColumn("packings", F.slice("packings", 1, 1)).withColumn(
             "island", ((F.col("island") + 1) % islands).cast("int")
         )
         both = own.unionByName(elite) if islands > 1 else own
@@ -231,7 +259,9 @@ def islands_of(pieces: DataFrame, capacity: int, islands: int, epochs: int, popu
             both.withColumn("epoch", F.lit(epoch)).groupBy("instance", "island").applyInPandas(migrate, STATE),
             "islands",
         )
-    best = F.min_by(F.struct("bins", "island", "items", "lengths", F.element_at("packings", 1).alias("packing")),
+    for settled in ended:
+        state = state.unionByName(settled)
+    best = F.min_by(F.struct("bins", "island", "least", "items", "lengths", F.element_at("packings", 1).alias("packing")),
                     F.struct("bins", "island"))
     return state.groupBy("instance").agg(best.alias("best")).select("instance", "best.*")
 
@@ -253,14 +283,15 @@ def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def pack(pieces: DataFrame, capacity: int, instance: int = INSTANCE, islands: int = ISLANDS, epochs: int = EPOCHS,
+def pack(pieces: DataFrame, capacity: int, instance: int = INSTANCE, islands: int = ISLANDS, epochs: int = MOST_EPOCHS,
          population: int = POPULATION, children: int = CHILDREN) -> DataFrame:
     """`pieces`, which has a `length` from 1 to `capacity`, with `sequence_id` and `offset` for each row.
 
     Repeated rows are placed one by one; with no rows there are no sequences. The pieces are staged once
-    under numbers of their own, so that a task that runs again sees the same.
+    under numbers of their own, so that a task that runs again sees the same. Columns of any name stay, but for a
+    `sequence_id` or `offset`, which give way to those of the result.
     """
-    columns = pieces.columns
+    columns = [name for name in pieces.columns if name not in ("sequence_id", "offset")]
     numbered = written(
         pieces.select(F.struct(*[F.col(f"`{name}`") for name in columns]).alias("given"),
                       F.col("length").cast("long").alias("length"), F.monotonically_increasing_id().alias("item")),

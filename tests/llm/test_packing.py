@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from curate.llm.packing import Packing, crossover, cut_pieces, first_packings, pack, pack_documents
+from curate.llm.packing import _lower, Packing, crossover, cut_pieces, first_packings, islands_of, pack, pack_documents
 from tests.llm.conftest import HARD
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,3 +88,52 @@ def test_crossover_finds_what_best_fit_misses():
     population = first_packings(lengths, 60, 4, rng)
     best = evolve(population, 3, 300, rng)[0]
     assert len(best.bins) == 3
+
+
+def optimum(lengths, capacity):
+    """The fewest bins, by trying each piece in every bin there is and in one of its own."""
+    best = len(lengths)
+
+    def place(number, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if number == len(lengths):
+            best = len(rooms)
+            return
+        for at in sorted(set(rooms)):
+            if at >= lengths[number]:
+                left = list(rooms)
+                left[left.index(at)] -= lengths[number]
+                place(number + 1, left)
+        place(number + 1, [*rooms, capacity - lengths[number]])
+
+    place(0, [])
+    return best
+
+
+def test_no_packing_is_below_the_bound_and_islands_reach_the_optimum(spark):
+    rng = random.Random(11)
+    tables = [sorted((rng.randrange(15, 60) for _ in range(9)), reverse=True) for _ in range(40)]
+    best = [optimum(lengths, 100) for lengths in tables]
+    assert all(_lower(lengths, 100) <= fewest for lengths, fewest in zip(tables, best))
+    # At least in most of them the bound is the optimum, so that islands know when to stop.
+    assert sum(_lower(lengths, 100) == fewest for lengths, fewest in zip(tables, best)) >= 30
+    rows = [(instance, 100 * instance + item, length) for instance, lengths in enumerate(tables) for item, length in enumerate(lengths)]
+    pieces = spark.createDataFrame(rows, "instance long, item long, length long")
+    found = {row["instance"]: row for row in islands_of(pieces, 100, 2, 12, 4, 6).collect()}
+    assert all(found[instance]["bins"] >= fewest for instance, fewest in enumerate(best))
+    assert sum(found[instance]["bins"] == fewest for instance, fewest in enumerate(best)) >= 39
+    assert all(found[instance]["least"] == _lower(lengths, 100) for instance, lengths in enumerate(tables))
+
+
+def test_clustered_lengths(spark):
+    """Lengths that decreasing best fit packs badly: more epochs are never worse, and close to the bound."""
+    rng = random.Random(3)
+    lengths = [rng.randrange(180, 420) for _ in range(1200)]
+    rows = spark.createDataFrame([(length, 7) for length in lengths], "length long, offset long")
+    packed = pack(rows, 1024, instance=400).collect()
+    assert packed[0].asDict().keys() == {"length", "sequence_id", "offset"}
+    one = pack(rows, 1024, instance=400, epochs=1).collect()
+    assert check(packed, 1024) <= check(one, 1024)
+    assert check(packed, 1024) <= 1.03 * _lower(lengths, 1024) + 3
