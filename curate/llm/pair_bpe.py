@@ -17,6 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from curate.llm.tokens import ID, PLAIN, RECENT_RUNS, Encoder, byte_letters
 
@@ -274,7 +275,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
                     names=["doc_id", "ids"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -316,4 +317,4 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(digest, RESULT)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(digest, RESULT)

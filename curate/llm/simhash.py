@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
                 [batch["doc_id"], batch["row"], pa.array(values, pa.int64())], names=["doc_id", "row", "fp"]
             )
 
-    return docs.select("doc_id", "row", "text").mapInArrow(prints, "doc_id long, row long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "row", "text").mapInArrow(prints, "doc_id long, row long, fp long")
 
 
 class Ring:

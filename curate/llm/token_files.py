@@ -206,7 +206,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
 
     tie = F.xxhash64("text")
     ordered = (
-        docs.select("doc_id", "text")
+        docs.select(F.col("doc_id").cast("long"), "text")
         .repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
     )
     return written(ordered.mapInArrow(write, MANIFEST), "id-manifest")
