@@ -56,13 +56,21 @@ def latest_date(t):
     return D.latest_digest(t("articles"))
 
 
-@query(f"""
+PAGES = f"""
     SELECT {COLUMNS}, CAST(dense_rank() OVER (ORDER BY fetch_date DESC) AS INT) AS page FROM {{articles}} WHERE {PUBLISHED}
-""")
-def date_page(t):
+"""
+
+
+@query(PAGES)
+def date_pages(t):
     return D.date_pages(t("articles"))
 
 
+@query(f"SELECT * FROM ({PAGES}) p WHERE page = 2")
+def date_page(t):
+    return D.date_page(t("articles"), 2)
+
+
 NESTED = f"""
     SELECT fetch_date, category, CAST(n - 1 AS INT) AS place, n AS position, id, title, score
     FROM (SELECT *, row_number() OVER (PARTITION BY fetch_date, category ORDER BY score DESC NULLS LAST, id) AS n

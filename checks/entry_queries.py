@@ -113,7 +113,7 @@ def entries_with_feed(t):
 @query("SELECT id, title, link, lang FROM {raw_entries}")
 def union_feeds(t):
     entries = t("raw_entries").select("id", "title", "link", "lang")
-    english = F.col("lang") == "en"
+    english = F.col("lang").eqNullSafe("en")
     return E.union_feeds(entries.where(english), entries.where(~english))
 
 

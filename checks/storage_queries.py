@@ -169,12 +169,20 @@ PAGE_TEXT = S.lines(S.element(S.clean("p.html"), "article"))
 FIRST = "SELECT *, row_number() OVER (PARTITION BY link ORDER BY {0} utc_date, category, title) AS rn"
 
 
+SPOKEN = """
+    SELECT video_id, string_agg(text, ' ' ORDER BY seq, text) AS text FROM {transcript} GROUP BY video_id
+"""
+
+
 @query(f"""
-    SELECT link AS url, title, utc_date AS publication_date, category, {S.host('link')} AS source,
-      {PAGE_TEXT} AS content, 'fetched' AS status FROM (
-      {FIRST.format("")} FROM (
-        SELECT d.*, f.category FROM {{run_entries}} d JOIN {{feeds}} f ON f.feed_url = d.feed_url WHERE utc_date IS NOT NULL) e
-    ) n JOIN {{pages}} p ON p.url = n.link WHERE rn = 1 AND {PAGE_TEXT} <> ''
+    SELECT * FROM (
+      SELECT link AS url, title, utc_date AS publication_date, category, {S.host('link')} AS source,
+        coalesce(v.text, {PAGE_TEXT}) AS content, 'fetched' AS status FROM (
+        {FIRST.format("")} FROM (
+          SELECT d.*, f.category FROM {{run_entries}} d JOIN {{feeds}} f ON f.feed_url = d.feed_url WHERE utc_date IS NOT NULL) e
+      ) n LEFT JOIN {{pages}} p ON p.url = n.link
+      LEFT JOIN ({SPOKEN}) v ON n.link = 'https://www.youtube.com/watch?v=' || v.video_id WHERE rn = 1
+    ) a WHERE content <> ''
 """)
 def incremental_ingest(t):
     """Two landings: the feeds in English, then all feeds, so that the second repeats the first. What the stream has
@@ -188,8 +196,8 @@ def incremental_ingest(t):
         ingest_new_documents(spark, landing, pending, checkpoint).awaitTermination()
     inputs = Inputs(
         entries=pending_entries(spark, pending), feeds=t("feeds"), pages=t("pages"),
-        transcripts=t("transcript").select(F.lit("none").alias("video_id"), "text").limit(0), criteria=t("criteria"),
-        min_scores=t("min_scores"), url_status=t("url_status"),
+        transcripts=D.transcript_text(t("transcript")).withColumn("video_id", F.col("video_id").cast("string")),
+        criteria=t("criteria"), min_scores=t("min_scores"), url_status=t("url_status"),
     )
     fetch(store, inputs, Settings(dates=DAYS))
     return store.read().select("url", "title", "publication_date", "category", "source", "content", "status")
@@ -205,7 +213,7 @@ def run_sql():
         FROM (SELECT r.*, f.category, row_number() OVER (PARTITION BY link ORDER BY id) AS rn
               FROM {{run_entries}} r JOIN {{feeds}} f ON f.feed_url = r.feed_url WHERE utc_date IS NOT NULL) e
         LEFT JOIN {{pages_img}} p ON p.url = e.link
-        LEFT JOIN (SELECT video_id, string_agg(text, ' ' ORDER BY seq, text) AS text FROM {{transcript}} GROUP BY video_id) v
+        LEFT JOIN ({SPOKEN}) v
           ON e.link = 'https://www.youtube.com/watch?v=' || v.video_id
         WHERE rn = 1
     """
