@@ -74,6 +74,17 @@ def parse_rating(t):
     return G.parse_rating(t("raw_entries").select("id", "raw_rating")).select("id", "score", "rating_reason", "outcome")
 
 
+WIDE = "translate({0}, '0123456789', '０１２３４５６７８９')"
+
+
+@query(f"SELECT id, score, {WIDE.format('rating_reason')} AS rating_reason, outcome FROM ({PARSED}) p")
+def wide_digits(t):
+    """Replies with full-width digits, as Chinese keyboards have them; the `/10` is fixed."""
+    wide = F.replace(F.translate("raw_rating", "0123456789", "０１２３４５６７８９"), F.lit("/１０"), F.lit("/10"))
+    replies = t("raw_entries").select("id", wide.alias("raw_rating"))
+    return G.parse_rating(replies).select("id", "score", "rating_reason", "outcome")
+
+
 @query(f"SELECT outcome, count(*) AS count FROM ({PARSED}) p GROUP BY outcome")
 def outcome_counts(t):
     return stats.outcome_counts(G.parse_rating(t("raw_entries").select("id", "raw_rating")))

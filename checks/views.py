@@ -132,6 +132,18 @@ VIEWS = {
             ELSE replace(replace(html, '<article', '<section'), '</article', '</section') END AS html
         FROM {pages}
     """,
+    # Pages whose container has others of its name in it, one of which is never closed.
+    "pages_nested": """
+        SELECT page_id, url, replace(replace(html, '<article>', '<div class="top content"><div>a<div class="content">b</div></div><div>'),
+            '</article>', CASE WHEN page_id % 2 = 0 THEN '</div><DIV>tail</DIV></div><div>no</div>' ELSE '</div>tail<p></div><div>no</div>' END) AS html
+        FROM {pages}
+    """,
+    # Pages without a container, in which a value looks like the attribute of one.
+    "pages_quoted": """
+        SELECT page_id, url, replace(replace(html, '<article>', '<section title="a class=content b"><section data-x="see id=content role=main ">'),
+            '</article>', '</section></section>') AS html
+        FROM {pages}
+    """,
     # Pages with pictures: a named one on every third page, the same for half of these; then
     # a logo, a small one and inline data before the one that counts.
     "pages_img": """
