@@ -157,3 +157,29 @@ def test_tens_of_thousands_of_matches_in_a_text(spark):
                 parts += [text[at:start], f"<{KINDS[kind]}>"]
             at = max(at, -end)
         assert cleaned[row["doc_id"]] == "".join(parts) + text[at:]
+
+
+def test_recall_of_what_the_method_adds(spark, documents):
+    """Personal data in forms that the base rules do not have, planted in whole documents."""
+    rng = random.Random(9)
+    names, hosts = ["ann.lee", "joe", "m_smith", "kim42"], ["example", "mail-hub", "corp"]
+    rows = [tuple(row) for row in documents.select("doc_id", "text").orderBy("doc_id").collect()]
+    planted, texts = [], []
+    for number, (doc_id, text) in enumerate(rows):
+        kind = ("email", "ip", "phone")[number % 3]
+        value = {
+            "email": f"{rng.choice(names)} (at) {rng.choice(hosts)} (dot) {rng.choice(['com', 'org', 'de'])}",
+            "ip": ":".join(f"{rng.randrange(1, 65536):x}" for _ in range(8)),
+            "phone": f"({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}",
+        }[kind]
+        lead = {"email": "Contact: ", "ip": "the server address is ", "phone": "Call "}[kind] if number % 2 else "and "
+        at = (text or "").rfind(" ") + 1
+        whole = f"{(text or '')[:at]}{lead}{value} {(text or '')[at:]}"
+        texts.append((doc_id, whole))
+        planted.append((doc_id, f"{kind}:{at + len(lead)}:{at + len(lead) + len(value)}"))
+    found = find_personal_data(spark.createDataFrame(texts, "doc_id long, text string").repartition(4)).collect()
+    spans = {row["doc_id"]: set(row["spans"].split(",")) for row in found}
+    caught = Counter(span.split(":")[0] for doc_id, span in planted if span in spans[doc_id])
+    given = Counter(span.split(":")[0] for _, span in planted)
+    print(caught, given)
+    assert all(caught[kind] >= 0.9 * given[kind] for kind in given)
