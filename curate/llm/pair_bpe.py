@@ -261,7 +261,8 @@ def blocks(values: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, li
 
 def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     """`doc_id` and the token `ids` of every text. A NULL text is empty; a NULL or repeated `doc_id` and
-    repeated rows give a row each; other columns are not looked at."""
+    repeated rows give a row each; texts of any length are encoded whole; no rows give none; other columns, whatever
+    their names, are not looked at."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pair_encoder(vocabulary)
         for batch in batches:

@@ -352,7 +352,8 @@ def find_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
     """`doc_id`, the number of base spans of each kind, the SHA-256 of their list, and all `spans`, per row.
 
     NULL texts are empty and have no spans. NULL or repeated `doc_id`s and repeated rows have their own row each;
-    other columns are not looked at; an empty table has no rows. Texts are read once: the candidates,
+    other columns are not looked at; texts of any length and with any number of matches count whole; an empty table has
+    no rows. Texts are read once: the candidates,
     without texts, are staged in the shared folder, in numbers of their own.
     """
     narrow = written(with_candidates(docs, ["doc_id"]).select("given", "spans"), "spans")
@@ -385,7 +386,8 @@ def _cut_out(parts: Column, start: Column, end: Column) -> Column:
 
 def without_personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
     """The rows of `docs`, all columns, with `<kind>` in `text` for every span found. Where spans of several
-    kinds overlap, the earliest names them, and they go together. A NULL text stays NULL."""
+    kinds overlap, the earliest names them, and they go together. A NULL text stays NULL; repeated rows are cleaned
+    one by one; no rows give none."""
     narrow = written(with_candidates(docs, ["doc_id"]).select("spans"), "spans")
     found = with_spans(with_candidates(docs, docs.columns), fit(narrow))
     names = F.array(*[F.lit(f"<{name}>") for name in KINDS])

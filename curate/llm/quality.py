@@ -264,7 +264,7 @@ def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     NULL texts are empty and fail the base rules, as do all short texts; a NULL `doc_id` has no label;
     repeated rows are judged one by one and alike; columns other than `doc_id` and `text` are not
-    looked at. An empty table has no rows, and without labels only the base rules reject. The statistics
+    looked at; texts of any length count whole. An empty table has no rows, and without labels only the base rules reject. The statistics
     are staged; texts are read once.
     """
     scored, rules = _learn(written(with_statistics(docs, ["doc_id"]), "statistics"), labels)
@@ -273,7 +273,8 @@ def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, that `judge_documents` keeps. Texts are read a second time instead
-    of being staged or shuffled, and each batch is cut down where it is judged."""
+    of being staged or shuffled, and each batch is cut down where it is judged. NULLs, repeated rows, long texts and empty
+    tables are as `judge_documents` has them; columns of any name stay as they are."""
     _, rules = _learn(written(with_statistics(docs, ["doc_id"]), "statistics"), labels)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -173,7 +173,7 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
 
     A NULL text is empty; texts without a word have fingerprint zero and are linked like any other. A
     component is named by its smallest `doc_id`; a NULL `doc_id` names none, and where all are NULL the
-    name is NULL. Repeated rows each have their row. An empty table has no rows. Other columns are not
+    name is NULL. Repeated rows each have their row. Texts of any length count whole. An empty table has no rows. Other columns are not
     looked at.
     """
     rows = docs.select("doc_id", "text", F.lit(0).cast("long").alias("row"))
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, shingle: int = SH
 def one_of_each(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, seed: int = SEED,
                 bucket: int = BUCKET) -> DataFrame:
     """The rows of `docs`, all columns, that are the first of their component: the one with the smallest `doc_id`,
-    NULL last, and exactly one of repeated rows. The rows are staged under numbers of their own, and those
+    NULL last, and exactly one of repeated rows. No rows give none; columns of any name stay. The rows are staged under numbers of their own, and those
     that go are sent to the others if they are few."""
     given = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("given")
     staged = written(docs.select(given, F.monotonically_increasing_id().alias("row")), "numbered")

@@ -216,7 +216,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
     """`doc_id`, `n_bytes`, `n_tokens` and whether these are more than `limit`, for every row.
 
     A NULL text is empty and has none; NULL or repeated `doc_id`s and repeated rows are counted row by row;
-    an empty table has no rows; other columns are not looked at. The blocks are staged in the shared
+    texts of any length count whole; an empty table has no rows; other columns are not looked at. The blocks are staged in the shared
     folder, so that their numbers stay the same when a task runs again.
     """
     spark = docs.sparkSession

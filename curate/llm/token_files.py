@@ -176,8 +176,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
 
     Returns the manifest: a row per file with its part, name and numbers of documents and ids.
     Parts follow each other in the order of ids. A NULL `doc_id` comes first; a NULL text is
-    empty; rows that share a `doc_id` are ordered by a hash of their texts. Other columns are not
-    looked at. A task that runs again writes a file of another name, and the manifest, committed
+    empty; rows that share a `doc_id` are ordered by a hash of their texts. Texts of any length are written whole; without
+    rows there is no file, and no row of the manifest. Other columns are not looked at. A task that runs again writes a file of another name, and the manifest, committed
     by Spark, names the files that count. `path` must be on a store that pyarrow can open (file,
     hdfs, s3, gs, abfs) and that all executors share.
     """
@@ -251,7 +251,8 @@ def _columns(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def token_files(docs: DataFrame, vocabulary: str, end_id: int = 2, path: str | None = None,
                 planes: int = BYTES) -> DataFrame:
-    """Write the files, by default to a new place in the shared folder, and read them back."""
+    """Write the files, by default to a new place in the shared folder, and read them back; NULLs, ties, long texts and
+    empty tables are as `write_token_files` has them."""
     spark = docs.sparkSession
     path = path or new_path(spark, "id-files")
     return read_token_files(spark, path, write_token_files(docs, path, vocabulary, end_id, planes))
