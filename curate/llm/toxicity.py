@@ -10,7 +10,6 @@ has a place in a space of fixed width by its hash, so counts are vectors of that
 are. The model uses the places that positives have surprisingly more often than the corpus.
 """
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,64 +19,92 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curate.llm.divergence import DIGIT, FIRST, LETTERS, word_pointers
 from curate.operators.skew import sendable
 from curate.session import written
 
-WORD = re.compile(r"[^\W\d_]+")
-BEGINNINGS = (5, 6)
-# Places of features.
-WIDTH = 1 << 18
-# Words whose places a worker remembers.
-REMEMBERED = 300_000
+# Lengths of beginnings, in bytes.
+BEGINNINGS = (5, 6, 7)
+# Places of features, and a hash within a text.
+PLACE_BITS, HASH_BITS = 18, 40
+WIDTH = 1 << PLACE_BITS
+# Text that is hashed at once.
+BLOCK_BYTES, BLOCK_DOCS = 1 << 21, 1 << 14
 # A place is a candidate if so many of the positives have it.
 LEAST_COUNT = 3
 # How surprising a surplus must be (log-likelihood ratio, chi-square with one degree of freedom). The model uses
 # all candidates that are.
 SURPRISE = 15.0
 # The bounds of what is sampled, by a hash, to begin with; steps that follow over all rows.
-POSITIVES, BEGUN_WITH, STEPS = 20_000, 40_000, 24
+POSITIVES, BEGUN_WITH, STEPS = 4_000, 8_000, 24
 PREDICTED = 0.7
 FOLDS, HELD_OUT = 3, 1
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
 
 
-def hashed(feature: str) -> int:
-    from xxhash import xxh32_intdigest
+def mixed(numbers: np.ndarray) -> np.ndarray:
+    """A hash of 64-bit numbers."""
+    numbers = (numbers ^ (numbers >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    numbers = (numbers ^ (numbers >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return numbers ^ (numbers >> np.uint64(32))
 
-    return xxh32_intdigest(feature) % WIDTH
 
+def _within(doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A text's number before a hash."""
+    return doc.astype(np.uint64) << np.uint64(HASH_BITS) | hashes >> np.uint64(64 - HASH_BITS)
 
-class Features:
-    """The places of a text's features."""
 
-    def __init__(self):
-        self.of_word: dict[str, tuple[int, tuple[str, ...]]] = {}
-        self.of_beginning: dict[str, tuple[int, int, int]] = {}
+def _placed(within: np.ndarray, times: int = 1) -> np.ndarray:
+    """A text's number before the place of a feature; the same beginning met more often has other places."""
+    low = np.uint64((1 << HASH_BITS) - 1)
+    place = mixed((within & low) + np.uint64(times << HASH_BITS)) & np.uint64(WIDTH - 1)
+    return within >> np.uint64(HASH_BITS) << np.uint64(PLACE_BITS) | place
 
-    def _word(self, word: str) -> tuple[int, tuple[str, ...]]:
-        if len(self.of_word) >= REMEMBERED:
-            self.of_word.clear()
-            self.of_beginning.clear()
-        found = self.of_word[word] = (
-            hashed(word), tuple(word[:length] for length in BEGINNINGS if len(word) > length)
+
+def places(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The features of some texts, as the number of the text and a place; distinct, ascending.
+
+    Words are runs of letters in lower case, characters beyond ASCII being letters. A text has each word, each
+    beginning of a longer one, and beginnings again that two or three different words of it share.
+    """
+    data = [(text or "").lower().encode() for text in texts]
+    offsets = np.cumsum([0, *map(len, data)])
+    letters = LETTERS[np.frombuffer(b"".join(data), np.uint8)]
+    starts, sizes = word_pointers(letters, offsets)
+    doc = np.searchsorted(offsets, starts, "right") - 1
+    padded = np.concatenate([letters, np.zeros(DIGIT, np.uint8)])
+    digits = np.ndarray(len(letters) + 1, ">u8", padded.data, strides=(1,))
+    first = digits[starts].astype(np.uint64) & FIRST[np.minimum(sizes, DIGIT)]
+    hashes, depth = mixed(first), DIGIT
+    longer = np.flatnonzero(sizes > depth)
+    while len(longer):
+        more = digits[starts[longer] + depth].astype(np.uint64) & FIRST[np.minimum(sizes[longer] - depth, DIGIT)]
+        hashes[longer] = mixed(hashes[longer] * np.uint64(3) + more)
+        depth += DIGIT
+        longer = longer[sizes[longer] > depth]
+    words, which = np.unique(_within(doc, hashes), return_index=True)
+    found = [_placed(words)]
+    for length in BEGINNINGS:
+        begun = which[sizes[which] > length]
+        shared, times = np.unique(
+            _within(doc[begun], mixed((first[begun] & FIRST[length]) + np.uint64(length))), return_counts=True
         )
-        return found
+        found += [_placed(shared[times >= least], 1 + least) for least in (1, 2, 3)]
+    every = np.unique(np.concatenate(found))
+    return (every >> np.uint64(PLACE_BITS)).astype(np.int64), (every & np.uint64(WIDTH - 1)).astype(np.int64)
 
-    def _beginning(self, start: str) -> tuple[int, int, int]:
-        found = self.of_beginning[start] = (hashed(start + "*"), hashed(start + "**"), hashed(start + "***"))
-        return found
 
-    def places(self, text: str | None) -> np.ndarray:
-        """Distinct places, ascending."""
-        words, starts, known = [], [], self.of_word.get
-        for word in set(WORD.findall((text or "").lower())):
-            place, begun = known(word) or self._word(word)
-            words.append(place)
-            starts += begun
-        known = self.of_beginning.get
-        for start, times in Counter(starts).items():
-            words += (known(start) or self._beginning(start))[:times]
-        return np.unique(np.array(words, np.int32))
+def _blocks(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a batch, so many at once that their words fit into memory."""
+    block, size = [], 0
+    for text in texts.to_pylist():
+        block.append(text)
+        size += len(text or "")
+        if size >= BLOCK_BYTES or len(block) >= BLOCK_DOCS:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
 
 
 def held_out(doc_id: Column) -> Column:
@@ -100,10 +127,10 @@ def place_counts(docs: DataFrame, wanted: np.ndarray | None = None) -> DataFrame
         kept[wanted] = True
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, counts, n = Features(), np.zeros(WIDTH, np.int64), 0
+        counts, n = np.zeros(WIDTH, np.int64), 0
         for batch in batches:
-            for text in batch["text"]:
-                counts[features.places(text.as_py())] += 1
+            for block in _blocks(batch["text"]):
+                counts += np.bincount(places(block)[1], minlength=WIDTH)
             n += batch.num_rows
         met = np.flatnonzero(counts * kept)
         yield pa.RecordBatch.from_arrays(
@@ -128,16 +155,19 @@ def with_features(docs: DataFrame, used: np.ndarray) -> DataFrame:
     number[used] = np.arange(len(used))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
         for batch in batches:
-            found = [number[features.places(text.as_py())] for text in batch["text"]]
-            found = [np.sort(places[places >= 0]) for places in found]
-            offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            flat = np.concatenate(found) if found else np.empty(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))],
-                names=["doc_id", "found"],
-            )
+            done = 0
+            for block in _blocks(batch["text"]):
+                doc, place = places(block)
+                kept = number[place] >= 0
+                # Numbers ascend with places, so each list is in order.
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(doc[kept], minlength=len(block)))])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"][done:done + len(block)], pa.ListArray.from_arrays(
+                        pa.array(offsets, pa.int32()), pa.array(number[place[kept]], pa.int32()))],
+                    names=["doc_id", "found"],
+                )
+                done += len(block)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(look_up, "doc_id long, found array<int>")
 
@@ -279,10 +309,10 @@ def fit(found: DataFrame, width: int, steps: int = STEPS, rate: float = 0.05, pe
     prior = min(max(toxic / known, 1e-4), 0.9)
     samples = []
     for rows, size, most in ((found.where("toxic = 1"), toxic, POSITIVES), (found, n, BEGUN_WITH)):
-        taken = sorted((row["doc_id"] is not None, row["doc_id"] or 0, row["found"]) for row in _sampled(
-            rows.select("doc_id", "found"), size, most
-        ).collect())
-        samples.append([np.array(places, np.int64) for _, _, places in taken])
+        taken = _sampled(rows.select("doc_id", "found"), size, most).orderBy("doc_id", "found").select("found").toArrow()
+        lists = taken["found"].combine_chunks()
+        offsets = np.asarray(lists.offsets)
+        samples.append(np.split(np.asarray(lists.values)[offsets[0]:offsets[-1]], offsets[1:-1] - offsets[0]))
     descent = Descent(*train(*samples, width, prior), rate, penalty)
     for _ in range(steps):
         slope, slope_of_bias, _ = risk_slopes(found, descent.weights, descent.bias, prior)

@@ -1,12 +1,14 @@
 """Toxicity: held-out accuracy, the folds, and the risk estimate."""
 
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curate.llm.toxicity import Features, hashed, risk_slopes, score_documents, telling, train
+from curate.llm.toxicity import BEGINNINGS, WIDTH, places, risk_slopes, score_documents, telling, train
 from tests.llm.conftest import HARD
 
 SF = "/root/testdata/sf0.01"
@@ -92,16 +94,41 @@ def test_toxic_documents_of_a_rare_kind(spark):
     assert [found[doc_id]["predicted"] for doc_id in (0, 20_000)] == [1, 0]
 
 
-def test_features_of_a_text():
-    text = "Redword redwing redwoods blue blueish x9 RED"
-    want = {"redword", "redwing", "redwoods", "blue", "blueish", "x", "red", "redwo*", "redwo**", "redwi*", "redwor*", "redwin*",
-            "redwoo*", "bluei*", "blueis*"}
-    features = Features()
-    for _ in range(2):
-        assert features.places(text).tolist() == sorted({hashed(feature) for feature in want})
-    assert features.places(None).tolist() == []
-    three = features.places("abcdefg abcdeg abcdeh")
-    assert {hashed("abcde*"), hashed("abcde**"), hashed("abcde***")} <= set(three.tolist())
+def plain_places(text):
+    """One feature after the other, with whole numbers."""
+    whole = (1 << 64) - 1
+
+    def mix(n):
+        for _ in range(2):
+            n = ((n ^ n >> 32) * 0xD6E8FEB86659FD93) & whole
+        return n ^ n >> 32
+
+    def place(n, times):
+        return mix((n >> 24) + (times << 40)) % WIDTH
+
+    def number(part):
+        return int.from_bytes(part.ljust(8, b"\0"), "big")
+
+    words = set(re.findall(rb"[a-z\x80-\xff]+", (text or "").lower().encode()))
+    found, starts = set(), Counter()
+    for word in words:
+        n = mix(number(word[:8]))
+        for at in range(8, len(word), 8):
+            n = mix((n * 3 + number(word[at:at + 8])) & whole)
+        found.add(place(n, 1))
+        starts.update((word[:length], length) for length in BEGINNINGS if len(word) > length)
+    for (start, length), times in starts.items():
+        found |= {place(mix((number(start) + length) & whole), 1 + least) for least in range(1, min(times, 3) + 1)}
+    return sorted(found)
+
+
+def test_features_of_texts():
+    texts = ["Redword redwing redwoods blue blueish x9 RED", None, "", "abcdefg abcdeg abcdeh abcdei", "Été é日本語の文章 " * 9, "a" * 5000,
+             "it's 12 no_w Word word " + " ".join(f"longer{n}word longer{'x' * n}" for n in range(40))]
+    doc, place = places(texts)
+    for number, text in enumerate(texts):
+        assert place[doc == number].tolist() == plain_places(text)
+    assert places([])[0].tolist() == [] == places([None, ""])[1].tolist()
 
 
 @pytest.mark.parametrize("prior, bias", [(0.2, 0.3), (0.9, -2.0)])
