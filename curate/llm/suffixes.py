@@ -33,8 +33,8 @@ WINDOW, GRAM = 100, 32
 CHUNK_BYTES, SORTER_BYTES = 1 << 22, 1 << 20
 # Bytes hashed at once; a place among them fits in PLACE_BITS.
 SLICE, PLACE_BITS = 1 << 19, 20
-# Text that a task goes through.
-TASK_BYTES = 1 << 26
+# Text that a task goes through, by default: a hundred terabytes ask for a gigabyte, lest there be too many tasks.
+TASK_BYTES = 1 << 24
 # An anchor with more pieces than HOT is spread, judged by a sample: one document of DOCS_SHARE, one piece of PIECES_SHARE.
 HOT, DOCS_SHARE, PIECES_SHARE = 50_000, 16, 16
 # A text without id comes before all others.
@@ -485,7 +485,7 @@ def _removed(path: str):
     return remove
 
 
-def without_repeats(docs: DataFrame, hot_pieces: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, hot_pieces: int = HOT, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Every text without the bytes that a string of WINDOW bytes covers which also starts earlier: in a text of smaller
     `doc_id`, or before it in the same text.
 
@@ -496,7 +496,8 @@ def without_repeats(docs: DataFrame, hot_pieces: int = HOT) -> DataFrame:
     is held in one task. No rows give no rows. Other columns, whatever their names, are not looked at.
 
     An anchor with more than about `hot_pieces` pieces is spread over its windows, with the same result; there is at
-    most one for that many pieces, so the list of them is a millionth of the texts, or less.
+    most one for that many pieces, so the list of them is a millionth of the texts, or less. `task_bytes` is how much text
+    a task goes through, chunk by chunk; it changes the number of tasks alone.
     """
     spark = docs.sparkSession
     path = new_path(spark, "texts")
@@ -505,7 +506,7 @@ def without_repeats(docs: DataFrame, hot_pieces: int = HOT) -> DataFrame:
     hot = samples.where(F.col("count") * DOCS_SHARE * PIECES_SHARE > hot_pieces).select("key")
     hot = np.array(sorted(row["key"] for row in hot.toLocalIterator()), np.int64)
     total = chunks.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
-    tasks = max(1, -(-total[1] // TASK_BYTES), min(total[0], 4 * spark.sparkContext.defaultParallelism))
+    tasks = max(1, -(-total[1] // task_bytes), min(total[0], 2 * spark.sparkContext.defaultParallelism))
     located = chunks.select("chunk", "file", "at", "size").repartition(tasks, "chunk")
     pieces = located.mapInArrow(_numbered(path, hot), "key long, digest long, doc long, chunk long, at long")
     firsts = (
