@@ -186,7 +186,7 @@ def analyze(store: ArticleStore, inputs: Inputs, client_factory: Callable, setti
         today = _states(_today(store, settings))
         waiting = today.where(F.col("status") == FETCHED)
         path = _kept_at(settings, replies_path, store, "ratings")
-        texts = store.with_texts(waiting.select(*KEYS))
+        texts = store.with_texts(waiting.select(*KEYS), *settings.dates)
         requests = rating_requests(E.has_content(texts), inputs.criteria, settings.rating_model)
         replies = _replies(requests, client_factory, settings, path, metrics, "rating_api_call")
         ratings = written(parse_rating(replies, "reply"), "ratings")
@@ -203,11 +203,11 @@ def summarize(store: ArticleStore, client_factory: Callable, settings: Settings,
     with scratch(store.spark):
         chosen = written(_states(_today(store, settings)).where(F.col("status") == SELECTED), "chosen")
         path = _kept_at(settings, replies_path, store, "summaries")
-        requests = summary_requests(store.with_texts(chosen.select(*KEYS, "title")), settings.summary_model)
+        requests = summary_requests(store.with_texts(chosen.select(*KEYS, "title"), *settings.dates), settings.summary_model)
         replies = _replies(requests, client_factory, settings, path, metrics, "summary_api_call")
         texts = written(merge_summaries(replies), "texts")
         if metrics:
-            asked = E.has_content(store.with_texts(chosen.select(*KEYS))).count()
+            asked = E.has_content(store.with_texts(chosen.select(*KEYS), *settings.dates)).count()
             done = texts.agg(F.count("chinese_summary").alias("zh"), F.count("english_summary").alias("en")).first()
             for kind in ("zh", "en"):
                 metrics.increment(f"summaries_{kind}_success", done[kind])

@@ -109,10 +109,12 @@ class ArticleStore:
     def on_dates(self, *dates: str) -> DataFrame:
         return self.read().where(F.col("fetch_date").isin(*[F.lit(day).cast("date") for day in dates]))
 
-    def with_texts(self, rows: DataFrame) -> DataFrame:
-        """Rows of some articles, with `content`. The rows are sent to the texts if they fit; only what they
-        ask for is moved otherwise."""
+    def with_texts(self, rows: DataFrame, *dates: str) -> DataFrame:
+        """Rows of some articles of these days, with `content`; no days stand for all. Texts of other days are not read.
+        The rows are sent to the texts if they fit; both are shuffled otherwise."""
         texts = self._added().select(*KEYS, "content")
+        if dates:
+            texts = texts.where(F.col("fetch_date").isin(*[F.lit(day).cast("date") for day in dates]))
         return texts.join(sendable(rows), list(KEYS)).select(*rows.columns, "content")
 
     def known(self, urls: DataFrame) -> DataFrame:

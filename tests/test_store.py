@@ -103,6 +103,17 @@ def test_days_prune_articles_and_changes(spark, store):
     assert not any("content" in plan.split("ReadSchema")[1] for plan, _ in read)
 
 
+def test_texts_of_other_days_are_not_read(spark, store):
+    for day in (1, 2, 3):
+        store.append(articles(spark, range(10 * day, 10 * day + 5), day))
+    store.update(L.finalize_all(store.read()))
+    rows = written(store.on_dates("2024-01-02").where("id < 22").select("id", "fetch_date", "category", "status"), "rows")
+    found = store.with_texts(rows, "2024-01-02")
+    assert sorted((row.id, row.status, row.content) for row in found.collect()) == [(20, "failed", "text 20"), (21, "failed", "text 21")]
+    read = [rows for plan, rows in scans(found) if "content" in plan.split("ReadSchema")[1]]
+    assert read == [5]
+
+
 def counts_equal(store):
     full, kept = store.read(), store.counted()
     for one, other in ((stats.articles_per_category, stats.category_counts), (stats.articles_per_day, stats.day_counts)):
