@@ -24,7 +24,7 @@ LEAST_DOCS = 30
 PRIOR, UNIT = 5, 1_000_000_000
 RANKS = 50
 # Text of a shard; cells of a table of terms by sources that a task compares; sources compared to all others at once.
-SHARD_BYTES, CELLS, TILE = 1 << 24, 1 << 22, 256
+SHARD_BYTES, CELLS, TILE = 1 << 24, 1 << 18, 256
 DIGIT = 8
 # Letters of a term here have no digits among them; the byte 0 ends a word.
 LETTERS = np.array([
