@@ -82,7 +82,8 @@ def _parsed(documents: DataFrame) -> DataFrame:
         *kept, F.when(is_item, read(RSS_ITEM)).alias("item"), F.when(~is_item, read(ATOM_ENTRY)).alias("entry")
     )
     entry = F.when(F.col("item").isNotNull(), rss_item(F.col("item"))).otherwise(atom_entry(F.col("entry")))
-    return read_once.select(entry.alias("entry"), *kept).select("entry.*", *kept)
+    # Out of a generator, so that later filters on a date do not parse the entry again for each part of it.
+    return read_once.select(F.explode(F.array(entry)).alias("entry"), *kept).select("entry.*", *kept)
 
 
 def _documents(source) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from curate.functions.dates import entry_date
 from curate.operators.entries import with_entry_date
 from curate.schema import empty
 from curate.session import settings
@@ -36,7 +37,9 @@ def ingest_new_documents(spark: SparkSession, landing: str, pending: str, checkp
         batch.write.mode("overwrite").partitionBy("publication_date").parquet(f"{pending.rstrip('/')}/batch={number}")
 
     with settings(spark, STATE):
-        entries = with_entry_date(stream_feed_entries(spark, landing))
+        # The day comes out of a generator, so that no later filter works it out again.
+        day = F.explode(F.array(entry_date(F.col("published"), F.col("updated"))))
+        entries = with_entry_date(stream_feed_entries(spark, landing).withColumn("publication_date", day))
         # When an entry was read, not what it says: no entry is ever late.
         new = (
             entries.withColumn("_read", F.current_timestamp()).withWatermark("_read", remembered)
