@@ -66,9 +66,9 @@ def date_pages(t):
     return D.date_pages(t("articles"))
 
 
-@query(f"SELECT * FROM ({PAGES}) p WHERE page = 2")
+@query(PAGES)
 def date_page(t):
-    return D.date_page(t("articles"), 2)
+    return D.date_page(t("articles"))
 
 
 NESTED = f"""

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from checks import digest_queries
 from curate.operators import digest, skew
 from curate.operators.lifecycle import first_by_url, insert_or_ignore
 from curate.operators.rating import top_k_per_category
@@ -144,6 +145,16 @@ def test_ranking_cuts_before_the_shuffle(spark):
     assert executed(top_k_per_category(articles, minimum)).count("WindowGroupLimit") == 2
 
 
+def test_date_page_without_a_number_has_every_day(spark):
+    rows = spark.sql("""
+        SELECT id, date '2024-01-01' + CAST(id % 5 AS INT) AS fetch_date, 'A' AS category, 1.0D AS score,
+          CASE WHEN id < 20 THEN 'complete' ELSE 'rated' END AS status, 'text' AS chinese_summary FROM range(25)""")
+    wanted = {(i, 5 - i % 5) for i in range(20)}
+    for found in (digest.date_page(rows), digest_queries.date_page(lambda name: rows)):
+        assert {(row.id, row.page) for row in found.collect()} == wanted
+    assert {row.id for row in digest.date_page(rows, 2).collect()} == {3, 8, 13, 18}
+
+
 def test_dedupe_cuts_before_the_shuffle(spark):
     assert executed(first_by_url(hot(spark).withColumnRenamed("key", "url"))).count("WindowGroupLimit") == 2
 
